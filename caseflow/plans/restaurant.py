@@ -35,10 +35,10 @@ def visit_days(sales: DataFrame) -> DataFrame:
 def first_items(sales: DataFrame, menu: DataFrame) -> DataFrame:
     """Items bought on the earliest order date of all sales (the rank is
     global, not per customer), one row per (customer, item)."""
-    first = rk.rows_at_global_min(sales.select("customer_id", "order_date", "product_id"),
-                                  "order_date")
-    return (first.join(menu.select("product_id", "product_name"), "product_id")
-                 .select("customer_id", "product_name").distinct())
+    j = sales.select("customer_id", "order_date", "product_id") \
+             .join(menu.select("product_id", "product_name"), "product_id")
+    first = rk.rows_at_global_min(j, "order_date")
+    return first.select("customer_id", "product_name").distinct()
 
 
 def _item_counts(sales: DataFrame, menu: DataFrame) -> DataFrame:
@@ -77,21 +77,25 @@ def _member_sales(sales: DataFrame, members: DataFrame, side: str) -> DataFrame:
     return mb.relative_to_join(j, "order_date", "join_date", side)
 
 
+def _named_member_sales(sales: DataFrame, menu: DataFrame, members: DataFrame,
+                        side: str) -> DataFrame:
+    s = _member_sales(sales, members, side)
+    return s.join(menu.select("product_id", "product_name"), "product_id")
+
+
 def first_after_join(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
     """item(s) of each member's first order on or after joining (one row
     per sale of that day)."""
-    s = _member_sales(sales, members, "after")
+    s = _named_member_sales(sales, menu, members, "after")
     first = rk.top_per_group(s, ["customer_id"], [F.col("order_date").asc()], 1, "dense_rank")
-    return first.join(menu.select("product_id", "product_name"), "product_id") \
-                .select("customer_id", "product_name")
+    return first.select("customer_id", "product_name")
 
 
 def last_before_join(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
     """item(s) of each member's last order before joining."""
-    s = _member_sales(sales, members, "before")
+    s = _named_member_sales(sales, menu, members, "before")
     last = rk.top_per_group(s, ["customer_id"], [F.col("order_date").desc()], 1, "dense_rank")
-    return last.join(menu.select("product_id", "product_name"), "product_id") \
-               .select("customer_id", "product_name")
+    return last.select("customer_id", "product_name")
 
 
 def pre_join_totals(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
