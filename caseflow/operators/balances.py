@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caseflow.functions.numeric import int_div
-from caseflow.operators.joins import one_row
 
 # Sign of each transaction type in a balance.
 TXN_SIGNS = {"deposit": 1, "purchase": -1, "withdrawal": -1}
@@ -54,7 +53,6 @@ def growth_rate_int(start: str, end: str) -> Column:
 def share_of_keys(selected: DataFrame, key: str, population: DataFrame, pop_key: str,
                   out: str) -> DataFrame:
     """``COUNT(selected keys) * 100.0 / COUNT(DISTINCT population keys)``."""
-    num = selected.agg(F.count(key).alias("__num"))
-    den = one_row(population.agg(F.countDistinct(pop_key).alias("__den")))
-    return num.crossJoin(den).select(
-        F.try_divide(F.col("__num").cast("double") * 100, F.col("__den")).alias(out))
+    den = population.agg(F.countDistinct(pop_key)).scalar()
+    return selected.agg(
+        F.try_divide(F.count(key).cast("double") * 100, den).alias(out))

@@ -20,7 +20,3 @@ def bounded_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     n = dim.limit(max_rows + 1).count()
     return F.broadcast(dim) if n <= max_rows else dim
 
-
-def one_row(df: DataFrame) -> DataFrame:
-    """Broadcast a global (key-less) aggregate: exactly one row by construction."""
-    return F.broadcast(df)

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caseflow.functions.numeric import pct_change, percent_of
-from caseflow.operators.joins import one_row
 
 
 def count_when(cond: Column) -> Column:
@@ -41,12 +40,11 @@ def share_within(df: DataFrame, fine: Sequence[str], coarse: Sequence[str], valu
 
 def share_of_total(df: DataFrame, fine: Sequence[str], value: str, total_col: str,
                    pct_col: str) -> DataFrame:
-    """Sum at ``fine`` grain as a percentage of the grand total (scalar
-    subquery as a broadcast one-row aggregate)."""
+    """Sum at ``fine`` grain as a percentage of the grand total; the total
+    is a scalar subquery (one value, evaluated once), not a join."""
     agg = df.groupBy(*fine).agg(F.sum(value).alias(total_col))
-    grand = one_row(df.agg(F.sum(value).alias("__grand")))
-    return (agg.crossJoin(grand)
-               .withColumn(pct_col, percent_of(total_col, "__grand")).drop("__grand"))
+    grand = df.agg(F.sum(value)).scalar()
+    return agg.withColumn(pct_col, percent_of(total_col, grand))
 
 
 def percentiles_disc(df: DataFrame, keys: Sequence[str], value: str,

@@ -1,9 +1,9 @@
 """Ranking operators.
 
 Rank filters are written as window + filter so Catalyst inserts a partial
-``WindowGroupLimit`` before the shuffle; global "first" rows use a one-row
-aggregate instead of an un-partitioned window (which would pull every row
-into one task).
+``WindowGroupLimit`` before the shuffle; global "first" rows compare with a
+scalar subquery (a map-side-combined min/max) instead of an un-partitioned
+window, which would pull every row into one task.
 """
 
 from __future__ import annotations
@@ -13,34 +13,30 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from caseflow.operators.joins import one_row
 
 
 def rows_at_global_min(df: DataFrame, col: str) -> DataFrame:
     """Rows whose ``col`` equals the global minimum
     (``DENSE_RANK() OVER (ORDER BY col) = 1`` without a single-partition window)."""
-    m = one_row(df.agg(F.min(col).alias("__min")))
-    return df.join(m, F.col(col) == F.col("__min")).drop("__min")
+    return df.filter(F.col(col) == df.agg(F.min(col)).scalar())
 
 
 def rows_at_max(df: DataFrame, col: str) -> DataFrame:
     """Rows whose ``col`` equals its global maximum (top dense rank)."""
-    m = one_row(df.agg(F.max(col).alias("__max")))
-    return df.join(m, F.col(col) == F.col("__max")).drop("__max")
+    return df.filter(F.col(col) == df.agg(F.max(col)).scalar())
 
 
 def rows_at_dense_rank(df: DataFrame, col: str, rank: int, descending: bool = False) -> DataFrame:
     """Rows whose ``col`` has dense rank ``rank`` over the whole frame.
 
     The window runs over the distinct values of ``col`` only (e.g. distinct
-    counts after an aggregation), then selects rows by a broadcast join of
-    that single value.
+    counts after an aggregation); the picked value is a scalar subquery.
     """
     order = F.col(col).desc() if descending else F.col(col).asc()
     values = df.select(col).distinct()
     picked = (values.withColumn("__r", F.dense_rank().over(Window.orderBy(order)))
-                    .filter(F.col("__r") == rank).select(F.col(col).alias("__v")))
-    return df.join(one_row(picked), F.col(col) == F.col("__v")).drop("__v")
+                    .filter(F.col("__r") == rank).select(col))
+    return df.filter(F.col(col) == picked.scalar())
 
 
 def top_per_group(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Column],

@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 
 from caseflow.functions import dates as dt
 from caseflow.functions import text as tx
-from caseflow.functions.numeric import exact_mean, exact_sum, int_div, ratio
+from caseflow.functions.numeric import exact_sum, int_div, ratio
 from caseflow.operators import lists as ls
 from caseflow.operators import ranking as rk
-from caseflow.operators.joins import bounded_broadcast
+from caseflow.operators.measures import count_when
 
 # Pizza names and prices of the case study.
 MEAT_LOVERS = "Meatlovers"
@@ -245,6 +245,19 @@ def _changes(co: DataFrame, toppings: DataFrame, list_col: str) -> DataFrame:
                          toppings, "topping_id", ["topping_name"])
 
 
+def _tagged_items(lines: DataFrame, lists: Mapping[str, Column]) -> DataFrame:
+    """One pass over order lines: ``(order_id, pizza_id, kind, item)`` for
+    every element of every list column (``kind`` names the list).  A line
+    whose lists are all empty still yields rows with a NULL item, so the
+    result also carries every (order, pizza) of the input."""
+    tagged = F.explode(F.array(*[
+        F.struct(F.lit(kind).alias("kind"), col.alias("lst")) for kind, col in lists.items()]))
+    t = lines.select("order_id", "pizza_id", tagged.alias("t"))
+    return t.select("order_id", "pizza_id", F.col("t.kind").alias("kind"),
+                    F.explode_outer(tx.split_list("t.lst")).alias("item")) \
+            .withColumn("topping_id", tx.list_item_id("item")).drop("item")
+
+
 def order_description(co: DataFrame, toppings: DataFrame, names: DataFrame,
                       relabel: Mapping[str, str] = RELABEL,
                       trailing_sep: bool = False) -> DataFrame:
@@ -253,21 +266,34 @@ def order_description(co: DataFrame, toppings: DataFrame, names: DataFrame,
     As in the source, the change names are gathered per *order* and attached
     to every (order, pizza) that has a change of that kind.  ``trailing_sep``
     reproduces the ", " left after the last name.
+
+    Plan: one pass over the order lines explodes both lists, names are
+    decoded by a broadcast join, and one de-duplicated frame of
+    (order, pizza, kind, name) feeds both the per-order name lists and the
+    per-(order, pizza) flags (the shared exchange is reused).
     """
-    parts = {}
-    for kind, col in (("exclusion", "exclusions_new"), ("extra", "extras_new")):
-        ch = _changes(co, toppings, col)
-        per_order = ls.names_per_key(ch, ["order_id"], "topping_name", f"{kind}_names",
-                                     trailing_sep=trailing_sep)
-        pairs = ch.select("order_id", "pizza_id").distinct()
-        parts[kind] = pairs.join(per_order, "order_id")
-    base = co.select("order_id", "pizza_id").distinct()
-    j = (base.join(parts["exclusion"], ["order_id", "pizza_id"], "left")
-             .join(parts["extra"], ["order_id", "pizza_id"], "left")
-             .join(names.select("pizza_id", "pizza_name"), "pizza_id"))
-    detail = tx.join_phrases(tx.relabel("pizza_name", relabel),
-                             tx.optional_phrase(" - Exclude ", "exclusion_names"),
-                             tx.optional_phrase(" - Extra ", "extra_names"))
+    items = _tagged_items(co, {"x": F.col("exclusions_new"), "e": F.col("extras_new")})
+    d = ls.decode_ids(items, "topping_id", toppings, "topping_id", ["topping_name"], how="left")
+    dedup = d.select("order_id", "pizza_id", "kind", "topping_name").distinct()
+    named = F.col("topping_name").isNotNull()
+    sep = ", "
+
+    def name_list(kind: str) -> Column:
+        lst = F.array_join(F.sort_array(F.collect_set(
+            F.when(named & (F.col("kind") == kind), F.col("topping_name")))), sep)
+        return F.concat(lst, F.lit(sep)) if trailing_sep else lst
+
+    per_order = dedup.groupBy("order_id").agg(name_list("x").alias("x_names"),
+                                              name_list("e").alias("e_names"))
+    flags = dedup.groupBy("order_id", "pizza_id").agg(
+        F.max(named & (F.col("kind") == "x")).alias("has_x"),
+        F.max(named & (F.col("kind") == "e")).alias("has_e"))
+    j = (flags.join(per_order, "order_id")
+              .join(names.select("pizza_id", "pizza_name"), "pizza_id"))
+    detail = tx.join_phrases(
+        tx.relabel("pizza_name", relabel),
+        tx.optional_phrase(" - Exclude ", F.when(F.col("has_x"), F.col("x_names"))),
+        tx.optional_phrase(" - Extra ", F.when(F.col("has_e"), F.col("e_names"))))
     return j.select("order_id", detail.alias("order_detail")).distinct()
 
 
@@ -275,25 +301,30 @@ def ingredient_counts(co: DataFrame, recipes: DataFrame, toppings: DataFrame,
                       names: DataFrame) -> DataFrame:
     """Topping counts per (order, pizza): standard toppings minus the
     excluded ones plus extras.  Lines of the same pizza in one order share
-    their changes, as in the source."""
-    nm = names.select("pizza_id", "pizza_name")
-    excluded = _changes(co, toppings, "exclusions_new").join(
-        nm.select("pizza_id"), "pizza_id").select("order_id", "pizza_id", "topping_id")
-    extras = _changes(co, toppings, "extras_new") \
-        .select("order_id", "pizza_id", "topping_id", "topping_name")
-    std = ls.explode_ids(co.select("order_id", "pizza_id")
-                         .join(recipes.select("pizza_id", "toppings"), "pizza_id"),
-                         "toppings", "topping_id")
-    std = ls.decode_ids(std.select("order_id", "pizza_id", "topping_id"), "topping_id",
-                        toppings, "topping_id", ["topping_name"])
-    kept = std.join(excluded, ["order_id", "pizza_id", "topping_id"], "left_anti")
-    allrows = kept.select("order_id", "pizza_id", "topping_id", "topping_name") \
-                  .unionByName(extras)
-    j = allrows.join(nm, "pizza_id")
-    return j.groupBy("order_id", "pizza_id", "topping_id",
-                     F.col("pizza_name").alias("name_of_pizza"),
-                     F.col("topping_name").alias("toppings")) \
-            .agg(F.count("topping_name").alias("n"))
+    their changes, as in the source.
+
+    Plan: every line is joined to its recipe and its three lists (recipe,
+    exclusions, extras) are exploded in one pass; a single aggregation per
+    (order, pizza, topping) counts standard and extra rows and flags
+    exclusions, which zero the standard count (the source's anti-join), so
+    hot keys are combined map-side.
+    """
+    lines = co.select("order_id", "pizza_id", "exclusions_new", "extras_new") \
+              .join(recipes.select("pizza_id", "toppings"), "pizza_id", "left")
+    items = _tagged_items(lines, {"s": F.col("toppings"), "x": F.col("exclusions_new"),
+                                  "e": F.col("extras_new")})
+    d = ls.decode_ids(items.filter(F.col("topping_id").isNotNull()), "topping_id", toppings,
+                      "topping_id", ["topping_name"])
+    k = F.col("kind")
+    agg = d.groupBy("order_id", "pizza_id", "topping_id", "topping_name").agg(
+        count_when(k == "s").alias("n_std"), count_when(k == "e").alias("n_extra"),
+        F.max(k == "x").alias("excluded"))
+    n = F.when(F.col("excluded"), F.lit(0)).otherwise(F.col("n_std")) + F.col("n_extra")
+    out = agg.withColumn("n", n.cast("long")).filter(F.col("n") > 0)
+    return out.join(names.select("pizza_id", F.col("pizza_name").alias("name_of_pizza")),
+                    "pizza_id") \
+              .select("order_id", "pizza_id", "topping_id", "name_of_pizza",
+                      F.col("topping_name").alias("toppings"), "n")
 
 
 # --- money ---------------------------------------------------------------------

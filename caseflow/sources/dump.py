@@ -28,16 +28,26 @@ DEFAULT_ROUTES: dict[int, tuple[str, T.StructType]] = {
 }
 
 _TOKEN = r"'[^']*'|[^,'\s]+"
-_IDENT = r'^"?[A-Za-z_][A-Za-z0-9_]*"?$'
+# a column-name list: bare identifiers only (no quotes, no numbers, no NULL)
+_COLNAMES = r'^\s*"?[A-Za-z_][A-Za-z0-9_]*"?(\s*,\s*"?[A-Za-z_][A-Za-z0-9_]*"?)*\s*$'
+
+
+def _tuple_body(line: Column) -> Column:
+    """Text between the outer parentheses of a tuple line ('' otherwise).
+    The prefix and CAST rewrites only run on lines that contain them."""
+    s = F.regexp_replace(line, "\r", "")
+    up = F.upper(s)
+    s = F.when(up.contains("VALUES"), F.regexp_replace(s, r"(?i)^.*\bVALUES\b\s*", "")) \
+         .otherwise(s)
+    s = F.when(up.contains("CAST"),
+               F.regexp_replace(s, r"(?i)CAST\s*\(\s*('[^']*')\s+AS\s+\w+\s*\)", "$1")) \
+         .otherwise(s)
+    return F.regexp_extract(s, r"^\s*\((.*)\)\s*[,;]?\s*$", 1)
 
 
 def tuple_tokens(line: Column) -> Column:
     """Raw tokens of a tuple line; empty array for any other line."""
-    s = F.regexp_replace(line, "\r", "")
-    s = F.regexp_replace(s, r"(?i)^.*\bVALUES\b\s*", "")
-    s = F.regexp_replace(s, r"(?i)CAST\s*\(\s*('[^']*')\s+AS\s+\w+\s*\)", "$1")
-    body = F.regexp_extract(s, r"^\s*\((.*)\)\s*[,;]?\s*$", 1)
-    return F.regexp_extract_all(body, F.lit(_TOKEN), 0)
+    return F.regexp_extract_all(_tuple_body(line), F.lit(_TOKEN), 0)
 
 
 def token_value(tok: Column) -> Column:
@@ -48,17 +58,21 @@ def token_value(tok: Column) -> Column:
 
 
 def parse_lines(lines: DataFrame, col: str = "value") -> DataFrame:
-    """One row per data tuple: ``line`` plus ``fields`` (array<string>).
-    Column-name lists (all bare identifiers) and non-tuple lines are skipped."""
-    toks = tuple_tokens(F.col(col))
-    t = lines.select(F.col(col).alias("line"), toks.alias("tok"))
-    is_colnames = F.forall("tok", lambda x: x.rlike(_IDENT) & (F.upper(x) != "NULL"))
-    data = t.filter((F.size("tok") > 0) & ~is_colnames)
-    return data.select("line", F.transform("tok", token_value).alias("fields"))
+    """One row per data tuple: ``line`` plus raw ``tok`` (array<string>).
+    Column-name lists and non-tuple lines are skipped.  Only built-in,
+    code-generated expressions are used (no per-element lambdas)."""
+    body = _tuple_body(F.col(col))
+    t = lines.select(F.col(col).alias("line"), body.alias("body"))
+    data = t.filter((F.col("body") != "") & ~F.col("body").rlike(_COLNAMES))
+    return data.select("line", F.regexp_extract_all("body", F.lit(_TOKEN), 0).alias("tok"))
+
+
+def _field(i: int) -> Column:
+    return token_value(F.get(F.col("tok"), i))
 
 
-def _typed(fields: Column, schema: T.StructType) -> list[Column]:
-    return [F.trim(F.get(fields, i)).try_cast(f.dataType).alias(f.name)
+def _typed(schema: T.StructType) -> list[Column]:
+    return [F.trim(_field(i)).try_cast(f.dataType).alias(f.name)
             for i, f in enumerate(schema.fields)]
 
 
@@ -71,16 +85,16 @@ def load_dump(lines: DataFrame, routes: Mapping[int, tuple[str, T.StructType]] =
     field fails its cast.
     """
     parsed = parse_lines(lines, col)
-    width = F.size("fields")
+    width = F.size("tok")
     out: dict[str, DataFrame] = {}
     bad_parts = [parsed.filter(~width.isin(list(routes))).select(
         "line", F.lit("unknown tuple width").alias("reason"))]
     for n, (name, schema) in routes.items():
         rows = parsed.filter(width == n)
-        typed = rows.select("line", "fields", *_typed(F.col("fields"), schema))
+        typed = rows.select("line", "tok", *_typed(schema))
         failed = None
         for i, f in enumerate(schema.fields):
-            cond = F.get(F.col("fields"), i).isNotNull() & F.col(f.name).isNull()
+            cond = _field(i).isNotNull() & F.col(f.name).isNull()
             failed = cond if failed is None else (failed | cond)
         out[name] = typed.filter(~failed).select(*[f.name for f in schema.fields])
         bad_parts.append(typed.filter(failed).select(
