@@ -32,22 +32,41 @@ _TOKEN = r"'[^']*'|[^,'\s]+"
 _COLNAMES = r'^\s*"?[A-Za-z_][A-Za-z0-9_]*"?(\s*,\s*"?[A-Za-z_][A-Za-z0-9_]*"?)*\s*$'
 
 
-def _tuple_body(line: Column) -> Column:
-    """Text between the outer parentheses of a tuple line ('' otherwise).
-    The prefix and CAST rewrites only run on lines that contain them."""
-    s = F.regexp_replace(line, "\r", "")
-    up = F.upper(s)
-    s = F.when(up.contains("VALUES"), F.regexp_replace(s, r"(?i)^.*\bVALUES\b\s*", "")) \
-         .otherwise(s)
-    s = F.when(up.contains("CAST"),
-               F.regexp_replace(s, r"(?i)CAST\s*\(\s*('[^']*')\s+AS\s+\w+\s*\)", "$1")) \
-         .otherwise(s)
-    return F.regexp_extract(s, r"^\s*\((.*)\)\s*[,;]?\s*$", 1)
+def _has(c: Column, word: str) -> Column:
+    return c.contains(word.upper()) | c.contains(word.lower()) | c.contains(word.capitalize())
 
 
-def tuple_tokens(line: Column) -> Column:
-    """Raw tokens of a tuple line; empty array for any other line."""
-    return F.regexp_extract_all(_tuple_body(line), F.lit(_TOKEN), 0)
+def parse_lines(lines: DataFrame, col: str = "value") -> DataFrame:
+    """One row per data tuple: ``line`` plus raw ``tok`` (array<string>).
+
+    Column-name lists and non-tuple lines are skipped.  The steps are
+    separate projections referring to the previous step by name, so each
+    regular expression runs once per line and the plan stays small (a
+    reused Python Column would be copied into every place it is used).
+    The ``VALUES`` prefix and ``CAST(...)`` rewrites only run on lines that
+    contain those words.
+    """
+    s = F.col("s")
+    t = lines.select(F.col(col).alias("line"),
+                     F.regexp_replace(F.col(col), "\r", "").alias("s"))
+    t = t.select("line", F.when(_has(s, "values"),
+                                F.regexp_replace(s, r"(?i)^.*\bVALUES\b\s*", ""))
+                          .otherwise(s).alias("s"))
+    t = t.select("line", F.when(_has(s, "cast"), F.regexp_replace(
+        s, r"(?i)CAST\s*\(\s*('[^']*')\s+AS\s+\w+\s*\)", "$1")).otherwise(s).alias("s"))
+    t = t.select("line", F.regexp_extract(s, r"^\s*\((.*)\)\s*[,;]?\s*$", 1).alias("body"))
+    t = t.select("line", F.when((F.col("body") != "") & ~F.col("body").rlike(_COLNAMES),
+                                F.regexp_extract_all("body", F.lit(_TOKEN), 0)).alias("tok"))
+    # Emit the tokens through a one-element explode: predicates on a
+    # generated column are not pushed below the generator, so the routing
+    # filters downstream test the finished array instead of re-deriving it.
+    t = t.select("line", F.explode(F.array("tok")).alias("tok"))
+    return t.filter(F.col("tok").isNotNull())
+
+
+def tuple_tokens(lines: DataFrame, col: str = "value") -> DataFrame:
+    """Alias of :func:`parse_lines` kept for readability at call sites."""
+    return parse_lines(lines, col)
 
 
 def token_value(tok: Column) -> Column:
@@ -57,25 +76,6 @@ def token_value(tok: Column) -> Column:
              .otherwise(tok))
 
 
-def parse_lines(lines: DataFrame, col: str = "value") -> DataFrame:
-    """One row per data tuple: ``line`` plus raw ``tok`` (array<string>).
-    Column-name lists and non-tuple lines are skipped.  Only built-in,
-    code-generated expressions are used (no per-element lambdas)."""
-    body = _tuple_body(F.col(col))
-    t = lines.select(F.col(col).alias("line"), body.alias("body"))
-    data = t.filter((F.col("body") != "") & ~F.col("body").rlike(_COLNAMES))
-    return data.select("line", F.regexp_extract_all("body", F.lit(_TOKEN), 0).alias("tok"))
-
-
-def _field(i: int) -> Column:
-    return token_value(F.get(F.col("tok"), i))
-
-
-def _typed(schema: T.StructType) -> list[Column]:
-    return [F.trim(_field(i)).try_cast(f.dataType).alias(f.name)
-            for i, f in enumerate(schema.fields)]
-
-
 def load_dump(lines: DataFrame, routes: Mapping[int, tuple[str, T.StructType]] = DEFAULT_ROUTES,
               col: str = "value") -> dict[str, DataFrame]:
     """Route parsed tuples to tables by field count.
@@ -85,16 +85,20 @@ def load_dump(lines: DataFrame, routes: Mapping[int, tuple[str, T.StructType]] =
     field fails its cast.
     """
     parsed = parse_lines(lines, col)
-    width = F.size("tok")
+    width = max(routes)
+    vals = parsed.select("line", F.size("tok").alias("width"), *[
+        token_value(F.get(F.col("tok"), i)).alias(f"v{i}") for i in range(width)])
     out: dict[str, DataFrame] = {}
-    bad_parts = [parsed.filter(~width.isin(list(routes))).select(
+    bad_parts = [vals.filter(~F.col("width").isin(list(routes))).select(
         "line", F.lit("unknown tuple width").alias("reason"))]
     for n, (name, schema) in routes.items():
-        rows = parsed.filter(width == n)
-        typed = rows.select("line", "tok", *_typed(schema))
+        rows = vals.filter(F.col("width") == n)
+        typed = rows.select("line", *[F.col(f"v{i}") for i in range(n)], *[
+            F.trim(F.col(f"v{i}")).try_cast(f.dataType).alias(f.name)
+            for i, f in enumerate(schema.fields)])
         failed = None
         for i, f in enumerate(schema.fields):
-            cond = _field(i).isNotNull() & F.col(f.name).isNull()
+            cond = F.col(f"v{i}").isNotNull() & F.col(f.name).isNull()
             failed = cond if failed is None else (failed | cond)
         out[name] = typed.filter(~failed).select(*[f.name for f in schema.fields])
         bad_parts.append(typed.filter(failed).select(
