@@ -305,22 +305,23 @@ def ingredient_counts(co: DataFrame, recipes: DataFrame, toppings: DataFrame,
 
     Plan: every line is joined to its recipe and its three lists (recipe,
     exclusions, extras) are exploded in one pass; a single aggregation per
-    (order, pizza, topping) counts standard and extra rows and flags
+    (order, pizza, topping id) counts standard and extra rows and flags
     exclusions, which zero the standard count (the source's anti-join), so
-    hot keys are combined map-side.
+    hot keys are combined map-side.  Names are attached after aggregating.
     """
     lines = co.select("order_id", "pizza_id", "exclusions_new", "extras_new") \
               .join(recipes.select("pizza_id", "toppings"), "pizza_id", "left")
     items = _tagged_items(lines, {"s": F.col("toppings"), "x": F.col("exclusions_new"),
                                   "e": F.col("extras_new")})
-    d = ls.decode_ids(items.filter(F.col("topping_id").isNotNull()), "topping_id", toppings,
-                      "topping_id", ["topping_name"])
     k = F.col("kind")
-    agg = d.groupBy("order_id", "pizza_id", "topping_id", "topping_name").agg(
-        count_when(k == "s").alias("n_std"), count_when(k == "e").alias("n_extra"),
-        F.max(k == "x").alias("excluded"))
+    agg = items.filter(F.col("topping_id").isNotNull()) \
+        .groupBy("order_id", "pizza_id", "topping_id").agg(
+            count_when(k == "s").alias("n_std"), count_when(k == "e").alias("n_extra"),
+            F.max(k == "x").alias("excluded"))
     n = F.when(F.col("excluded"), F.lit(0)).otherwise(F.col("n_std")) + F.col("n_extra")
     out = agg.withColumn("n", n.cast("long")).filter(F.col("n") > 0)
+    # ids without a topping name drop out here, as with the source's inner joins
+    out = ls.decode_ids(out, "topping_id", toppings, "topping_id", ["topping_name"])
     return out.join(names.select("pizza_id", F.col("pizza_name").alias("name_of_pizza")),
                     "pizza_id") \
               .select("order_id", "pizza_id", "topping_id", "name_of_pizza",
