@@ -76,9 +76,27 @@ def days_between(start: ColumnOrName, end: ColumnOrName) -> Column:
 def parse_dmy(s: ColumnOrName, pivot_year: int = 2049) -> Column:
     """``CONVERT(date, s, 3)`` for ``dd/mm/yy`` text.
 
-    Spark reads ``yy`` as 2000-2099; the two-digit-year cutoff (default
-    2049) maps later years back a century, so ``'15/6/95'`` is 1995-06-15.
-    Unparseable text yields NULL.
+    Two-digit years up to the cutoff's last two digits (default 49) are
+    20xx, later ones 19xx, so ``'15/6/95'`` is 1995-06-15.  Text that is not
+    ``d/m/yy`` or not a calendar date yields NULL.  Built from split and a
+    plain ``yyyy-m-d`` cast rather than a pattern formatter, which keeps the
+    per-row cost low.
     """
-    d = F.try_to_date(_c(s), "d/M/yy")
-    return F.when(F.year(d) > pivot_year, F.add_months(d, -1200)).otherwise(d)
+    parts = F.split(_c(s), "/")
+    yy = F.get(parts, 2)
+    yy_num = yy.try_cast("int")
+    cut = pivot_year % 100
+    year = F.when(F.length(yy) == 2,
+                  F.when(yy_num <= cut, yy_num + (pivot_year - cut))
+                   .otherwise(yy_num + (pivot_year - cut - 100)))
+    ok = (F.size(parts) == 3) & F.get(parts, 0).rlike(r"^\d{1,2}$") & \
+        F.get(parts, 1).rlike(r"^\d{1,2}$")
+    iso = F.concat_ws("-", year.cast("string"), F.get(parts, 1), F.get(parts, 0))
+    return F.when(ok, iso.try_cast("date"))
+
+
+def format_dmy(d: ColumnOrName) -> Column:
+    """Date as ``d/M/yy`` text (day and month without padding)."""
+    d = as_date(d)
+    return F.concat_ws("/", F.dayofmonth(d).cast("string"), F.month(d).cast("string"),
+                       F.lpad((F.year(d) % 100).cast("string"), 2, "0"))

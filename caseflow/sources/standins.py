@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caseflow.functions.dates import format_dmy
 from caseflow.operators.joins import bounded_broadcast
 from caseflow.sources.tables import DriverTables
 
@@ -205,7 +206,7 @@ def weekly_sales(t: DriverTables) -> DataFrame:
     ctype = (F.when(disc < 0.035, F.lit("New")).when(disc < 0.07, F.lit("Existing"))
               .otherwise(F.lit("Guest")))
     return j.select(
-        F.date_format("l_shipdate", "d/M/yy").alias("week_date"),
+        format_dmy("l_shipdate").alias("week_date"),
         F.col("r_name").alias("region"),
         F.when(F.col("l_linestatus") == "O", F.lit("Retail")).otherwise(F.lit("Shopify"))
          .alias("platform"),

@@ -66,3 +66,17 @@ def test_integer_math(spark):
     assert g.agg(n.int_avg("v").alias("x")).first().x == 1
     p = spark.createDataFrame([(110, 100), (5, 0)], "a int, b int")
     assert [r.x for r in p.select(n.pct_change("a", "b").alias("x")).collect()] == [10.0, None]
+
+
+def test_parse_dmy_edges(spark):
+    df = spark.createDataFrame([("5/6/49",), ("5/6/50",), ("31/2/20",), ("1/1/2020",),
+                                ("01/12/01",), (None,), ("a/b/cc",)], "s string")
+    got = [r.x for r in df.select(d.parse_dmy("s").alias("x")).collect()]
+    assert got == [dt.date(2049, 6, 5), dt.date(1950, 6, 5), None, None, dt.date(2001, 12, 1),
+                   None, None]
+
+
+def test_format_dmy(spark):
+    df = spark.createDataFrame([(dt.date(1995, 6, 5),), (dt.date(2001, 11, 14),)], "d date")
+    assert [r.x for r in df.select(d.format_dmy("d").alias("x")).collect()] == \
+        ["5/6/95", "14/11/01"]
