@@ -77,8 +77,10 @@ def missing_weeks(cws: DataFrame, weeks_in_year: int = 52) -> DataFrame:
     """How many of week numbers 1..52 never occur."""
     spark = cws.sparkSession
     allw = spark.range(1, weeks_in_year + 1).select(F.col("id").cast("int").alias("week_number"))
-    present = cws.select("week_number").distinct()
-    return allw.join(present, "week_number", "left_anti").agg(
+    present = cws.select(F.col("week_number").alias("w")).distinct()
+    # null-safe key: no IS NOT NULL predicate is inferred and pushed into the
+    # scan (the 1..52 side has no NULLs, so the result is the same)
+    return allw.join(present, allw.week_number.eqNullSafe(present.w), "left_anti").agg(
         F.count(F.lit(1)).alias("missing_weeks"))
 
 
