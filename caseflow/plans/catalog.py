@@ -20,15 +20,18 @@ def _dom(spark: SparkSession, root: str) -> si.Domain:
 
 
 def _co(d: si.Domain) -> DataFrame:
-    return delivery.clean_orders(d.customer_orders)
+    """Cleaned order lines (kept, like the source's in-place cleaning)."""
+    return d.derived("clean_orders", lambda: delivery.clean_orders(d.lazy("customer_orders")))
 
 
 def _ro(d: si.Domain) -> DataFrame:
-    return delivery.clean_deliveries(d.runner_orders)
+    return d.derived("clean_deliveries", lambda: delivery.clean_deliveries(d.lazy("runner_orders")))
 
 
 def _cws(d: si.Domain) -> DataFrame:
-    return mart.clean_weekly(d.weekly_sales)
+    """``clean_weekly_sales`` (CTAS in the source), partitioned by year."""
+    return d.derived("clean_weekly", lambda: mart.clean_weekly(d.lazy("weekly_sales")),
+                     partition_by=["calendar_year"])
 
 
 def _q(fn: Callable[[si.Domain], DataFrame]) -> Query:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from caseflow.functions.dates import format_dmy
 from caseflow.operators.joins import bounded_broadcast
 from caseflow.sources.tables import DriverTables
+from caseflow.sources.writers import built_once
 
 # Stand-in parameters for constants the case studies hard-code.
 BONUS_PRODUCT_NAME = "small ring"      # plays the double-points menu item
@@ -218,20 +219,37 @@ def weekly_sales(t: DriverTables) -> DataFrame:
 
 @dataclass
 class Domain:
-    """All stand-in domain tables of one scale-factor folder (lazy)."""
+    """All stand-in domain tables of one scale-factor folder.
+
+    With ``persist=True`` (default) each table is derived once per
+    application, written under the shared checkpoint folder and read back
+    (the load step of the case studies); ``persist=False`` keeps every
+    table a lazy plan over the driver tables.
+    """
 
     spark: SparkSession
     root: str
+    persist: bool = True
     _t: DriverTables = field(init=False)
 
     def __post_init__(self):
         self._t = DriverTables(self.spark, self.root)
 
+    def derived(self, name: str, build, partition_by=()) -> DataFrame:
+        """A table derived from this folder's data, persisted like the others."""
+        if not self.persist:
+            return build()
+        return built_once(self.spark, f"{self.root}/{name}", build, partition_by)
+
+    def lazy(self, name: str) -> DataFrame:
+        """The table as a plan over the driver tables, not persisted (for
+        tables only read once, e.g. raw input of a persisted cleaning)."""
+        return _BUILDERS[name](self._t)
+
     def __getattr__(self, name: str) -> DataFrame:
-        builders = _BUILDERS
-        if name in builders:
-            return builders[name](self._t)
-        raise AttributeError(name)
+        if name.startswith("_") or name not in _BUILDERS:
+            raise AttributeError(name)
+        return self.derived(name, lambda: _BUILDERS[name](self._t))
 
 
 _BUILDERS = {

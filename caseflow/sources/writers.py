@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+import uuid
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+from caseflow.session import ensure_checkpoint_dir
 
 
 def materialize(df: DataFrame, path: str, partition_by: Sequence[str] = (),
@@ -25,3 +29,28 @@ def save_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> No
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.saveAsTable(name)
+
+
+# (application id, key) -> (written path, column order): each derived table
+# is built once per application and read back by every job that needs it.
+_WRITTEN: dict[tuple[str, str], tuple[str, list[str]]] = {}
+
+
+def built_once(spark: SparkSession, key: str, build: Callable[[], DataFrame],
+               partition_by: Sequence[str] = ()) -> DataFrame:
+    """Write ``build()`` once per application under the shared checkpoint
+    folder (``spark.checkpoint.dir``) and return a scan of it.
+
+    This is the ``SELECT ... INTO`` / load-once step of the source scripts:
+    later jobs read files instead of re-deriving the table, and a lost
+    executor re-reads files instead of recomputing the lineage.
+    """
+    k = (spark.sparkContext.applicationId, key)
+    if k not in _WRITTEN:
+        df = build()
+        slug = re.sub(r"[^A-Za-z0-9_.-]+", "_", key)[-120:]
+        path = f"{ensure_checkpoint_dir(spark)}/caseflow_tables/{slug}-{uuid.uuid4().hex[:8]}"
+        materialize(df, path, partition_by)
+        _WRITTEN[k] = (path, df.columns)
+    path, cols = _WRITTEN[k]
+    return spark.read.parquet(path).select(*cols)
