@@ -12,10 +12,19 @@ from caseflow.session import ensure_checkpoint_dir
 
 
 def materialize(df: DataFrame, path: str, partition_by: Sequence[str] = (),
-                fmt: str = "parquet") -> DataFrame:
+                fmt: str = "parquet", min_files: int | None = None) -> DataFrame:
     """``DROP TABLE IF EXISTS t; SELECT ... INTO t``: overwrite ``path`` and
     return a DataFrame reading it back (the written table cuts lineage, so a
-    lost executor re-reads files instead of recomputing the query)."""
+    lost executor re-reads files instead of recomputing the query).
+
+    A plan with fewer partitions than ``min_files`` (default: the cluster's
+    default parallelism) is spread round-robin first, so later scans of the
+    table are not a single task; large inputs already exceed it and are
+    written as they are.
+    """
+    n = min_files or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < n:
+        df = df.repartition(n)
     w = df.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
