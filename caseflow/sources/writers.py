@@ -63,3 +63,8 @@ def built_once(spark: SparkSession, key: str, build: Callable[[], DataFrame],
         _WRITTEN[k] = (path, df.columns)
     path, cols = _WRITTEN[k]
     return spark.read.parquet(path).select(*cols)
+
+
+def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """``INSERT INTO t VALUES ...``: append rows to the table at ``path``."""
+    df.write.mode("append").format(fmt).save(path)
