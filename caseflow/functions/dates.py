@@ -55,11 +55,18 @@ def month_end(d: ColumnOrName) -> Column:
     return F.last_day(as_date(d))
 
 
+def _minute_of_day(ts: Column) -> Column:
+    return F.hour(ts) * 60 + F.minute(ts)
+
+
 def minutes_boundary(start: ColumnOrName, end: ColumnOrName) -> Column:
     """``DATEDIFF(minute, start, end)``: number of minute boundaries crossed
-    (10:00:59 -> 10:01:00 is 1), not elapsed whole minutes."""
-    return F.timestamp_diff("MINUTE", F.date_trunc("minute", _c(start)),
-                            F.date_trunc("minute", _c(end))).cast("int")
+    (10:00:59 -> 10:01:00 is 1), not elapsed whole minutes.  Computed from
+    wall-clock fields (day difference x 1440 + minute-of-day difference), so
+    the session time zone and its daylight-saving changes do not enter."""
+    start, end = _c(start), _c(end)
+    days = F.datediff(end.cast("date"), start.cast("date"))
+    return (days * 1440 + _minute_of_day(end) - _minute_of_day(start)).cast("int")
 
 
 def minutes_field(start: ColumnOrName, end: ColumnOrName) -> Column:

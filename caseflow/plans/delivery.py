@@ -53,7 +53,8 @@ def clean_deliveries(runner_orders: DataFrame) -> DataFrame:
 
 
 def _pickup_ts() -> Column:
-    return F.try_to_timestamp(F.col("pickup_time_new")).cast("timestamp_ntz")
+    # wall-clock text -> timestamp_ntz directly (no session time zone involved)
+    return F.col("pickup_time_new").try_cast("timestamp_ntz")
 
 
 def _delivered(ro: DataFrame) -> DataFrame:

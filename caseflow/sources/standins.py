@@ -123,8 +123,9 @@ def runner_orders(t: DriverTables) -> DataFrame:
     return o.select(
         ok.alias("order_id"),
         F.substring("o_orderpriority", 1, 1).cast("int").alias("runner_id"),
-        F.when(cancelled, null_txt).otherwise(
-            F.date_format(pickup, "yyyy-MM-dd HH:mm:ss")).alias("pickup_time"),
+        # a cast keeps wall-clock text (date_format would go through the
+        # session time zone); values have whole seconds: yyyy-MM-dd HH:mm:ss
+        F.when(cancelled, null_txt).otherwise(pickup.cast("string")).alias("pickup_time"),
         F.when(cancelled, null_txt).otherwise(F.concat(dist_text, dist_unit)).alias("distance"),
         F.when(cancelled, null_txt).otherwise(
             F.concat(dur.cast("string"), dur_unit)).alias("duration"),
