@@ -41,10 +41,13 @@ def customers_by_region(nodes: DataFrame, regions: DataFrame) -> DataFrame:
             .select("region_id", "region_name", "total_customers")
 
 
-def avg_allocation_days(nodes: DataFrame, open_end: str = OPEN_END) -> DataFrame:
-    """Integer mean of allocation length over closed allocations."""
+def avg_allocation_days(nodes: DataFrame, open_end: str = OPEN_END,
+                        integer_math: bool = True) -> DataFrame:
+    """Mean allocation length over closed allocations (an integer mean
+    as in the source; ``integer_math=False`` gives the exact double)."""
     d = _closed(nodes, open_end).select(days_between("start_date", "end_date").alias("days"))
-    return d.agg(int_avg("days").alias("avg_days"))
+    avg = int_avg("days") if integer_math else F.avg("days")
+    return d.agg(avg.alias("avg_days"))
 
 
 def allocation_percentiles(nodes: DataFrame, open_end: str = OPEN_END,
@@ -61,14 +64,16 @@ def txn_type_totals(txns: DataFrame) -> DataFrame:
                                         F.sum("txn_amount").alias("total_amount"))
 
 
-def avg_deposit_profile(txns: DataFrame) -> DataFrame:
-    """Mean deposit count and mean deposit amount per customer (both
-    integer means, at both levels)."""
+def avg_deposit_profile(txns: DataFrame, integer_math: bool = True) -> DataFrame:
+    """Mean deposit count and mean deposit amount per customer (integer
+    means at both levels, as in the source; ``integer_math=False`` keeps
+    fractions)."""
+    mean = int_avg if integer_math else F.avg
     per = (txns.filter(F.col("txn_type") == "deposit").groupBy("customer_id")
                .agg(F.count("customer_id").alias("time_deposit"),
-                    int_avg("txn_amount").alias("amount_deposit")))
-    return per.agg(int_avg("time_deposit").alias("avg_count"),
-                   int_avg("amount_deposit").alias("avg_amount"))
+                    mean("txn_amount").alias("amount_deposit")))
+    return per.agg(mean("time_deposit").alias("avg_count"),
+                   mean("amount_deposit").alias("avg_amount"))
 
 
 def txn_years(txns: DataFrame) -> DataFrame:

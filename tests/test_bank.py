@@ -75,3 +75,10 @@ def test_active_mix(spark):
         "customer_id int, txn_date date, txn_type string, txn_amount int")
     # month without year: customer 3's 2021 January pools with 2020's
     assert rows(b.active_mix_by_month(tx), "month", "customer_count") == [(1, 2)]
+
+
+def test_exact_mean_options(t):
+    n = t["customer_nodes"]
+    assert abs(b.avg_allocation_days(n, integer_math=False).first()[0] - 134 / 12) < 1e-12
+    p = b.avg_deposit_profile(t["customer_transactions"], integer_math=False).first()
+    assert (p.avg_count, p.avg_amount) == (2.0, (318.0 + 305.0) / 2)

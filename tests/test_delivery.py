@@ -136,3 +136,9 @@ def test_delivery_report(t):
     got = {x.order_id: (x.time_order_pickup, x.avg_speed, x.pizza_count) for x in df.collect()}
     assert got == {1: (10, 37.5, 1), 2: (10, 44.44, 1), 3: (21, 40.2, 2), 4: (29, 35.1, 3),
                    5: (10, 40.0, 1), 7: (10, 60.0, 1), 8: (20, 93.6, 1), 10: (15, 60.0, 2)}
+
+
+def test_signups_anchored_option(t):
+    d = dt.date.fromisoformat
+    assert rows(dv.signups_by_week(t["runners"], anchor="2021-01-01"), "week", "count_runner") \
+        == [(d("2021-01-01"), 2), (d("2021-01-08"), 1), (d("2021-01-15"), 1)]

@@ -43,3 +43,18 @@ def test_cast_datetime_and_quoted_lists(spark):
     got = sorted(tuple(r) for r in out["customer_orders"].collect())
     assert got[0] == (3, 102, 2, "", None, dt.datetime(2020, 1, 2, 23, 51, 23))
     assert got[1][3:5] == ("2, 6", "1, 4")
+
+
+def test_subscription_plans_decimal_and_null(spark):
+    from decimal import Decimal
+
+    from caseflow import schemas
+    lines = ["INSERT INTO plans", "  (plan_id, plan_name, price)", "VALUES",
+             "  ('0', 'trial', '0'),", "  ('1', 'basic monthly', '9.90'),",
+             "  ('3', 'pro annual', '199'),", "  ('4', 'churn', null);"]
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    out = dump.load_dump(df, {3: ("plans", schemas.PLANS)})
+    got = sorted(tuple(r) for r in out["plans"].collect())
+    assert got == [(0, "trial", Decimal("0.00")), (1, "basic monthly", Decimal("9.90")),
+                   (3, "pro annual", Decimal("199.00")), (4, "churn", None)]
+    assert out["_quarantine"].count() == 0
