@@ -276,14 +276,14 @@ def order_description(co: DataFrame, toppings: DataFrame, names: DataFrame,
     to every (order, pizza) that has a change of that kind.  ``trailing_sep``
     reproduces the ", " left after the last name.
 
-    Plan: one pass over the order lines explodes both lists, names are
-    decoded by a broadcast join, and one de-duplicated frame of
-    (order, pizza, kind, name) feeds both the per-order name lists and the
-    per-(order, pizza) flags (the shared exchange is reused).
+    Plan: one explode of both lists per line, names decoded by a broadcast
+    join of the topping dimension, then two map-side-combined aggregations:
+    per-order name sets (bounded by the number of toppings) and
+    per-(order, pizza) flags, joined on the order.
     """
     items = _tagged_items(co, {"x": F.col("exclusions_new"), "e": F.col("extras_new")})
     d = ls.decode_ids(items, "topping_id", toppings, "topping_id", ["topping_name"], how="left")
-    dedup = d.select("order_id", "pizza_id", "kind", "topping_name").distinct()
+    dedup = d.select("order_id", "pizza_id", "kind", "topping_name")
     named = F.col("topping_name").isNotNull()
     sep = ", "
 
