@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseflow.functions.dates import days_between
-from caseflow.functions.numeric import int_avg, int_div
+from caseflow.functions.numeric import int_avg
 from caseflow.operators import balances as bl
 from caseflow.operators.joins import bounded_broadcast
 from caseflow.operators.measures import count_when, percentiles_disc

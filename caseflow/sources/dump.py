@@ -64,11 +64,6 @@ def parse_lines(lines: DataFrame, col: str = "value") -> DataFrame:
     return t.filter(F.col("tok").isNotNull())
 
 
-def tuple_tokens(lines: DataFrame, col: str = "value") -> DataFrame:
-    """Alias of :func:`parse_lines` kept for readability at call sites."""
-    return parse_lines(lines, col)
-
-
 def token_value(tok: Column) -> Column:
     """Token to text value: quoted -> inner text; bare NULL -> NULL."""
     return (F.when(tok.startswith("'"), F.substring(tok, F.lit(2), F.length(tok) - 2))

@@ -93,3 +93,15 @@ def test_avg_txn_size(cws):
     got = {(x.platform, x.calendar_year): x for x in m.avg_txn_size(cws).collect()}
     r = got[("Retail", 2020)]
     assert isinstance(r.avg_transaction_group, int)
+
+
+def test_write_clean_weekly_partitioned(spark, cws):
+    import os
+    import tempfile
+    path = tempfile.mkdtemp(prefix="cf-cws-") + "/clean_weekly_sales"
+    back = m.write_clean_weekly(cws, path)
+    assert back.count() == cws.count()
+    assert os.path.isdir(f"{path}/calendar_year=2020")
+    pruned = back.filter("calendar_year = 2020")
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and pruned.count() == 7
