@@ -9,7 +9,7 @@ row per order instead of one per line.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -254,36 +254,41 @@ def _changes(co: DataFrame, toppings: DataFrame, list_col: str) -> DataFrame:
                          toppings, "topping_id", ["topping_name"])
 
 
-def _tagged_items(lines: DataFrame, lists: Mapping[str, Column]) -> DataFrame:
-    """One pass over order lines: ``(order_id, pizza_id, kind, item)`` for
-    every element of every list column (``kind`` names the list).  A line
-    whose lists are all empty still yields rows with a NULL item, so the
-    result also carries every (order, pizza) of the input."""
+def _tagged_items(lines: DataFrame, lists: Mapping[str, Column],
+                  keys: Sequence[str] = ("order_id", "pizza_id")) -> DataFrame:
+    """One pass over order lines: ``(*keys, kind, topping_id)`` for every
+    element of every list column (``kind`` names the list).  A line whose
+    lists are all empty still yields rows with a NULL id, so the result also
+    carries every key of the input."""
     tagged = F.explode(F.array(*[
         F.struct(F.lit(kind).alias("kind"), col.alias("lst")) for kind, col in lists.items()]))
-    t = lines.select("order_id", "pizza_id", tagged.alias("t"))
-    return t.select("order_id", "pizza_id", F.col("t.kind").alias("kind"),
+    t = lines.select(*keys, tagged.alias("t"))
+    return t.select(*keys, F.col("t.kind").alias("kind"),
                     F.explode_outer(tx.split_list("t.lst")).alias("item")) \
             .withColumn("topping_id", tx.list_item_id("item")).drop("item")
 
 
 def order_description(co: DataFrame, toppings: DataFrame, names: DataFrame,
                       relabel: Mapping[str, str] = RELABEL,
-                      trailing_sep: bool = False) -> DataFrame:
+                      trailing_sep: bool = False, line_key: str | None = None) -> DataFrame:
     """G4: "Name - Exclude a, b - Extra c" per distinct (order, text).
 
     As in the source, the change names are gathered per *order* and attached
     to every (order, pizza) that has a change of that kind.  ``trailing_sep``
-    reproduces the ", " left after the last name.
+    reproduces the ", " left after the last name.  With ``line_key`` (a
+    column identifying each order line) every line is described by its own
+    changes instead, so two lines of the same pizza stay apart.
 
     Plan: one explode of both lists per line, names decoded by a broadcast
     join of the topping dimension, then two map-side-combined aggregations:
-    per-order name sets (bounded by the number of toppings) and
-    per-(order, pizza) flags, joined on the order.
+    name sets per order (per line with ``line_key``; bounded by the number
+    of toppings) and per-(order, pizza) flags, joined on the order.
     """
-    items = _tagged_items(co, {"x": F.col("exclusions_new"), "e": F.col("extras_new")})
+    line = [line_key] if line_key else []
+    keys = ["order_id", *line, "pizza_id"]
+    items = _tagged_items(co, {"x": F.col("exclusions_new"), "e": F.col("extras_new")}, keys)
     d = ls.decode_ids(items, "topping_id", toppings, "topping_id", ["topping_name"], how="left")
-    dedup = d.select("order_id", "pizza_id", "kind", "topping_name")
+    dedup = d.select(*keys, "kind", "topping_name")
     named = F.col("topping_name").isNotNull()
     sep = ", "
 
@@ -292,25 +297,27 @@ def order_description(co: DataFrame, toppings: DataFrame, names: DataFrame,
             F.when(named & (F.col("kind") == kind), F.col("topping_name")))), sep)
         return F.concat(lst, F.lit(sep)) if trailing_sep else lst
 
-    per_order = dedup.groupBy("order_id").agg(name_list("x").alias("x_names"),
-                                              name_list("e").alias("e_names"))
-    flags = dedup.groupBy("order_id", "pizza_id").agg(
+    per_order = dedup.groupBy("order_id", *line).agg(name_list("x").alias("x_names"),
+                                                     name_list("e").alias("e_names"))
+    flags = dedup.groupBy(*keys).agg(
         F.max(named & (F.col("kind") == "x")).alias("has_x"),
         F.max(named & (F.col("kind") == "e")).alias("has_e"))
-    j = (flags.join(per_order, "order_id")
+    j = (flags.join(per_order, ["order_id", *line])
               .join(names.select("pizza_id", "pizza_name"), "pizza_id"))
     detail = tx.join_phrases(
         tx.relabel("pizza_name", relabel),
         tx.optional_phrase(" - Exclude ", F.when(F.col("has_x"), F.col("x_names"))),
         tx.optional_phrase(" - Extra ", F.when(F.col("has_e"), F.col("e_names"))))
-    return j.select("order_id", detail.alias("order_detail")).distinct()
+    out = j.select("order_id", *line, detail.alias("order_detail"))
+    return out.distinct() if not line else out
 
 
 def ingredient_counts(co: DataFrame, recipes: DataFrame, toppings: DataFrame,
-                      names: DataFrame) -> DataFrame:
+                      names: DataFrame, line_key: str | None = None) -> DataFrame:
     """Topping counts per (order, pizza): standard toppings minus the
     excluded ones plus extras.  Lines of the same pizza in one order share
-    their changes, as in the source.
+    their changes, as in the source; with ``line_key`` each line keeps its
+    own changes (output gains that column).
 
     Plan: every line is joined to its recipe and its three lists (recipe,
     exclusions, extras) are exploded in one pass; a single aggregation per
@@ -318,13 +325,15 @@ def ingredient_counts(co: DataFrame, recipes: DataFrame, toppings: DataFrame,
     exclusions, which zero the standard count (the source's anti-join), so
     hot keys are combined map-side.  Names are attached after aggregating.
     """
-    lines = co.select("order_id", "pizza_id", "exclusions_new", "extras_new") \
+    line = [line_key] if line_key else []
+    keys = ["order_id", *line, "pizza_id"]
+    lines = co.select(*keys, "exclusions_new", "extras_new") \
               .join(recipes.select("pizza_id", "toppings"), "pizza_id", "left")
     items = _tagged_items(lines, {"s": F.col("toppings"), "x": F.col("exclusions_new"),
-                                  "e": F.col("extras_new")})
+                                  "e": F.col("extras_new")}, keys)
     k = F.col("kind")
     agg = items.filter(F.col("topping_id").isNotNull()) \
-        .groupBy("order_id", "pizza_id", "topping_id").agg(
+        .groupBy(*keys, "topping_id").agg(
             count_when(k == "s").alias("n_std"), count_when(k == "e").alias("n_extra"),
             F.max(k == "x").alias("excluded"))
     n = F.when(F.col("excluded"), F.lit(0)).otherwise(F.col("n_std")) + F.col("n_extra")
@@ -333,7 +342,7 @@ def ingredient_counts(co: DataFrame, recipes: DataFrame, toppings: DataFrame,
     out = ls.decode_ids(out, "topping_id", toppings, "topping_id", ["topping_name"])
     return out.join(names.select("pizza_id", F.col("pizza_name").alias("name_of_pizza")),
                     "pizza_id") \
-              .select("order_id", "pizza_id", "topping_id", "name_of_pizza",
+              .select("order_id", *line, "pizza_id", "topping_id", "name_of_pizza",
                       F.col("topping_name").alias("toppings"), "n")
 
 

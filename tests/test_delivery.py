@@ -1,4 +1,6 @@
 import datetime as dt
+
+from pyspark.sql import functions as F
 from decimal import Decimal
 
 import pytest
@@ -142,3 +144,24 @@ def test_signups_anchored_option(t):
     d = dt.date.fromisoformat
     assert rows(dv.signups_by_week(t["runners"], anchor="2021-01-01"), "week", "count_runner") \
         == [(d("2021-01-01"), 2), (d("2021-01-08"), 1), (d("2021-01-15"), 1)]
+
+
+def test_line_key_keeps_twins_apart(spark, t):
+    from pyspark.sql import Window
+    w = Window.orderBy("order_id", "pizza_id", "exclusions_new", "extras_new")
+    co = t["co"].withColumn("line_id", F.row_number().over(w))
+    got = rows(dv.order_description(co, t["pizza_toppings"], t["pizza_names"],
+                                    line_key="line_id"), "order_id", "order_detail")
+    o10 = sorted(x[1] for x in got if x[0] == 10)
+    assert o10 == ["Meat Lovers",
+                   "Meat Lovers - Exclude BBQ Sauce, Mushrooms - Extra Bacon, Cheese"]
+    assert len(got) == 14                       # one description per line
+    ic = dv.ingredient_counts(co, t["pizza_recipes"], t["pizza_toppings"], t["pizza_names"],
+                              line_key="line_id")
+    per_line = {}
+    for r in ic.filter("order_id = 10").collect():
+        per_line.setdefault(r.line_id, {})[r.toppings] = r.n
+    # the unchanged line still has BBQ Sauce; the changed one excludes it
+    plain, changed = sorted(per_line.values(), key=lambda m: "BBQ Sauce" in m, reverse=True)
+    assert plain["BBQ Sauce"] == 1 and plain["Bacon"] == 1
+    assert changed["Bacon"] == 2 and changed["Cheese"] == 2 and "Mushrooms" not in changed
