@@ -99,8 +99,10 @@ def last_before_join(sales: DataFrame, menu: DataFrame, members: DataFrame) -> D
 
 
 def pre_join_totals(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
-    """Items and amount per member before joining."""
-    s = _counts(_member_sales(sales, members, "before"), "customer_id", "product_id")
+    """Items and amount per member before joining (sales are reduced to
+    (customer, date, product) counts before they meet the member table)."""
+    c = _counts(sales, "customer_id", "order_date", "product_id")
+    s = _member_sales(c, members, "before")
     j = s.join(menu.select("product_id", "product_name", "price"), "product_id")
     return j.groupBy("customer_id").agg(
         F.sum(F.when(F.col("product_name").isNotNull(), F.col("n")).otherwise(0))
