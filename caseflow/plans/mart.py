@@ -44,7 +44,9 @@ def clean_weekly(weekly_sales: DataFrame, fix_age_band: bool = False,
     (NULL/'null' -> 'unknown') and ``week_rule='jan1_7day'`` give the intent
     stated in the task text.
     """
-    d = dt.parse_dmy("week_date")
+    # parse once in its own projection; the derived columns refer to it
+    weekly_sales = weekly_sales.withColumn("__date", dt.parse_dmy("week_date"))
+    d = F.col("__date")
     week = dt.week_us(d) if week_rule == "us" else dt.week_jan1_7day(d)
     seg = F.col("segment")
     cols = [d.alias("week_date"), week.alias("week_number"),

@@ -45,13 +45,18 @@ def _sales_lines(t: DriverTables) -> DataFrame:
 
 
 def _supplier_region(t: DriverTables) -> DataFrame:
-    """supplier key -> region key/name (nation and region are fixed-size)."""
+    """supplier key -> region key/name (nation and region are fixed-size).
+
+    The lookup is size-checked for broadcast: joined to line items it must be
+    the build side, never the streamed side (otherwise Catalyst may broadcast
+    the projected line items and produce every joined row in one task)."""
     nat = bounded_broadcast(t.nation.select("n_nationkey", "n_regionkey"))
     reg = bounded_broadcast(t.region.select("r_regionkey", "r_name"))
     s = t.supplier.select("s_suppkey", "s_nationkey")
-    return (s.join(nat, s.s_nationkey == nat.n_nationkey)
-             .join(reg, F.col("n_regionkey") == reg.r_regionkey)
-             .select("s_suppkey", "n_regionkey", "r_name"))
+    sr = (s.join(nat, s.s_nationkey == nat.n_nationkey)
+           .join(reg, F.col("n_regionkey") == reg.r_regionkey)
+           .select("s_suppkey", "n_regionkey", "r_name"))
+    return bounded_broadcast(sr)
 
 
 # --- restaurant ------------------------------------------------------------

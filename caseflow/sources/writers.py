@@ -18,13 +18,14 @@ def materialize(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     lost executor re-reads files instead of recomputing the query).
 
     A plan with fewer partitions than ``min_files`` (default: the cluster's
-    default parallelism) is spread round-robin first, so later scans of the
-    table are not a single task; large inputs already exceed it and are
-    written as they are.
+    default parallelism) is first hash-partitioned on all its columns, so
+    later scans of the table are not a single task; large inputs already
+    exceed it and are written as they are.  (Hashing is deterministic for a
+    retried task without the per-partition sort a round-robin spread needs.)
     """
     n = min_files or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < n:
-        df = df.repartition(n)
+        df = df.repartition(n, *df.columns)
     w = df.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
