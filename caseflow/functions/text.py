@@ -3,6 +3,7 @@ optional phrases and code-character labels (X4, X12-X18)."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
@@ -40,7 +41,7 @@ def strip_units(c: ColumnOrName, units: Sequence[str]) -> Column:
     """Remove the first matching unit suffix and cast to double (the literal
     REPLACE-then-CONVERT form)."""
     c = _c(c)
-    pattern = "(" + "|".join(sorted(units, key=len, reverse=True)) + ")$"
+    pattern = "(" + "|".join(re.escape(u) for u in sorted(units, key=len, reverse=True)) + ")$"
     return F.trim(F.regexp_replace(c, pattern, "")).try_cast("double")
 
 

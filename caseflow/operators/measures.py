@@ -31,10 +31,10 @@ def share_within(df: DataFrame, fine: Sequence[str], coarse: Sequence[str], valu
     ``coarse`` total (``SUM() OVER (PARTITION BY fine) / SUM() OVER
     (PARTITION BY coarse)`` + DISTINCT, rewritten as aggregate-then-window:
     the window only sees the small aggregated frame)."""
-    agg = df.groupBy(*fine).agg(F.sum(value).alias(total_col))
-    denom = F.sum(total_col).over(Window.partitionBy(*coarse)) if coarse else None
-    if denom is None:
+    if not coarse:
         raise ValueError("coarse grain required; use share_of_total for the grand total")
+    agg = df.groupBy(*fine).agg(F.sum(value).alias(total_col))
+    denom = F.sum(total_col).over(Window.partitionBy(*coarse))
     return agg.withColumn(pct_col, percent_of(total_col, denom))
 
 
