@@ -93,3 +93,34 @@ def test_built_once_and_append(spark):
     append(spark.createDataFrame([(1,)], "x int"), path)
     append(spark.createDataFrame([(2,)], "x int"), path)
     assert sorted(r.x for r in spark.read.parquet(path).collect()) == [1, 2]
+
+
+@settings(max_examples=8, deadline=None)
+@given(vals=st.lists(st.tuples(st.sampled_from([1, 2]), st.integers(0, 30)),
+                     min_size=1, max_size=40))
+def test_percentiles_disc_matches_definition(spark, vals):
+    from caseflow.operators.measures import percentiles_disc
+    df = spark.createDataFrame(vals, "g int, v int")
+    ps = {"p50": 0.5, "p80": 0.8, "p95": 0.95}
+    got = {r.g: (r.p50, r.p80, r.p95) for r in percentiles_disc(df, ["g"], "v", ps).collect()}
+
+    want = {}
+    for g in {g for g, _ in vals}:
+        xs = [v for gg, v in vals if gg == g]
+        want[g] = tuple(min(x for x in xs if sum(y <= x for y in xs) / len(xs) >= p)
+                        for p in ps.values())
+    assert got == want
+
+
+@settings(max_examples=8, deadline=None)
+@given(rows=st.lists(st.tuples(st.integers(1, 40), st.integers(0, 100)), min_size=1,
+                     max_size=50),
+       base=st.integers(5, 30), span=st.integers(1, 6))
+def test_before_after_matches_python(spark, rows, base, span):
+    from caseflow.operators.measures import before_after
+    df = spark.createDataFrame(rows, "week_number int, sales int")
+    r = before_after(df, "week_number", "sales", base, span).first()
+    before = [s for w, s in rows if base - span <= w <= base - 1]
+    after = [s for w, s in rows if base <= w <= base + span - 1]
+    assert r.before_change == (sum(before) if before else None)
+    assert r.after_change == (sum(after) if after else None)
