@@ -58,3 +58,16 @@ def test_subscription_plans_decimal_and_null(spark):
     assert got == [(0, "trial", Decimal("0.00")), (1, "basic monthly", Decimal("9.90")),
                    (3, "pro annual", Decimal("199.00")), (4, "churn", None)]
     assert out["_quarantine"].count() == 0
+
+
+def test_read_typed_uses_declared_schema(spark):
+    import tempfile
+
+    from caseflow import schemas
+    from caseflow.sources.tables import read_typed
+    path = tempfile.mkdtemp(prefix="cf-typed-") + "/regions.csv"
+    spark.createDataFrame([("1", "Australia"), ("2", "America")], "a string, b string") \
+         .write.mode("overwrite").csv(path)
+    df = read_typed(spark, path, schemas.REGIONS, fmt="csv")
+    assert df.dtypes == [("region_id", "int"), ("region_name", "string")]
+    assert sorted(tuple(r) for r in df.collect()) == [(1, "Australia"), (2, "America")]
