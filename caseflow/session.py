@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -40,8 +41,9 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the folder must be shared storage configured by the
-    operator; it is read from the session.  Only when it is unset (local
-    tests) a private scratch folder is created and registered.
+    operator; it is read from the session.  Only in local mode, where driver
+    and executors are one process, an unset folder falls back to a private
+    scratch folder; on any other master that is an error.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None)
@@ -51,6 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
+    if not fallback and not re.match(r"local($|\[)", sc.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     path = fallback or tempfile.mkdtemp(prefix="caseflow-ckpt-")
     os.makedirs(path, exist_ok=True)
     sc.setCheckpointDir(path)
