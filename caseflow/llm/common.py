@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import re
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +19,25 @@ WORD_RE = re.compile(WORD)
 SHINGLE_WORDS = 5
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(sc.applicationId)
+    top = Path(__file__).resolve().parents[1]
+    file = Path(tempfile.mkdtemp(prefix="caseflow-")) / "caseflow_package.zip"
+    with zipfile.ZipFile(file, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(top.rglob("*.py")):
+            z.write(p, p.relative_to(top.parent))
+    sc.addPyFile(str(file))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 

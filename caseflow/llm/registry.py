@@ -5,9 +5,15 @@ from __future__ import annotations
 
 from caseflow.llm.exact_dedup import ORACLE as EXACT_DEDUP_SQL
 from caseflow.llm.exact_dedup import op7_exact_dedup
+from caseflow.llm.fingerprint import op3_fingerprints
 from caseflow.llm.mixing import op5_mix_sources
+from caseflow.llm.pieces import op1_sentencepiece
+from caseflow.llm.token_files import op2_token_files
 
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
+    "op2_token_files": op2_token_files,
+    "op3_fingerprints": op3_fingerprints,
     "op5_mix_sources": op5_mix_sources,
     "op7_exact_dedup": op7_exact_dedup,
 }
