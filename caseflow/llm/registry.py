@@ -6,17 +6,27 @@ from __future__ import annotations
 from caseflow.llm.exact_dedup import ORACLE as EXACT_DEDUP_SQL
 from caseflow.llm.exact_dedup import op7_exact_dedup
 from caseflow.llm.fingerprint import op3_fingerprints
+from caseflow.llm.line_templates import ORACLE as LINE_TEMPLATES_SQL
+from caseflow.llm.line_templates import op8_line_templates
 from caseflow.llm.mixing import op5_mix_sources
+from caseflow.llm.near_dedup import op4_near_dedup
 from caseflow.llm.pieces import op1_sentencepiece
+from caseflow.llm.quality import op6_quality
 from caseflow.llm.token_files import op2_token_files
+from caseflow.llm.toxicity import op10_toxicity
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_token_files": op2_token_files,
     "op3_fingerprints": op3_fingerprints,
+    "op4_near_dedup": op4_near_dedup,
     "op5_mix_sources": op5_mix_sources,
+    "op6_quality": op6_quality,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_line_templates": op8_line_templates,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLE_SQL = {
     "op7_exact_dedup": EXACT_DEDUP_SQL,
+    "op8_line_templates": LINE_TEMPLATES_SQL,
 }
