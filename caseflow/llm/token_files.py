@@ -13,7 +13,7 @@ a range of documents alone (``read_documents``).
 
 Text is tokenized by the tokenizers library.  The pre-tokenizer always starts
 a new piece at a single space followed by a printing character, so the text is
-cut there, and each distinct cut is encoded once per worker and remembered (a
+cut there; each distinct cut is encoded once per worker and remembered (a
 bounded number of them).
 
 Defined results: a null text counts as empty and has the end id alone; the text
@@ -30,74 +30,93 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from caseflow.llm.common import documents, scratch, whole_text
+from caseflow.llm.words import Memo, Split, bounded, no_cycle_search, ragged_take
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
-REMEMBERED = 150_000
+REMEMBERED = 450_000
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 2_000
 FILE_SCHEMA = "part int, doc_id bigint, at bigint, n_tokens int, ids array<int>"
-# Safe cuts: a space before a character that no white-space rule can take.
-CUT = re.compile(r" (?=[^\s\x00-\x20\x7f-\xa0᠎ -‏ -  -⁤　﻿])")
-
-
-class Memo:
-    """A dictionary of the most recent entries: two generations, the older
-    one is let go when the younger is full."""
-
-    def __init__(self, make, most: int = REMEMBERED):
-        self.make, self.most, self.young, self.old = make, most, {}, {}
-
-    def all(self, keys: list[str]) -> list:
-        """Values of ``keys``; the missing ones are made in one call."""
-        young, old = self.young, self.old
-        missing = {k for k in keys if k not in young and k not in old}
-        made = {}
-        if missing:
-            missing = list(missing)
-            made = dict(zip(missing, self.make(missing), strict=True))
-            for k, v in made.items():
-                if len(k) <= 64:
-                    young[k] = v
-        out = []
-        for k in keys:
-            v = young.get(k)
-            if v is None:
-                v = old.get(k)
-                if v is None:
-                    v = made[k]
-                else:
-                    young[k] = v
-            out.append(v)
-        if len(young) > self.most:
-            self.young, self.old = {}, young
-        return out
+# White space and characters that some rule may count as such (fixed values):
+# a space is a safe place to cut where none of these follows.
+BLANK = r"\x{0}-\x{20}\x{7f}-\x{a0}\x{1680}\x{180e}\x{2000}-\x{200f}\x{2028}-\x{202f}\x{205f}-\x{2064}\x{3000}\x{feff}"
+UNSAFE = rf" (?:[{BLANK}]|\z)"
+CUT = re.compile(" (?=[^" + re.sub(r"\\x\{(\w+)\}", lambda m: f"\\u{int(m[1], 16):04x}", BLANK) + "])")
 
 
 class TextEncoder:
     """Ids of whole texts, as little-endian bytes of 32-bit ids."""
 
+    JOINED = 256
+
     def __init__(self, file: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.encode_special_tokens = True
-        self.memo = Memo(self._encode)
-
-    def _encode(self, pieces: list[str]) -> list[bytes]:
-        got = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(g.ids, dtype="<u4").tobytes() for g in got]
+        space = self.tokenizer.encode(" ", add_special_tokens=False).tokens[0]
+        size = self.tokenizer.get_vocab_size()
+        self.starts = np.array([(self.tokenizer.id_to_token(i) or "").startswith(space)
+                                for i in range(size)])
+        self.memo, self.first = Memo(self._encode_cuts, REMEMBERED), Memo(self._encode_firsts)
+
+    def _ids(self, text: str) -> np.ndarray:
+        got = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(got[0].ids, dtype="<u4")
+
+    def _encode_cuts(self, cuts: list[str]) -> list[bytes]:
+        """Ids of each cut after its space.  Cuts follow each other in one
+        text; where they start is seen by the ids that start with a space."""
+        out: list[bytes | None] = [None] * len(cuts)
+        plain = []
+        for i, c in enumerate(cuts):
+            if " " in c:
+                out[i] = self._ids(" " + c).tobytes()
+            else:
+                plain.append(i)
+        for lo in range(0, len(plain), self.JOINED):
+            some = plain[lo:lo + self.JOINED]
+            ids = self._ids(" " + " ".join([cuts[i] for i in some]))
+            at = np.flatnonzero(self.starts[ids]).tolist()
+            if len(at) != len(some):
+                raise ValueError("the tokenizer doesn't start a token at each space")
+            raw, at = ids.tobytes(), [*at, len(ids)]
+            for k, i in enumerate(some):
+                out[i] = raw[4 * at[k]:4 * at[k + 1]]
+        return out
 
-    def encode(self, text: str) -> bytes:
-        cut = CUT.split(text)
-        pieces = cut[:1] + [" " + c for c in cut[1:]]
-        return b"".join(self.memo.all(pieces)) if text else b""
+    def _encode_firsts(self, cuts: list[str]) -> list[bytes]:
+        """Ids of cuts that start a text."""
+        return [self._ids(c).tobytes() if c else b"" for c in cuts]
+
+    def encode(self, texts: pa.Array, end_id: int) -> pa.ListArray:
+        """Ids of each text and the end id."""
+        split = Split(texts, UNSAFE, CUT.split)
+        n, at = len(split.words), split.offsets[:-1]
+        # a text's first word has no space before it: entries of their own
+        firsts, code = np.unique(split.codes[at], return_inverse=True)
+        ids = (self.memo.all(split.words)
+               + self.first.all([split.words[i] for i in firsts.tolist()]))
+        codes = split.codes.astype(np.int64)
+        codes[at] = n + code
+        # the end id is one more word of each text
+        ids.append(np.array([end_id], dtype="<u4").tobytes())
+        codes = np.insert(codes, split.offsets[1:], len(ids) - 1)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat = np.frombuffer(b"".join(ids), dtype="<i4")
+        taken = sizes[codes]
+        ends = np.concatenate([[0], np.cumsum(taken)])
+        offsets = ends[split.offsets + np.arange(len(split.offsets))]
+        values = ragged_take(flat, (np.cumsum(sizes) - sizes)[codes], taken)
+        return split.back(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values)))
 
 
 _ENCODERS: dict[str, TextEncoder] = {}
@@ -116,19 +135,15 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end_id:
     spark = docs.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     file = public_tokenizers.path(tokenizer)
-    end = np.array([end_id], dtype="<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, at = encoder(file), 0
         for whole in batches:
-            for lo in range(0, whole.num_rows, 512):
-                b = whole.slice(lo, 512)
-                ids = [enc.encode(t) + end for t in b.column("text").to_pylist()]
-                n = np.fromiter((len(x) // 4 for x in ids), np.int64, len(ids))
-                ends = np.cumsum(n)
-                lists = pa.ListArray.from_arrays(
-                    pa.array(np.concatenate([[0], ends]), pa.int32()),
-                    pa.array(np.frombuffer(b"".join(ids), dtype="<i4"), pa.int32()))
+            for b in bounded(whole, "text"):
+                with no_cycle_search():
+                    lists = enc.encode(b.column("text"), end_id)
+                n = pc.list_value_length(lists).to_numpy()
+                ends = np.cumsum(n, dtype=np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [b.column("part"), b.column("doc_id"), pa.array(at + ends - n, pa.int64()),
                      pa.array(n, pa.int32()), lists],
