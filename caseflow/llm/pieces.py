@@ -27,13 +27,15 @@ import heapq
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseflow.llm.common import documents, whole_text
-from caseflow.llm.token_files import Memo
+from caseflow.llm.words import Memo, Split, bounded, no_cycle_search
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
@@ -57,6 +59,7 @@ class PieceCodec:
                                              or sp.is_unused(i))]
         self.silent = {i for i in range(n) if sp.is_control(i)}
         self.unknown = sp.unk_id()
+        self.odd = {*self.byte_of, *self.silent, self.unknown}
         self.id = {self.text[i]: i for i in plain}
         self.score = {self.text[i]: sp.get_score(i) for i in plain}
         self.chars = {p for p in self.id if len(p) == 1}
@@ -68,7 +71,7 @@ class PieceCodec:
         self.cuts = not any(SPACE in p.lstrip(SPACE) for p in self.id)
         self.machine = ahocorasick.Automaton()
         for p in self.id:
-            self.machine.add_word(p, len(p))
+            self.machine.add_word(p, -len(p) if p in self.tied else len(p))
         self.machine.make_automaton()
         self.shorter: dict[str, str | None] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
@@ -131,22 +134,29 @@ class PieceCodec:
         n = len(s)
         longest = [1] * n
         for end, size in self.machine.iter(s):
+            if size < 0:
+                return self.merged(s)
             start = end - size + 1
             if size > longest[start]:
                 longest[start] = size
-            if size > 1 and self.tied and s[start:end + 1] in self.tied:
-                return self.merged(s)
         dead = bytearray((n >> 3) + 1)  # one bit for each place
+        whole, pairs = self.whole.get, self.pairs.get
         out: list[str] = []
-        at, p = 0, s[:longest[0]]
+        at, last, p = 0, None, s[:longest[0]]
         while True:
             end = at + len(p)
-            if not dead[end >> 3] >> (end & 7) & 1 and self.is_whole(p) \
-                    and (not out or self.compatible(out[-1], p)):
+            good = whole(p)
+            if good is None:
+                good = self.is_whole(p)
+            if good and last is not None:
+                good = pairs((last, p))
+                if good is None:
+                    good = self.compatible(last, p)
+            if good and not dead[end >> 3] >> (end & 7) & 1:
                 out.append(p)
                 if end == n:
                     return out
-                at = end
+                at, last = end, p
                 p = s[at:at + longest[at]]
                 continue
             p = self.next_shorter(p)
@@ -156,24 +166,29 @@ class PieceCodec:
                 dead[at >> 3] |= 1 << (at & 7)
                 p = out.pop()
                 at -= len(p)
+                last = out[-1] if out else None
                 p = self.next_shorter(p)
 
     def encode_cut(self, s: str) -> list[int]:
+        id_of = self.id
+        if self.chars.issuperset(s):
+            return [id_of[p] for p in self.backtracked(s)]
         ids: list[int] = []
-        chars, lo = self.chars, 0
+        lo = 0
         for i, c in enumerate(s):
-            if c not in chars:
+            if c not in self.chars:
                 if i > lo:
-                    ids += [self.id[p] for p in self.backtracked(s[lo:i])]
-                raw = c.encode()
-                ids += [self.bytes[b] for b in raw] if self.bytes else [self.unknown]
+                    ids += [id_of[p] for p in self.backtracked(s[lo:i])]
+                ids += [self.bytes[b] for b in c.encode()] if self.bytes else [self.unknown]
                 lo = i + 1
         if lo < len(s):
-            ids += [self.id[p] for p in self.backtracked(s[lo:])]
+            ids += [id_of[p] for p in self.backtracked(s[lo:])]
         return ids
 
     def decode_cut(self, ids: list[int]) -> str:
         """Text of ids, with spaces; byte pieces join to characters."""
+        if self.odd.isdisjoint(ids):
+            return "".join([self.text[i] for i in ids]).replace(SPACE, " ")
         out, raw = [], bytearray()
         for i in ids:
             b = self.byte_of.get(i)
@@ -191,48 +206,66 @@ class PieceCodec:
 
 
 RUNS = re.compile(f"{SPACE}+[^{SPACE}]*")
+# texts with runs of spaces are cut by RUNS
+SPECIAL = f"^ |  |{SPACE}"
 
 
 class Codec:
-    """Encoding and decoding of whole texts, cut by cut."""
+    """Encoding and decoding of whole texts, cut by cut.  A remembered cut
+    (without the space before it) has its number of ids, the ids as text, and
+    the text decoded from the ids."""
 
     def __init__(self, file: str):
         self.pieces = PieceCodec(file)
+        self.number = [str(i) for i in range(len(self.pieces.text))]
         self.memo = Memo(self._make)
 
-    def _make(self, cuts: list[str]) -> list[tuple[int, bytes, bytes, tuple[int, ...]]]:
+    def _make(self, cuts: list[str]) -> list[tuple[int, str, str]]:
         out = []
+        encode, decode, number = self.pieces.encode_cut, self.pieces.decode_cut, self.number
         for c in cuts:
-            ids = self.pieces.encode_cut(c)
-            out.append((len(ids), ",".join(map(str, ids)).encode(),
-                        self.pieces.decode_cut(ids).encode(), tuple(ids)))
+            ids = encode(SPACE + c)
+            out.append((len(ids), ",".join([number[i] for i in ids]), decode(ids)))
         return out
 
     def cuts(self, text: str) -> list[str]:
+        if not text:
+            return []
         s = SPACE + text.replace(" ", SPACE)
-        if not self.pieces.cuts:
-            return [s]
-        if SPACE + SPACE in s:
-            return RUNS.findall(s)
-        return [SPACE + c for c in s.split(SPACE)[1:]]
+        return [c[1:] for c in RUNS.findall(s)] if self.pieces.cuts else [s[1:]]
 
-    def encoded(self, text: str) -> list[tuple[int, bytes, bytes, tuple[int, ...]]]:
-        return self.memo.all(self.cuts(text)) if text else []
+    def _encoded(self, texts: pa.Array) -> tuple[Split, list[tuple[int, str, str]]]:
+        split = Split(texts, SPECIAL if self.pieces.cuts else "", self.cuts)
+        return split, self.memo.all(split.words)
 
-    def encode(self, text: str) -> list[int]:
-        return [i for c in self.encoded(text) for i in c[3]]
+    def encode(self, texts: pa.Array) -> pa.Array:
+        split, known = self._encoded(texts)
+        ids = [list(map(int, k[1].split(","))) for k in known]
+        lists = [[i for c in split.codes[a:b].tolist() for i in ids[c]]
+                 for a, b in zip(split.offsets[:-1], split.offsets[1:], strict=True)]
+        return split.back(pa.array(lists, pa.list_(pa.int32())))
 
     def decode(self, ids: list[int]) -> str:
         """The leading space that encoding puts before a text is taken off."""
         got = self.pieces.decode_cut(ids)
-        return got[1:] if got.startswith(" ") and ids and ids[0] not in self.pieces.byte_of else got
+        return got[1:] if got.startswith(" ") and ids[0] not in self.pieces.byte_of else got
 
-    def digests(self, text: str) -> tuple[int, str, str]:
+    def digests(self, texts: pa.Array) -> tuple[np.ndarray, pa.Array, pa.Array]:
         """Number of ids, SHA-256 of the ids and of the text decoded from them."""
-        got = self.encoded(text)
-        back = b"".join([c[2] for c in got])[1:]  # without the leading space
-        return (sum([c[0] for c in got]), hashlib.sha256(b",".join([c[1] for c in got])).hexdigest(),
-                hashlib.sha256(back).hexdigest())
+        split, known = self._encoded(texts)
+        sizes, ids, back = zip(*known, strict=True) if known else ((), (), ())
+        codes = pa.array(split.codes)
+        ends = np.concatenate([[0], np.cumsum(np.array(sizes, np.int64)[split.codes])])
+        n = np.diff(ends[split.offsets])
+
+        def digest(parts: tuple[str, ...], between: str, skip: int) -> pa.Array:
+            words = pa.array(parts, pa.large_string()).take(codes)
+            lists = pa.LargeListArray.from_arrays(pa.array(split.offsets, pa.int64()), words)
+            texts = pc.binary_join(lists, pa.scalar(between, pa.large_string()))
+            return pa.array([hashlib.sha256(x.as_buffer()[skip:]).hexdigest()
+                             for x in texts.cast(pa.large_binary())], pa.string())
+
+        return split.back(n), split.back(digest(ids, ",", 0)), split.back(digest(back, "", 1))
 
 
 _CODECS: dict[str, Codec] = {}
@@ -256,11 +289,9 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(file)
         for whole in batches:
-            for lo in range(0, whole.num_rows, 256):
-                b = whole.slice(lo, 256)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id"), pa.array([c.encode(t) for t in b.column("text").to_pylist()],
-                                                  pa.list_(pa.int32()))], names=["doc_id", "ids"])
+            for b in bounded(whole, "text"):
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), c.encode(b.column("text"))],
+                                                 names=["doc_id", "ids"])
 
     return _texts(docs).mapInArrow(run, "doc_id bigint, ids array<int>")
 
@@ -285,13 +316,13 @@ def encode_digests(docs: DataFrame, model: str = MODEL) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(file)
-        for b in batches:
-            got = [c.digests(t) for t in b.column("text").to_pylist()]
-            n, ids, back = zip(*got, strict=True) if got else ((), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.string()),
-                 pa.array(back, pa.string())],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        for whole in batches:
+            for b in bounded(whole, "text"):
+                with no_cycle_search():
+                    n, ids, back = c.digests(b.column("text"))
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("doc_id"), pa.array(n, pa.int64()), ids, back],
+                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return _texts(docs).mapInArrow(run, DIGESTS)
 
