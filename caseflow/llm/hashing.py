@@ -80,8 +80,8 @@ def shingle_sets(texts: list[bytes], size: int) -> list[np.ndarray]:
         if b - a >= size:
             out.append(np.unique(grams[a:b - size + 1]))
         elif b > a:
-            short = (words[a:b] * c[:b - a]).sum(dtype=np.uint64) + c[63] * np.uint64(b - a)
-            out.append(mix(np.array([short], np.uint64)))
+            short = (words[a:b] * c[:b - a]).sum(dtype=np.uint64, keepdims=True)
+            out.append(mix(short + c[63:] * np.uint64(b - a)))
         else:
             out.append(np.empty(0, np.uint64))
     return out

@@ -46,23 +46,29 @@ def statistics(text: str) -> np.ndarray:
     raw = text.encode()
     counts = np.bincount(np.frombuffer(raw, np.uint8), minlength=256)
     kinds = np.bincount(_KIND, weights=counts, minlength=8)
-    n = max(1, len(raw))
-    share = counts[counts > 0] / n
+    n = len(raw)
+    share = counts[counts > 0] / max(1, n)
     words = text.split()
-    m = max(1, len(words))
+    m = len(words)
     seen = Counter(words)
     pairs = len(set(zip(words, words[1:], strict=False)))
     same = sum(map(str.__eq__, words, words[1:]))
     marked = sum(1 for w in words if not w[-1].isalnum())
     lines = [x for x in text.split("\n") if x]
-    logit = lambda part, of: np.log((part + 0.5) / (of - part + 0.5))
+
+    def logit(part: float, of: int, usual: float, weight: int) -> float:
+        """Log odds of a share, of short texts drawn towards a usual share."""
+        return np.log((part + usual * weight) / (of - part + (1 - usual) * weight))
+
     return np.array([
-        np.log1p(len(words)), np.log(n / m), logit(kinds[1], n), logit(kinds[2], n),
-        logit(kinds[3], n), logit(kinds[4], n), logit(kinds[5], n), logit(kinds[6], n),
-        logit(kinds[7], n), np.log(len(seen) + 1) / np.log(m + 2),
-        logit(max(seen.values(), default=0), m), logit(same, m),
-        np.log1p(len(lines)), logit(len(lines) - len(set(lines)), max(1, len(lines))),
-        -(share * np.log(share)).sum(), logit(pairs, m), logit(marked, m)])
+        np.log1p(m), np.log((n + 180) / (m + 30)), logit(kinds[1], n, 0.03, 60),
+        logit(kinds[2], n, 0.01, 60), logit(kinds[3], n, 0.02, 60), logit(kinds[4], n, 0.02, 60),
+        logit(kinds[5], n, 0.003, 60), logit(kinds[6], n, 0.003, 60), logit(kinds[7], n, 0.03, 60),
+        np.log(len(seen) + 10) / np.log(m + 10), logit(max(seen.values(), default=0), m + 1, 0.05, 20),
+        logit(same, m, 0.01, 20), np.log1p(len(lines)),
+        logit(len(lines) - len(set(lines)), len(lines), 0.02, 5),
+        -(share * np.log(share)).sum() / np.log(min(n, 60) + 2), logit(pairs, m, 0.95, 20),
+        logit(marked, m, 0.15, 10)])
 
 
 def features(docs: DataFrame) -> DataFrame:
