@@ -68,7 +68,7 @@ def drop_lines(docs: DataFrame, **options) -> DataFrame:
     gone = (dropped_lines(docs, **options).groupBy("doc_id")
             .agg(F.collect_set("line_no").alias("__gone")))
     lines = F.split(whole_text(), "\n", -1)
-    rows = docs.select("doc_id", "text").join(gone, "doc_id", "left")
+    rows = docs.select("doc_id", "text").join(gone.hint("merge"), "doc_id", "left")
     rows = rows.select("doc_id", lines.alias("lines"),
                        F.coalesce("__gone", F.array().cast("array<int>")).alias("gone"))
     kept = F.filter("lines", lambda x, i: ~F.array_contains(F.col("gone"), i))

@@ -3,7 +3,7 @@
 Texts are sets of five-word shingles.  Texts with the same set are one class,
 and only one document of a class goes on.  A class has a MinHash signature of
 ``COORDS`` coordinates and is posted under each (coordinate, value).  Two sets
-with a likeness of 0.85 agree in 54 of 64 coordinates on average, and in fewer
+with a likeness of 0.85 agree in 109 of 128 coordinates on average, and in fewer
 than ``MATCHES`` with a probability below 1e-5; pairs with at least ``MATCHES``
 equal coordinates are retained and confirmed on their full sets.
 
@@ -44,10 +44,11 @@ from caseflow.llm.components import components
 from caseflow.llm.hashing import mix, shingle_sets
 from caseflow.llm.words import bounded
 
-COORDS = 64
-MATCHES = 40
+COORDS = 128
+MATCHES = 90
 LIKE_PERCENT = 85
 PIVOT_ROUNDS = 2
+SKIP_ROUNDS = 2
 _A = np.random.default_rng(11).integers(1, 2**63, COORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -123,13 +124,16 @@ def _pair_bound(a: str, b: str) -> Column:
     return _possible(most, F.col(f"{a}.n") + F.col(f"{b}.n") - most)
 
 
+def _equal_coords() -> Column:
+    return F.size(F.filter(F.zip_with("a.sig", "b.sig", lambda x, y: x == y), lambda x: x))
+
+
 def confirmed(pairs: DataFrame, sigs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (u, v) that link: enough equal coordinates, then the exact
     likeness of the full sets."""
-    equal = F.size(F.filter(F.zip_with("a.sig", "b.sig", lambda x, y: x == y), lambda x: x))
     kept = (pairs.join(sigs.alias("a"), F.col("u") == F.col("a.id"))
             .join(sigs.alias("b"), F.col("v") == F.col("b.id"))
-            .filter(equal >= MATCHES).select("u", "v"))
+            .filter(_equal_coords() >= MATCHES).select("u", "v"))
     kept = stored(kept, "retained")
     both = F.size(F.array_intersect("a.shingles", "b.shingles"))
     return (kept.join(sets.alias("a"), F.col("u") == F.col("a.id"))
@@ -149,20 +153,22 @@ def links(docs: DataFrame, reps: DataFrame) -> DataFrame:
                      docs["doc_id"].cast("bigint") == F.col("__id"), "left_semi")
     # rows that repeat an id are one document: one of its sets stands for it
     sets = stored(full_sets(sets), "full_sets")
-    lone = _alone(sets.select("id", F.explode("shingles").alias("h")), "h")
-    near = (near.join(lone, "id", "left")
-            .withColumn("shared", F.col("n") - F.coalesce("alone", F.lit(0)))
-            .filter(_possible(F.col("shared"), F.col("n"))).select("id", "n", "shared", "sig"))
-    near = stored(near, "near_docs")
-    sets = stored(sets.join(near.select("id"), "id", "left_semi"), "near_sets")
+    for turn in range(SKIP_ROUNDS):  # what only skipped documents share is no longer shared
+        lone = _alone(sets.select("id", F.explode("shingles").alias("h")), "h")
+        near = (near.select("id", "n", "sig").join(lone, "id", "left")
+                .withColumn("shared", F.col("n") - F.coalesce("alone", F.lit(0)))
+                .filter(_possible(F.col("shared"), F.col("n"))).select("id", "n", "shared", "sig"))
+        near = stored(near, "near_docs")
+        sets = stored(sets.join(near.select("id"), "id", "left_semi"), "near_sets")
 
     # rare coordinates first; those that one class alone has count, but lead nowhere
     keys = _keys(near)
     often = keys.groupBy("key").agg(F.count(F.lit(1)).alias("c"))
     ranked = keys.join(often, "key").groupBy("id").agg(F.slice(F.array_sort(F.collect_list(
         F.struct("c", F.xxhash64("key").alias("h"), "key"))), 1, first).alias("prefix"))
-    posted = (ranked.select("id", F.explode("prefix").alias("p")).filter("p.c > 1")
-              .select(F.col("p.key").alias("key"), "id"))
+    prefixes = stored(ranked.select("id", F.transform(
+        F.filter("prefix", lambda p: p["c"] > 1), lambda p: p["key"]).alias("prefix")), "prefixes")
+    posted = prefixes.select(F.explode("prefix").alias("key"), "id")
     posted = stored(posted.join(near.select("id", "n", "shared"), "id"), "postings")
 
     found = None
@@ -184,12 +190,17 @@ def links(docs: DataFrame, reps: DataFrame) -> DataFrame:
             per = now.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
             main = per.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("m"),
                                           F.count(F.lit(1)).alias("comps")).filter("comps > 1")
-            rest = (now.join(main, "key").filter("comp <> m.comp")
-                    .select("key", "id", "n", "shared", "comp", F.col("m.comp").alias("main")))
-            some = rest.alias("a").join(
-                now.alias("b"), F.expr("a.key = b.key and a.comp <> b.comp "
-                                       "and (b.comp = a.main or a.id < b.id)")
-                & _pair_bound("a", "b"))
+            left = (now.join(main, "key").join(prefixes, "id").join(near.select("id", "sig"), "id")
+                    .select("key", "id", "n", "shared", "comp", F.col("m.comp").alias("main"),
+                            "prefix", "sig"))
+            left = stored(left, "postings_left")
+            # a pair comes out of one of its common lists only
+            some = left.filter("comp <> main").alias("a").join(
+                left.alias("b"), F.expr("a.key = b.key and a.comp <> b.comp "
+                                        "and (b.comp = a.main or a.id < b.id)")
+                & _pair_bound("a", "b")
+                & F.expr("a.key = array_min(array_intersect(a.prefix, b.prefix))")
+                & (_equal_coords() >= MATCHES))
         pairs = some.select(F.greatest("a.id", "b.id").alias("u"),
                             F.least("a.id", "b.id").alias("v")).distinct()
         new = confirmed(pairs, near.select("id", "sig"), sets)

@@ -12,6 +12,7 @@ from caseflow.llm.mixing import op5_mix_sources
 from caseflow.llm.near_dedup import op4_near_dedup
 from caseflow.llm.pieces import op1_sentencepiece
 from caseflow.llm.quality import op6_quality
+from caseflow.llm.suffix_dedup import op9_suffix_dedup
 from caseflow.llm.token_files import op2_token_files
 from caseflow.llm.toxicity import op10_toxicity
 
@@ -24,6 +25,7 @@ QUERIES = {
     "op6_quality": op6_quality,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_line_templates": op8_line_templates,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_toxicity": op10_toxicity,
 }
 ORACLE_SQL = {
