@@ -3,6 +3,7 @@ express them."""
 
 from __future__ import annotations
 
+import corpus_pipeline
 from caseflow.llm.exact_dedup import ORACLE as EXACT_DEDUP_SQL
 from caseflow.llm.exact_dedup import op7_exact_dedup
 from caseflow.llm.fingerprint import op3_fingerprints
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_line_templates": op8_line_templates,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_toxicity": op10_toxicity,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLE_SQL = {
     "op7_exact_dedup": EXACT_DEDUP_SQL,
