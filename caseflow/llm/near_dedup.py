@@ -70,7 +70,7 @@ def signatures(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for b in bounded(whole, "text"):
+            for b in bounded(whole, "text", 1 << 20):
                 sets = shingle_sets([t.encode() for t in b.column("text").to_pylist()], SHINGLE_WORDS)
                 keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
                 sig = np.concatenate([signature(s) for s in sets])
@@ -90,7 +90,7 @@ def full_sets(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for b in bounded(whole, "text"):
+            for b in bounded(whole, "text", 1 << 20):
                 sets = shingle_sets([t.encode() for t in b.column("text").to_pylist()], SHINGLE_WORDS)
                 offs = np.cumsum([0] + [len(s) for s in sets])
                 lists = pa.ListArray.from_arrays(pa.array(offs, pa.int32()),

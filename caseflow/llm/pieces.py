@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseflow.llm.common import documents, whole_text
-from caseflow.llm.words import Memo, Split, bounded, no_cycle_search
+from caseflow.llm.words import Memo, Split, bounded, remembering
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
@@ -316,13 +316,13 @@ def encode_digests(docs: DataFrame, model: str = MODEL) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(file)
-        for whole in batches:
-            for b in bounded(whole, "text"):
-                with no_cycle_search():
+        with remembering(c.memo):
+            for whole in batches:
+                for b in bounded(whole, "text"):
                     n, ids, back = c.digests(b.column("text"))
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id"), pa.array(n, pa.int64()), ids, back],
-                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                    yield pa.RecordBatch.from_arrays(
+                        [b.column("doc_id"), pa.array(n, pa.int64()), ids, back],
+                        names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return _texts(docs).mapInArrow(run, DIGESTS)
 

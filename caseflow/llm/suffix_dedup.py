@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from caseflow.llm.common import documents, ship_package, whole_text
 from caseflow.llm.hashing import mix, prefix_hashes, span_hashes, tables
-from caseflow.llm.words import bounded
+from caseflow.llm.words import bounded, ragged_take
 
 LENGTH = 50
 GRAM = 20
@@ -48,6 +48,7 @@ BEFORE = LENGTH - GRAM      # bytes of a context before its anchor
 CONTEXT = BEFORE + LENGTH
 NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 ROWS = 50_000               # contexts sorted at once, of whole anchors
+PIECE_BYTES = 1 << 20       # of text at once, so that its hashes stay in the cache
 MESSAGE = "bucket int, body binary"
 
 
@@ -85,6 +86,18 @@ def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     return data, starts, at, g[at]
 
 
+def reach(at: np.ndarray, h: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple:
+    """The bytes of each anchor's context that its windows cover: those in its
+    text in which no neighbouring anchor has a lesser hash (of equal ones the
+    first counts).  Equal windows are so tested at the same anchor."""
+    low = np.maximum(start, at - BEFORE)
+    high = np.minimum(end, at + LENGTH)
+    if len(at) > 1:
+        low[1:] = np.maximum(low[1:], np.where(h[:-1] <= h[1:], at[:-1] + 1, 0))
+        high[:-1] = np.minimum(high[:-1], np.where(h[1:] < h[:-1], at[1:] + GRAM - 1, high[:-1]))
+    return low - at + BEFORE, high - at + BEFORE
+
+
 def _pack(**arrays: np.ndarray) -> bytes:
     sink = pa.BufferOutputStream()
     table = pa.table({"n": [len(a) for a in arrays.values()],
@@ -110,31 +123,40 @@ def _owners(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return order, starts, several
 
 
+def _dealt(rows: np.ndarray, bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """``rows`` by their buckets, each in the order given."""
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    for a in np.flatnonzero(np.diff(bucket, prepend=-1)):
+        b = np.searchsorted(bucket, bucket[a], side="right")
+        yield int(bucket[a]), rows[order[a:b]]
+
+
 def _batch(buckets: np.ndarray | list, bodies: list[bytes]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array(bodies, pa.binary())],
                                       names=["bucket", "body"])
 
 
 def _hash_lists(doc: np.ndarray, h: np.ndarray) -> pa.Table:
-    """(doc_id, hashes) with the packed distinct hashes of each id."""
+    """(id, hashes) with the packed distinct hashes of each id."""
     order = np.lexsort((h, doc))
     doc, h = doc[order], h[order]
     at = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.empty(0, int)
     ends = np.append(at[1:], len(doc))
-    return pa.table({"doc_id": pa.array(doc[at], pa.int64()),
+    return pa.table({"id": pa.array(doc[at], pa.int64()),
                      "hashes": pa.array([h[a:b].tobytes() for a, b in zip(at, ends, strict=True)],
                                         pa.binary())})
 
 
 def shared_anchors(rows: DataFrame, buckets: int) -> DataFrame:
-    """(doc_id, hashes): the anchors of each id that other ids have as well."""
+    """(id, hashes): the anchors of each id that other ids have as well."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs, hashes = [], []
         for whole in batches:
-            for b in bounded(whole, "text"):
+            for b in bounded(whole, "text", PIECE_BYTES):
                 _, starts, at, h = anchors([t.encode() for t in b.column("text").to_pylist()])
-                ids = np.asarray(b.column("doc_id"))
+                ids = np.asarray(b.column("id"))
                 docs.append(ids[np.searchsorted(starts, at, side="right") - 1])
                 hashes.append(h)
         doc = np.concatenate(docs) if docs else np.empty(0, np.int64)
@@ -142,17 +164,13 @@ def shared_anchors(rows: DataFrame, buckets: int) -> DataFrame:
         del docs, hashes
         order, first, several = _owners(h, doc)
         known = order[several]
-        for k in range(buckets):  # settled here; on their way to their documents
-            mine = known[doc[known] % buckets == k]
-            if len(mine):
-                yield _batch([k], [b"S" + _pack(doc=doc[mine], h=h[mine])])
+        for k, mine in _dealt(known, doc[known] % buckets):  # settled; on the way to their documents
+            yield _batch([k], [b"S" + _pack(doc=doc[mine], h=h[mine])])
         sent = np.sort(order[first])
-        for k in range(buckets):
-            mine = sent[h[sent] % np.uint64(buckets) == k]
-            if len(mine):
-                d, n = np.unique(doc[mine], return_counts=True)
-                o = mine[np.argsort(doc[mine], kind="stable")]
-                yield _batch([k], [b"A" + _pack(doc=d, n=n.astype(np.int32), h=h[o])])
+        for k, mine in _dealt(sent, (h[sent] % np.uint64(buckets)).astype(np.int64)):
+            d, n = np.unique(doc[mine], return_counts=True)
+            o = mine[np.argsort(doc[mine], kind="stable")]
+            yield _batch([k], [b"A" + _pack(doc=d, n=n.astype(np.int32), h=h[o])])
 
     def settle(table: pa.Table) -> pa.Table:
         docs, hashes, known_doc, known_h = [], [], [], []
@@ -174,38 +192,43 @@ def shared_anchors(rows: DataFrame, buckets: int) -> DataFrame:
         return _hash_lists(np.concatenate(known_doc), np.concatenate(known_h))
 
     found = (rows.mapInArrow(send, MESSAGE).groupBy("bucket")
-             .applyInArrow(settle, "doc_id bigint, hashes binary"))
-    return found.groupBy("doc_id").agg(F.collect_list("hashes").alias("hashes"))
+             .applyInArrow(settle, "id bigint, hashes binary"))
+    return found.groupBy("id").agg(F.collect_list("hashes").alias("hashes"))
 
 
 class Suffixes:
     """Suffixes of contexts: row and place in it; compared on LENGTH bytes."""
 
     def __init__(self, contexts: np.ndarray):
-        self.bytes = contexts
+        self.bytes = np.ascontiguousarray(contexts).ravel()
         flat = np.zeros((len(contexts), CONTEXT + 1), np.uint64)
         np.cumsum((contexts.astype(np.uint64) + np.uint64(1)) * tables(CONTEXT)[0][:CONTEXT],
                   axis=1, out=flat[:, 1:])
-        self.prefix, self.inverse = flat, tables(CONTEXT + 1)[1][:CONTEXT + 1]
+        self.prefix = flat.ravel()
 
     def common(self, r: np.ndarray, s: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Longest common extension, LENGTH at most, of the suffixes of rows r
         and s from the same place, by binary search over prefix hashes."""
-        low, high = np.zeros(len(r), np.int64), np.full(len(r), LENGTH)
-        r0, s0 = self.prefix[r, at], self.prefix[s, at]
-        while True:
-            open_ = low < high
-            if not open_.any():
-                return low
-            mid = (low + high + 1) // 2
-            same = (self.prefix[r, at + mid] - r0) == (self.prefix[s, at + mid] - s0)
-            low = np.where(open_ & same, mid, low)
-            high = np.where(open_ & ~same, mid - 1, high)
-
-    def less(self, r: np.ndarray, s: np.ndarray, at: np.ndarray, or_equal: bool) -> np.ndarray:
+        width = CONTEXT + 1
+        a, b = r * width + at, s * width + at
+        gap = self.prefix[a] - self.prefix[b]  # stays as long as the bytes are equal
+        out = np.full(len(r), LENGTH)
+        left = np.flatnonzero(self.prefix[a + LENGTH] - self.prefix[b + LENGTH] != gap)
+        a, b, gap = a[left], b[left], gap[left]
+        low, high = np.zeros(len(left), np.int64), np.full(len(left), LENGTH - 1)
+        for _ in range(LENGTH.bit_length()):
+            mid = (low + high + 1) >> 1
+            same = self.prefix[a + mid] - self.prefix[b + mid] == gap
+            low = np.where(same, mid, low)
+            high = np.where(same, high, np.maximum(mid - 1, low))
+        out[left] = low
+        return out
+
+    def less(self, r: np.ndarray, s: np.ndarray, at: np.ndarray, or_equal: np.ndarray) -> np.ndarray:
         n = self.common(r, s, at)
         end = np.minimum(at + n, CONTEXT - 1)
-        return np.where(n == LENGTH, or_equal, self.bytes[r, end] < self.bytes[s, end])
+        return np.where(n == LENGTH, or_equal,
+                        self.bytes[r * CONTEXT + end] < self.bytes[s * CONTEXT + end])
 
     def sort(self, row: np.ndarray, at: np.ndarray, group: np.ndarray) -> np.ndarray:
         """Order of the suffixes in each group (rows of a group follow each
@@ -237,10 +260,7 @@ class Suffixes:
                 mid = (lo[open_] + hi[open_]) // 2
                 them, us = order[mid], me[open_]
                 # of equal suffixes those of the left run come first
-                before = np.empty(len(open_), bool)
-                for side in (True, False):
-                    pick = np.flatnonzero(left[open_] == side)
-                    before[pick] = self.less(row[them[pick]], row[us[pick]], at[us[pick]], not side)
+                before = self.less(row[them], row[us], at[us], ~left[open_])
                 lo[open_] = np.where(before, mid + 1, lo[open_])
                 hi[open_] = np.where(before, hi[open_], mid)
             rank = lo - other
@@ -305,7 +325,7 @@ def _context_key(h: np.ndarray, low: np.ndarray, high: np.ndarray, contexts: np.
     return out
 
 
-SPANS = "doc_id bigint, row_key bigint, spans binary"
+SPANS = "id bigint, row_key bigint, spans binary"
 PAIR = np.dtype([("doc", "i8"), ("row", "i8")])
 
 
@@ -316,62 +336,62 @@ def _span_table(doc: np.ndarray, row: np.ndarray, start: np.ndarray, end: np.nda
     start, end, group = _merge(start, end, group.astype(np.int64))
     at = np.searchsorted(group, np.arange(len(keys) + 1))
     body = np.stack([start, end], axis=1).astype(np.int64)
-    return pa.table({"doc_id": pa.array(keys["doc"], pa.int64()),
+    return pa.table({"id": pa.array(keys["doc"], pa.int64()),
                      "row_key": pa.array(keys["row"], pa.int64()),
                      "spans": pa.array([body[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)],
                                        pa.binary())})
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    return docs.filter(F.col("doc_id").isNotNull()).select(
+        F.col("doc_id").cast("bigint").alias("id"), whole_text().alias("text"),
+        F.xxhash64(whole_text()).alias("row_key"))
+
+
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, row_key, spans): the byte ranges of each text to remove;
-    ``row_key`` is the xxhash64 of the text."""
+    """(id, spans): the byte ranges to remove from an id's texts, as
+    (row_key, spans) entries; ``row_key`` is the xxhash64 of the text."""
     spark = docs.sparkSession
     ship_package(spark)
     buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.filter(F.col("doc_id").isNotNull()).select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
+    rows = _rows(docs)
     shared = shared_anchors(rows, buckets)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = []
         for whole in batches:
-            for b in bounded(whole, "text"):
+            for b in bounded(whole, "text", PIECE_BYTES):
                 data, starts, at, h = anchors([t.encode() for t in b.column("text").to_pylist()])
                 text = np.searchsorted(starts, at, side="right") - 1
                 known = [np.frombuffer(b"".join(x), "u8") for x in b.column("hashes").to_pylist()]
                 bounds = np.searchsorted(text, np.arange(b.num_rows + 1))
                 keep = np.concatenate([np.empty(0, bool)] + [
                     np.isin(h[lo:hi], k) for lo, hi, k in zip(bounds[:-1], bounds[1:], known, strict=True)])
-                at, h, text = at[keep], h[keep], text[keep]
+                low, high = reach(at, h, starts[text], starts[text + 1])
+                at, h, text, low, high = at[keep], h[keep], text[keep], low[keep], high[keep]
                 off = at - BEFORE
-                low = np.maximum(starts[text] - off, 0)
-                high = np.minimum(starts[text + 1] - off, CONTEXT)
                 padded = np.concatenate([np.zeros(BEFORE, np.uint8), data, np.zeros(CONTEXT, np.uint8)])
                 ctx = np.lib.stride_tricks.sliding_window_view(padded, CONTEXT)[at].copy()
                 place = np.arange(CONTEXT)[None, :]
                 ctx[(place < low[:, None]) | (place >= high[:, None])] = 0
-                parts.append((h, np.asarray(b.column("doc_id"))[text], np.asarray(b.column("row_key"))[text],
+                parts.append((h, np.asarray(b.column("id"))[text], np.asarray(b.column("row_key"))[text],
                               off - starts[text], low.astype(np.int8), high.astype(np.int8), ctx))
         if not parts:
             return
         h, doc, row, off, low, high, ctx = (np.concatenate(x) for x in zip(*parts, strict=True))
         del parts
-        # equal contexts of this task: the smallest id stands for all
+        # equal contexts of this task: those of the smallest id stand for all
         order, first, _ = _owners(_context_key(h, low, high, ctx), doc)
-        sizes = np.diff(np.append(first, len(order)))
-        later = order[doc[order] > np.repeat(doc[order[first]], sizes)] if len(order) else order
-        for k in range(buckets):
-            mine = later[doc[later] % buckets == k]
-            if len(mine):
-                yield _batch([k], [b"S" + _pack(d=doc[mine], r=row[mine], a=off[mine] + low[mine],
-                                                b=off[mine] + high[mine])])
-        sent = order[first]
-        for k in range(buckets):
-            mine = sent[h[sent] % np.uint64(buckets) == k]
+        own = doc[order] == np.repeat(doc[order[first]], np.diff(np.append(first, len(order))))
+        later, sent = order[~own], order[own]
+        later = later[high[later] - low[later] >= LENGTH]
+        for k, mine in _dealt(later, doc[later] % buckets):
+            yield _batch([k], [b"S" + _pack(d=doc[mine], r=row[mine], a=off[mine] + low[mine],
+                                            b=off[mine] + high[mine])])
+        for k, mine in _dealt(sent, (h[sent] % np.uint64(buckets)).astype(np.int64)):
             mine = mine[np.argsort(h[mine], kind="stable")]
-            if len(mine):
-                yield _batch([k], [b"C" + _pack(h=h[mine], d=doc[mine], r=row[mine], o=off[mine],
-                                                a=low[mine], b=high[mine], c=ctx[mine])])
+            yield _batch([k], [b"C" + _pack(h=h[mine], d=doc[mine], r=row[mine], o=off[mine],
+                                            a=low[mine], b=high[mine], c=ctx[mine])])
 
     def settle(table: pa.Table) -> pa.Table:
         spans, parts = [], []
@@ -386,43 +406,57 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
             ctx = ctx.reshape(-1, CONTEXT)
             del parts
             order, first, _ = _owners(_context_key(h, low, high, ctx), doc)
-            sizes = np.diff(np.append(first, len(order)))
-            later = order[doc[order] > np.repeat(doc[order[first]], sizes)]
+            which = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(order))))
+            own = doc[order] == doc[order[first]][which]
+            later = order[~own]
+            later = later[high[later] - low[later] >= LENGTH]
             spans.append([doc[later], row[later], off[later] + low[later], off[later] + high[later]])
+            # the places of each context in its smallest id
+            places, which = order[own], which[own]
             # contexts that differ, of anchors that have several of them
-            one = order[first]
-            one = one[np.argsort(h[one], kind="stable")]
-            _, inverse, count = np.unique(h[one], return_inverse=True, return_counts=True)
+            key = h[order[first]]
+            one = np.argsort(key, kind="stable")
+            _, inverse, count = np.unique(key[one], return_inverse=True, return_counts=True)
             one = one[count[inverse] > 1]
-            edge = np.flatnonzero(np.concatenate([[True], h[one][1:] != h[one][:-1], [True]])) \
+            key = key[one]
+            edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]])) \
                 if len(one) else np.zeros(1, int)
             lo = 0
             while lo < len(edge) - 1:
                 hi = max(lo + 1, int(np.searchsorted(edge, edge[lo] + ROWS, side="right")) - 1)
-                x = one[edge[lo]:edge[hi]]
+                some = one[edge[lo]:edge[hi]]
+                x = order[first[some]]
                 hit, place = np.nonzero(repeated_windows(h[x], doc[x], low[x], high[x], ctx[x]))
-                x = x[hit]
-                spans.append([doc[x], row[x], off[x] + place, off[x] + place + LENGTH])
+                begin = np.searchsorted(which, some[hit])
+                times = np.searchsorted(which, some[hit], side="right") - begin
+                x = ragged_take(places, begin, times)
+                start = off[x] + np.repeat(place, times)
+                spans.append([doc[x], row[x], start, start + LENGTH])
                 lo = hi
         return _span_table(*(np.concatenate(x) for x in zip(*spans, strict=True)))
 
-    near = rows.join(shared.hint("merge"), "doc_id").withColumn("row_key", F.xxhash64("text"))
+    near = rows.join(shared.hint("merge"), "id")
     return (near.mapInArrow(send, MESSAGE).groupBy("bucket").applyInArrow(settle, SPANS)
-            .groupBy("doc_id", "row_key").agg(F.collect_list("spans").alias("spans")))
+            .groupBy("id").agg(F.collect_list(F.struct("row_key", "spans")).alias("spans")))
 
 
 KEPT = "doc_id bigint, n_bytes bigint, kept binary, starts array<bigint>, ends array<bigint>"
 
 
 def _with_spans(docs: DataFrame) -> DataFrame:
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
-    rows = rows.withColumn("row_key", F.xxhash64("text"))
-    return rows.join(repeated_spans(docs).hint("merge"), ["doc_id", "row_key"], "left")
+    # the texts are dealt by id once, for this join and the one inside
+    got = _rows(docs).join(repeated_spans(docs).hint("merge"), "id", "left")
+    own = F.transform(F.filter("spans", lambda s: s["row_key"] == F.col("row_key")),
+                      lambda s: s["spans"])
+    none = docs.filter(F.col("doc_id").isNull()).select(
+        F.lit(None).cast("bigint").alias("id"), whole_text().alias("text"),
+        F.lit(None).cast("array<binary>").alias("spans"))
+    return got.select("id", "text", own.alias("spans")).union(none)
 
 
 def _cut(batch: pa.RecordBatch) -> Iterator[tuple]:
     """(id, bytes, spans, bytes left) of each row."""
-    for i, text, spans in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(),
+    for i, text, spans in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(),
                               batch.column("spans").to_pylist(), strict=True):
         raw = text.encode()
         s = np.frombuffer(b"".join(spans or ()), np.int64).reshape(-1, 2)
@@ -438,7 +472,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for b in bounded(whole, "text"):
+            for b in bounded(whole, "text", PIECE_BYTES):
                 got = [(i, len(raw), kept, s.tolist(), e.tolist()) for i, raw, s, e, kept in _cut(b)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x, t) for x, t in zip(zip(*got, strict=True), (

@@ -36,11 +36,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from caseflow.llm.common import documents, scratch, whole_text
-from caseflow.llm.words import Memo, Split, bounded, no_cycle_search, ragged_take
+from caseflow.llm.words import Memo, Split, bounded, remembering, ragged_take
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
-REMEMBERED = 450_000
+REMEMBERED = 300_000
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 2_000
@@ -138,17 +138,17 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end_id:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, at = encoder(file), 0
-        for whole in batches:
-            for b in bounded(whole, "text"):
-                with no_cycle_search():
+        with remembering(enc.memo, enc.first):
+            for whole in batches:
+                for b in bounded(whole, "text"):
                     lists = enc.encode(b.column("text"), end_id)
-                n = pc.list_value_length(lists).to_numpy()
-                ends = np.cumsum(n, dtype=np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("part"), b.column("doc_id"), pa.array(at + ends - n, pa.int64()),
-                     pa.array(n, pa.int32()), lists],
-                    names=["part", "doc_id", "at", "n_tokens", "ids"])
-                at += int(n.sum())
+                    n = pc.list_value_length(lists).to_numpy()
+                    ends = np.cumsum(n, dtype=np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [b.column("part"), b.column("doc_id"), pa.array(at + ends - n, pa.int64()),
+                         pa.array(n, pa.int32()), lists],
+                        names=["part", "doc_id", "at", "n_tokens", "ids"])
+                    at += int(n.sum())
 
     rows = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
             .repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")

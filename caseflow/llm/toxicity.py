@@ -139,7 +139,7 @@ def fit(docs: DataFrame, marks: DataFrame) -> Linear:
     def presences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.zeros((2, 1 << HASH_BITS), np.int64)
         for whole in batches:
-            for b in bounded(whole, "text"):
+            for b in bounded(whole, "text", 1 << 20):
                 hashes, starts = grams(b.column("text").to_pylist())
                 for i, y in enumerate(b.column("label").to_pylist()):
                     n[y, np.unique(hashes[:, starts[i]:starts[i + 1]])] += 1
@@ -165,7 +165,7 @@ def fit(docs: DataFrame, marks: DataFrame) -> Linear:
 
     def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for b in bounded(whole, "text"):
+            for b in bounded(whole, "text", 1 << 20):
                 text, feature = finder.found(b.column("text").to_pylist())
                 ends = np.searchsorted(text, np.arange(b.num_rows + 1))
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
@@ -193,7 +193,7 @@ def score(docs: DataFrame, marks: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for b in bounded(whole, "text"):
+            for b in bounded(whole, "text", 1 << 20):
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id"), pa.array(model.value.scores(b.column("text").to_pylist()))],
                     names=["doc_id", "score"])

@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 6 << 20
 
 
 class Memo:
@@ -19,10 +19,13 @@ class Memo:
     when the younger is full, the older one is let go.  Long keys are not
     kept."""
 
-    def __init__(self, make: Callable[[list[str]], list], most: int = 300_000, longest: int = 64):
+    def __init__(self, make: Callable[[list[str]], list], most: int = 150_000, longest: int = 64):
         self.make, self.most, self.longest = make, most, longest
         self.young, self.old = {}, {}
 
+    def clear(self) -> None:
+        self.young, self.old = {}, {}
+
     def all(self, keys: list[str]) -> list:
         """The values of the distinct ``keys``, in their order."""
         if len(self.young) > self.most:
@@ -47,14 +50,19 @@ class Memo:
 
 
 @contextmanager
-def no_cycle_search():
-    """Python's search for reference cycles, off: it goes through all
-    remembered entries again and again, and they make no cycles."""
+def remembering(*memos: Memo):
+    """For the time of a task.  Memos end with it, and Arrow gives memory back
+    at once, as a worker goes on to other work.  Python's search for reference
+    cycles is off: it goes through all entries again and again, and they make
+    no cycles."""
+    pa.set_memory_pool(pa.system_memory_pool())
     gc.disable()
     try:
         yield
     finally:
         gc.enable()
+        for m in memos:
+            m.clear()
 
 
 class Split:
@@ -86,10 +94,10 @@ class Split:
         return values[place] if isinstance(values, np.ndarray) else values.take(pa.array(place))
 
 
-def bounded(batch: pa.RecordBatch, column: str) -> list[pa.RecordBatch]:
-    """The batch in pieces of about ``BATCH_BYTES`` of text."""
+def bounded(batch: pa.RecordBatch, column: str, most: int = BATCH_BYTES) -> list[pa.RecordBatch]:
+    """The batch in pieces of about ``most`` bytes of text."""
     size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-    group = np.cumsum(size) // BATCH_BYTES
+    group = np.cumsum(size) // most
     starts = np.flatnonzero(np.diff(group, prepend=-1)).tolist()
     return [batch.slice(a, b - a) for a, b in
             zip(starts, [*starts[1:], batch.num_rows], strict=True)]
