@@ -48,14 +48,16 @@ def round_half_up(c: ColumnOrName, digits: int = 2) -> Column:
     return F.round(_c(c), digits)
 
 
-def exact_mean(c: ColumnOrName, scale: int = 1) -> Column:
-    """Mean of values carrying at most ``scale`` decimals, summed exactly as
-    decimals, so the result does not depend on the order rows are added."""
+EXACT = "decimal(38,12)"
+
+
+def exact_mean(c: ColumnOrName) -> Column:
+    """Mean of values summed as decimals (12 places, more than any parsed
+    input has), so it does not depend on the order rows are added."""
     c = _c(c)
-    total = F.sum(c.cast(f"decimal(18,{scale})"))
-    return F.try_divide(total.cast("double"), F.count(c))
+    return F.try_divide(F.sum(c.cast(EXACT)).cast("double"), F.count(c))
 
 
-def exact_sum(c: ColumnOrName, scale: int = 1) -> Column:
-    """Order-independent sum of values with at most ``scale`` decimals."""
-    return F.sum(_c(c).cast(f"decimal(18,{scale})"))
+def exact_sum(c: ColumnOrName) -> Column:
+    """Order-independent sum, as a decimal with 12 places."""
+    return F.sum(_c(c).cast(EXACT))

@@ -31,9 +31,10 @@ def null_sentinels(c: ColumnOrName, sentinels: Sequence[str] = NULL_SENTINELS) -
 
 
 def unit_number(c: ColumnOrName) -> Column:
-    """Leading number of text such as ``'23.4 km'`` or ``'25mins'`` as double;
-    text without a number gives NULL."""
-    num = F.regexp_extract(_c(c), r"(\d+(?:\.\d+)?)", 1)
+    """Number of text such as ``'23.4 km'``, ``'.5km'`` or ``'25mins'`` as
+    double.  The whole text must be one number and at most one word (its
+    unit); anything else gives NULL."""
+    num = F.regexp_extract(_c(c), r"^\s*([+-]?(?:\d+(?:\.\d*)?|\.\d+))\s*[A-Za-z]*\s*$", 1)
     return num.try_cast("double")
 
 

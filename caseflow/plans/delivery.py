@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from caseflow.functions import dates as dt
 from caseflow.functions import text as tx
-from caseflow.functions.numeric import exact_sum, int_div, ratio
+from caseflow.functions.numeric import EXACT, exact_sum, int_div, ratio
 from caseflow.operators import lists as ls
 from caseflow.operators import ranking as rk
 from caseflow.operators.measures import count_when
@@ -66,7 +66,7 @@ def _not_cancelled(ro: DataFrame) -> DataFrame:
 
 
 def _lines(co: DataFrame, *keys: str) -> DataFrame:
-    return co.groupBy("order_id", *keys).agg(F.count("pizza_id").alias("n"))
+    return co.groupBy("order_id", *keys).agg(F.count(F.lit(1)).alias("n"))
 
 
 # --- order metrics -----------------------------------------------------------
@@ -161,18 +161,21 @@ def signups_by_week(runners: DataFrame, shift_days: int = 5,
 
 
 def _pickup_lines(co: DataFrame, ro: DataFrame) -> DataFrame:
-    """Per (order, order time): line count, joined to its delivered pickup."""
-    lines = co.groupBy("order_id", "order_time").agg(F.count("pizza_id").alias("n"))
+    """Per (order, order time): lines and pizzas, joined to the delivered
+    pickup; ``timed`` counts the lines whose wait is known."""
+    lines = co.groupBy("order_id", "order_time").agg(
+        F.count(F.lit(1)).alias("n"), F.count("pizza_id").alias("pizzas"))
     d = _delivered(ro).select("order_id", "runner_id", _pickup_ts().alias("pickup_ts"))
-    return lines.join(d, "order_id").withColumn(
-        "mins", dt.minutes_boundary("order_time", "pickup_ts"))
+    return (lines.join(d, "order_id")
+            .withColumn("mins", dt.minutes_boundary("order_time", "pickup_ts"))
+            .withColumn("timed", F.when(F.col("mins").isNotNull(), F.col("n")).otherwise(F.lit(0))))
 
 
 def avg_pickup_minutes(co: DataFrame, ro: DataFrame) -> DataFrame:
-    """Mean minute-boundary wait per runner, weighted by pizza lines."""
+    """Mean minute-boundary wait per runner over the lines whose wait is known."""
     j = _pickup_lines(co, ro)
     return j.groupBy("runner_id").agg(
-        ratio(F.sum(F.col("n") * F.col("mins")), F.sum("n")).alias("avg_time"))
+        ratio(F.sum(F.col("timed") * F.col("mins")), F.sum("timed")).alias("avg_time"))
 
 
 def prep_time_by_size(co: DataFrame, ro: DataFrame) -> DataFrame:
@@ -180,8 +183,8 @@ def prep_time_by_size(co: DataFrame, ro: DataFrame) -> DataFrame:
     integer mean, as in the source)."""
     j = _pickup_lines(co, ro)
     per_order = j.groupBy("order_id").agg(
-        F.sum("n").alias("number_of_pizza"),
-        int_div(F.sum(F.col("n") * F.col("mins")), F.sum("n")).alias("prep_time"))
+        F.sum("pizzas").alias("number_of_pizza"),
+        int_div(F.sum(F.col("timed") * F.col("mins")), F.sum("timed")).alias("prep_time"))
     return per_order.groupBy("number_of_pizza").agg(
         F.avg(F.col("prep_time").cast("double")).alias("avg_prep_time"))
 
@@ -191,7 +194,7 @@ def avg_distance_by_customer(co: DataFrame, ro: DataFrame) -> DataFrame:
     lines = co.groupBy("order_id", "customer_id").agg(F.count(F.lit(1)).alias("n"))
     d = ro.filter(F.col("distance_km").isNotNull()).select("order_id", "distance_km")
     j = lines.join(d, "order_id")
-    total = F.sum(F.col("n") * F.col("distance_km").cast("decimal(18,1)"))
+    total = F.sum(F.col("n") * F.col("distance_km").cast(EXACT))
     return j.groupBy("customer_id").agg(
         F.try_divide(total.cast("double"), F.sum("n")).alias("distance_per_customer_km"))
 
@@ -398,16 +401,20 @@ def delivery_report(co: DataFrame, ro: DataFrame, ratings: DataFrame) -> DataFra
     (minute field), speed (km/h, rounded) and pizza count.  Orders without a
     delivery row survive (left join, NULL cancellation)."""
     lines = co.groupBy("customer_id", "order_id", "order_time") \
-              .agg(F.count("pizza_id").alias("pizza_count"))
+              .agg(F.count("pizza_id").alias("pizzas"), F.count(F.lit(1)).alias("n"))
     j = (lines.join(ro.select("order_id", "runner_id", "pickup_time_new", "distance_km",
                               "duration_minutes", "cancellation_new"), "order_id", "left")
               .join(ratings.select("order_id", "rating"), "order_id", "left")
               .filter(F.col("cancellation_new").isNull()))
-    speed = F.round(F.try_divide(F.col("distance_km"), F.col("duration_minutes")) * 60, 2)
-    return j.select(
-        "customer_id", "order_id", "runner_id", "rating", "order_time", "pickup_time_new",
-        dt.minutes_field("order_time", _pickup_ts()).alias("time_order_pickup"),
-        "duration_minutes", speed.alias("avg_speed"), "pizza_count")
+    # several delivery or rating rows of an order meet in one row again
+    j = j.withColumns({
+        "speed": F.try_divide("distance_km", "duration_minutes") * 60,
+        "time_order_pickup": dt.minutes_field("order_time", _pickup_ts())})
+    known = F.sum(F.when(F.col("speed").isNotNull(), F.col("n")))
+    return (j.groupBy("customer_id", "order_id", "runner_id", "rating", "order_time",
+                      "pickup_time_new", "time_order_pickup", "duration_minutes")
+            .agg(F.round(F.sum(F.col("n") * F.col("speed")) / known, 2).alias("avg_speed"),
+                 F.sum("pizzas").alias("pizza_count")))
 
 
 def profit(co: DataFrame, ro: DataFrame, names: DataFrame, premium: str = MEAT_LOVERS,
@@ -418,8 +425,8 @@ def profit(co: DataFrame, ro: DataFrame, names: DataFrame, premium: str = MEAT_L
                  .join(_price_by_name(names, premium), "pizza_id")
                  .groupBy("order_id").agg(F.sum("pizza_cost").alias("pizza_cost")))
     j = _not_cancelled(ro).select("order_id", "distance_km").join(per_order, "order_id")
-    rate = F.lit(cost_per_km).cast("decimal(4,2)")
-    dist = exact_sum("distance_km")
+    rate = F.lit(cost_per_km).cast("decimal(18,6)")
+    dist = exact_sum("distance_km").cast("decimal(28,9)")
     return j.agg(
         F.sum("pizza_cost").alias("revenue"),
         (dist * rate).cast("decimal(18,2)").alias("total_cost"),

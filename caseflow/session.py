@@ -22,12 +22,17 @@ BASE_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "caseflow", extra: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session with the library's base configuration."""
-    builder = SparkSession.builder.master(master).appName(app_name)
+    """Create (or reuse) a session with the library's base configuration.  The
+    master and the number of shuffle partitions are the caller's or the
+    cluster's (spark-submit, defaults file) unless they are given."""
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        builder = builder.master(master)
     conf = dict(BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

@@ -7,25 +7,21 @@ import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from caseflow.session import ensure_checkpoint_dir
 
 
 def materialize(df: DataFrame, path: str, partition_by: Sequence[str] = (),
-                fmt: str = "parquet", min_files: int | None = None) -> DataFrame:
+                fmt: str = "parquet") -> DataFrame:
     """``DROP TABLE IF EXISTS t; SELECT ... INTO t``: overwrite ``path`` and
     return a DataFrame reading it back (the written table cuts lineage, so a
     lost executor re-reads files instead of recomputing the query).
 
-    A plan with fewer partitions than ``min_files`` (default: the cluster's
-    default parallelism) is first hash-partitioned on all its columns, so
-    later scans of the table are not a single task; large inputs already
-    exceed it and are written as they are.  (Hashing is deterministic for a
-    retried task without the per-partition sort a round-robin spread needs.)
+    A rebalance inside the write gives files of the advisory size at any
+    scale; rows of a large partition value go to several files.
     """
-    n = min_files or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < n:
-        df = df.repartition(n, *df.columns)
+    df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     w = df.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
