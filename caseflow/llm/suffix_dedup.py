@@ -104,7 +104,7 @@ def _pack(**arrays: np.ndarray) -> bytes:
                       "a": [np.ascontiguousarray(a).tobytes() for a in arrays.values()]})
     with pa.ipc.new_stream(sink, table.schema) as w:
         w.write_table(table)
-    return zstandard.ZstdCompressor(level=3).compress(sink.getvalue().to_pybytes())
+    return zstandard.ZstdCompressor(level=6).compress(sink.getvalue().to_pybytes())
 
 
 def _unpack(body: bytes, *types: str) -> list[np.ndarray]:
@@ -329,16 +329,24 @@ SPANS = "id bigint, row_key bigint, spans binary"
 PAIR = np.dtype([("doc", "i8"), ("row", "i8")])
 
 
-def _span_table(doc: np.ndarray, row: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Table:
+def _merged(doc: np.ndarray, row: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
+    """Unions of the ranges of each row."""
     both = np.empty(len(doc), PAIR)
     both["doc"], both["row"] = doc, row
     keys, group = np.unique(both, return_inverse=True)
     start, end, group = _merge(start, end, group.astype(np.int64))
-    at = np.searchsorted(group, np.arange(len(keys) + 1))
+    return [keys["doc"][group], keys["row"][group], start, end]
+
+
+def _gather(table: pa.Table) -> pa.Table:
+    """One row for each text, with its ranges from all buckets."""
+    parts = [_unpack(body.as_py(), "i8", "i8", "i8", "i8") for body in table.column("body")]
+    doc, row, start, end = _merged(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+    new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (row[1:] != row[:-1])]))
+    ends = np.append(new[1:], len(doc))
     body = np.stack([start, end], axis=1).astype(np.int64)
-    return pa.table({"id": pa.array(keys["doc"], pa.int64()),
-                     "row_key": pa.array(keys["row"], pa.int64()),
-                     "spans": pa.array([body[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)],
+    return pa.table({"id": pa.array(doc[new], pa.int64()), "row_key": pa.array(row[new], pa.int64()),
+                     "spans": pa.array([body[x:y].tobytes() for x, y in zip(new, ends, strict=True)],
                                        pa.binary())})
 
 
@@ -368,6 +376,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
                 keep = np.concatenate([np.empty(0, bool)] + [
                     np.isin(h[lo:hi], k) for lo, hi, k in zip(bounds[:-1], bounds[1:], known, strict=True)])
                 low, high = reach(at, h, starts[text], starts[text + 1])
+                keep &= high - low >= LENGTH
                 at, h, text, low, high = at[keep], h[keep], text[keep], low[keep], high[keep]
                 off = at - BEFORE
                 padded = np.concatenate([np.zeros(BEFORE, np.uint8), data, np.zeros(CONTEXT, np.uint8)])
@@ -433,10 +442,15 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
                 start = off[x] + np.repeat(place, times)
                 spans.append([doc[x], row[x], start, start + LENGTH])
                 lo = hi
-        return _span_table(*(np.concatenate(x) for x in zip(*spans, strict=True)))
+        doc, row, start, end = _merged(*(np.concatenate(x) for x in zip(*spans, strict=True)))
+        out = [(k, _pack(d=doc[m], r=row[m], a=start[m], b=end[m]))
+               for k, m in _dealt(np.arange(len(doc)), doc % buckets)]
+        return pa.table({"bucket": pa.array([k for k, _ in out], pa.int32()),
+                         "body": pa.array([x for _, x in out], pa.binary())})
 
     near = rows.join(shared.hint("merge"), "id")
-    return (near.mapInArrow(send, MESSAGE).groupBy("bucket").applyInArrow(settle, SPANS)
+    return (near.mapInArrow(send, MESSAGE).groupBy("bucket").applyInArrow(settle, MESSAGE)
+            .groupBy("bucket").applyInArrow(_gather, SPANS)
             .groupBy("id").agg(F.collect_list(F.struct("row_key", "spans")).alias("spans")))
 
 

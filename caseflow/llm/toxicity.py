@@ -150,6 +150,8 @@ def fit(docs: DataFrame, marks: DataFrame) -> Linear:
 
     size = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     n1, n0 = size.get(1, 0), size.get(0, 0)
+    if not n1 or not n0:  # labels without documents
+        return Linear(none, np.zeros(0), float(np.log(toxic / clean)))
     ratio = (F.log((F.col("toxic") + 1) / F.lit(n1 + 2.0))
              - F.log((F.col("clean") + 1) / F.lit(n0 + 2.0)))
     error = F.sqrt(1 / (F.col("toxic") + 1) + 1 / (F.col("clean") + 1))
@@ -180,7 +182,7 @@ def fit(docs: DataFrame, marks: DataFrame) -> Linear:
     feature = np.asarray(lists.flatten()).astype(np.int64)
     w, b = logistic(text, feature, ratios[feature], np.asarray(got.column("label")).astype(float),
                     len(best))
-    b += np.log(toxic / clean) - np.log(n1 / n0) if n1 and n0 else 0.0
+    b += np.log(toxic / clean) - np.log(n1 / n0)
     return Linear(place, w * ratios, b)
 
 
