@@ -137,11 +137,15 @@ def _batch(buckets: np.ndarray | list, bodies: list[bytes]) -> pa.RecordBatch:
                                       names=["bucket", "body"])
 
 
-def _hash_lists(doc: np.ndarray, h: np.ndarray) -> pa.Table:
-    """(id, hashes) with the packed distinct hashes of each id."""
+def _hash_lists(table: pa.Table) -> pa.Table:
+    """(id, hashes) with the packed distinct hashes of each id, from all
+    buckets.  32 bits are enough to tell the anchors of one document apart; a
+    chance hit only sends a context too many."""
+    parts = [_unpack(body.as_py(), "i8", "u4") for body in table.column("body")]
+    doc, h = (np.concatenate(x) for x in zip(*parts, strict=True))
     order = np.lexsort((h, doc))
     doc, h = doc[order], h[order]
-    at = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.empty(0, int)
+    at = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
     ends = np.append(at[1:], len(doc))
     return pa.table({"id": pa.array(doc[at], pa.int64()),
                      "hashes": pa.array([h[a:b].tobytes() for a, b in zip(at, ends, strict=True)],
@@ -189,11 +193,13 @@ def shared_anchors(rows: DataFrame, buckets: int) -> DataFrame:
             order, _, several = _owners(h, doc)
             known_doc.append(doc[order[several]])
             known_h.append(h[order[several]])
-        return _hash_lists(np.concatenate(known_doc), np.concatenate(known_h))
+        doc, h = np.concatenate(known_doc), (np.concatenate(known_h) >> np.uint64(32)).astype(np.uint32)
+        out = [(k, _pack(d=doc[m], h=h[m])) for k, m in _dealt(np.arange(len(doc)), doc % buckets)]
+        return pa.table({"bucket": pa.array([k for k, _ in out], pa.int32()),
+                         "body": pa.array([x for _, x in out], pa.binary())})
 
-    found = (rows.mapInArrow(send, MESSAGE).groupBy("bucket")
-             .applyInArrow(settle, "id bigint, hashes binary"))
-    return found.groupBy("id").agg(F.collect_list("hashes").alias("hashes"))
+    return (rows.mapInArrow(send, MESSAGE).groupBy("bucket").applyInArrow(settle, MESSAGE)
+            .groupBy("bucket").applyInArrow(_hash_lists, "id bigint, hashes binary"))
 
 
 class Suffixes:
@@ -371,10 +377,11 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
             for b in bounded(whole, "text", PIECE_BYTES):
                 data, starts, at, h = anchors([t.encode() for t in b.column("text").to_pylist()])
                 text = np.searchsorted(starts, at, side="right") - 1
-                known = [np.frombuffer(b"".join(x), "u8") for x in b.column("hashes").to_pylist()]
+                known = [np.frombuffer(x, "u4") for x in b.column("hashes").to_pylist()]
+                short = (h >> np.uint64(32)).astype(np.uint32)
                 bounds = np.searchsorted(text, np.arange(b.num_rows + 1))
                 keep = np.concatenate([np.empty(0, bool)] + [
-                    np.isin(h[lo:hi], k) for lo, hi, k in zip(bounds[:-1], bounds[1:], known, strict=True)])
+                    np.isin(short[lo:hi], k) for lo, hi, k in zip(bounds[:-1], bounds[1:], known, strict=True)])
                 low, high = reach(at, h, starts[text], starts[text + 1])
                 keep &= high - low >= LENGTH
                 at, h, text, low, high = at[keep], h[keep], text[keep], low[keep], high[keep]
