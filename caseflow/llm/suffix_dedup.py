@@ -28,7 +28,7 @@ nor takes any.  An empty table gives an empty result.  Only ``doc_id`` and
 
 from __future__ import annotations
 
-import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,6 +49,7 @@ CONTEXT = BEFORE + LENGTH
 NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 ROWS = 50_000               # contexts sorted at once, of whole anchors
 PIECE_BYTES = 1 << 20       # of text at once, so that its hashes stay in the cache
+MEET, TELL = 6, 3            # bytes of an anchor's hash: among all documents, within one
 MESSAGE = "bucket int, body binary"
 
 
@@ -137,14 +138,46 @@ def _batch(buckets: np.ndarray | list, bodies: list[bytes]) -> pa.RecordBatch:
                                       names=["bucket", "body"])
 
 
+def _low(x: np.ndarray, n: int) -> np.ndarray:
+    """The low ``n`` bytes of each value."""
+    return np.ascontiguousarray(x.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :n]
+
+
+def _wide(x: np.ndarray, n: int) -> np.ndarray:
+    """The values of ``n`` bytes each."""
+    out = np.zeros((len(x) // n, 8), np.uint8)
+    out[:, :n] = x.reshape(-1, n)
+    return out.view("<u8").ravel()
+
+
+def _relays(source: int, bucket: np.ndarray, width: int) -> np.ndarray:
+    """Results go from bucket to bucket by relays, one for each group of sources
+    and group of targets: with ``width`` the root of the number of buckets, a
+    bucket sends and gets ``width`` messages instead of one from every other."""
+    return source % width * width + bucket // width
+
+
+def _width(buckets: int) -> int:
+    return math.isqrt(buckets - 1) + 1
+
+
+def _pack_hashes(doc: np.ndarray, h: np.ndarray, size: int) -> bytes:
+    order = np.lexsort((h, doc))
+    d, n = np.unique(doc, return_counts=True)
+    return _pack(d=d, n=n.astype(np.int32), h=_low(h[order], size))
+
+
+def _unpack_hashes(bodies: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
+    parts = [_unpack(x, "i8", "i4", "u1") for x in bodies]
+    return (np.concatenate([np.repeat(d, n) for d, n, _ in parts]),
+            np.concatenate([_wide(h, size) for _, _, h in parts]))
+
+
 def _hash_lists(table: pa.Table) -> pa.Table:
-    """(id, hashes) with the packed distinct hashes of each id, from all
-    buckets.  32 bits are enough to tell the anchors of one document apart; a
-    chance hit only sends a context too many."""
-    parts = [_unpack(body.as_py(), "i8", "u4") for body in table.column("body")]
-    doc, h = (np.concatenate(x) for x in zip(*parts, strict=True))
+    """(id, hashes) with the packed hashes of each id, from all buckets."""
+    doc, h = _unpack_hashes(table.column("body").to_pylist(), TELL)
     order = np.lexsort((h, doc))
-    doc, h = doc[order], h[order]
+    doc, h = doc[order], _low(h[order], TELL)
     at = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
     ends = np.append(at[1:], len(doc))
     return pa.table({"id": pa.array(doc[at], pa.int64()),
@@ -153,7 +186,12 @@ def _hash_lists(table: pa.Table) -> pa.Table:
 
 
 def shared_anchors(rows: DataFrame, buckets: int) -> DataFrame:
-    """(id, hashes): the anchors of each id that other ids have as well."""
+    """(id, hashes): the anchors of each id that other ids have as well.
+
+    Anchors meet by ``MEET`` bytes of their hashes, and ``TELL`` bytes tell those
+    of one document apart: a chance hit only sends a context too many."""
+    width = _width(buckets)
+    low = np.uint64((1 << 8 * MEET) - 1)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs, hashes = [], []
@@ -162,43 +200,42 @@ def shared_anchors(rows: DataFrame, buckets: int) -> DataFrame:
                 _, starts, at, h = anchors([t.encode() for t in b.column("text").to_pylist()])
                 ids = np.asarray(b.column("id"))
                 docs.append(ids[np.searchsorted(starts, at, side="right") - 1])
-                hashes.append(h)
+                hashes.append(h & low)
         doc = np.concatenate(docs) if docs else np.empty(0, np.int64)
         h = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
         del docs, hashes
         order, first, several = _owners(h, doc)
         known = order[several]
         for k, mine in _dealt(known, doc[known] % buckets):  # settled; on the way to their documents
-            yield _batch([k], [b"S" + _pack(doc=doc[mine], h=h[mine])])
-        sent = np.sort(order[first])
+            yield _batch([k], [b"S" + _pack_hashes(doc[mine], h[mine], TELL)])
+        sent = order[first]
         for k, mine in _dealt(sent, (h[sent] % np.uint64(buckets)).astype(np.int64)):
-            d, n = np.unique(doc[mine], return_counts=True)
-            o = mine[np.argsort(doc[mine], kind="stable")]
-            yield _batch([k], [b"A" + _pack(doc=d, n=n.astype(np.int32), h=h[o])])
+            yield _batch([k], [b"A" + _pack_hashes(doc[mine], h[mine], MEET)])
 
-    def settle(table: pa.Table) -> pa.Table:
-        docs, hashes, known_doc, known_h = [], [], [], []
-        for body in table.column("body"):
-            body = body.as_py()
-            if body[:1] == b"S":
-                d, h = _unpack(body[1:], "i8", "u8")
-                known_doc.append(d)
-                known_h.append(h)
-            else:
-                d, n, h = _unpack(body[1:], "i8", "i4", "u8")
-                docs.append(np.repeat(d, n))
-                hashes.append(h)
-        if docs:
-            doc, h = np.concatenate(docs), np.concatenate(hashes)
-            order, _, several = _owners(h, doc)
-            known_doc.append(doc[order[several]])
-            known_h.append(h[order[several]])
-        doc, h = np.concatenate(known_doc), (np.concatenate(known_h) >> np.uint64(32)).astype(np.uint32)
-        out = [(k, _pack(d=doc[m], h=h[m])) for k, m in _dealt(np.arange(len(doc)), doc % buckets)]
+    def messages(keys: np.ndarray, doc: np.ndarray, h: np.ndarray) -> pa.Table:
+        out = [(k, _pack_hashes(doc[m], h[m], TELL)) for k, m in _dealt(np.arange(len(doc)), keys)]
         return pa.table({"bucket": pa.array([k for k, _ in out], pa.int32()),
                          "body": pa.array([x for _, x in out], pa.binary())})
 
+    def settle(bucket: tuple, table: pa.Table) -> pa.Table:
+        bodies = table.column("body").to_pylist()
+        known = [x[1:] for x in bodies if x[:1] == b"S"]
+        doc, h = _unpack_hashes(known, TELL) if known else (np.empty(0, np.int64), np.empty(0, np.uint64))
+        met = [x[1:] for x in bodies if x[:1] == b"A"]
+        if met:
+            d, g = _unpack_hashes(met, MEET)
+            order, _, several = _owners(g, d)
+            order = order[several]
+            doc = np.concatenate([doc, d[order]])
+            h = np.concatenate([h, g[order] & np.uint64((1 << 8 * TELL) - 1)])
+        return messages(_relays(bucket[0].as_py(), doc % buckets, width), doc, h)
+
+    def relay(table: pa.Table) -> pa.Table:
+        doc, h = _unpack_hashes(table.column("body").to_pylist(), TELL)
+        return messages(doc % buckets, doc, h)
+
     return (rows.mapInArrow(send, MESSAGE).groupBy("bucket").applyInArrow(settle, MESSAGE)
+            .groupBy("bucket").applyInArrow(relay, MESSAGE)
             .groupBy("bucket").applyInArrow(_hash_lists, "id bigint, hashes binary"))
 
 
@@ -344,10 +381,14 @@ def _merged(doc: np.ndarray, row: np.ndarray, start: np.ndarray, end: np.ndarray
     return [keys["doc"][group], keys["row"][group], start, end]
 
 
+def _ranges(table: pa.Table) -> list[np.ndarray]:
+    parts = [_unpack(body.as_py(), "i8", "i8", "i8", "i8") for body in table.column("body")]
+    return _merged(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+
+
 def _gather(table: pa.Table) -> pa.Table:
     """One row for each text, with its ranges from all buckets."""
-    parts = [_unpack(body.as_py(), "i8", "i8", "i8", "i8") for body in table.column("body")]
-    doc, row, start, end = _merged(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+    doc, row, start, end = _ranges(table)
     new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (row[1:] != row[:-1])]))
     ends = np.append(new[1:], len(doc))
     body = np.stack([start, end], axis=1).astype(np.int64)
@@ -368,6 +409,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     ship_package(spark)
     buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    width = _width(buckets)
     rows = _rows(docs)
     shared = shared_anchors(rows, buckets)
 
@@ -377,8 +419,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
             for b in bounded(whole, "text", PIECE_BYTES):
                 data, starts, at, h = anchors([t.encode() for t in b.column("text").to_pylist()])
                 text = np.searchsorted(starts, at, side="right") - 1
-                known = [np.frombuffer(x, "u4") for x in b.column("hashes").to_pylist()]
-                short = (h >> np.uint64(32)).astype(np.uint32)
+                known = [_wide(np.frombuffer(x, np.uint8), TELL) for x in b.column("hashes").to_pylist()]
+                short = h & np.uint64((1 << 8 * TELL) - 1)
                 bounds = np.searchsorted(text, np.arange(b.num_rows + 1))
                 keep = np.concatenate([np.empty(0, bool)] + [
                     np.isin(short[lo:hi], k) for lo, hi, k in zip(bounds[:-1], bounds[1:], known, strict=True)])
@@ -409,7 +451,14 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
             yield _batch([k], [b"C" + _pack(h=h[mine], d=doc[mine], r=row[mine], o=off[mine],
                                             a=low[mine], b=high[mine], c=ctx[mine])])
 
-    def settle(table: pa.Table) -> pa.Table:
+    def messages(keys: np.ndarray, doc: np.ndarray, row: np.ndarray, start: np.ndarray,
+                 end: np.ndarray) -> pa.Table:
+        out = [(k, _pack(d=doc[m], r=row[m], a=start[m], b=end[m]))
+               for k, m in _dealt(np.arange(len(doc)), keys)]
+        return pa.table({"bucket": pa.array([k for k, _ in out], pa.int32()),
+                         "body": pa.array([x for _, x in out], pa.binary())})
+
+    def settle(bucket: tuple, table: pa.Table) -> pa.Table:
         spans, parts = [], []
         for body in table.column("body"):
             body = body.as_py()
@@ -450,13 +499,15 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
                 spans.append([doc[x], row[x], start, start + LENGTH])
                 lo = hi
         doc, row, start, end = _merged(*(np.concatenate(x) for x in zip(*spans, strict=True)))
-        out = [(k, _pack(d=doc[m], r=row[m], a=start[m], b=end[m]))
-               for k, m in _dealt(np.arange(len(doc)), doc % buckets)]
-        return pa.table({"bucket": pa.array([k for k, _ in out], pa.int32()),
-                         "body": pa.array([x for _, x in out], pa.binary())})
+        return messages(_relays(bucket[0].as_py(), doc % buckets, width), doc, row, start, end)
+
+    def relay(table: pa.Table) -> pa.Table:
+        doc, row, start, end = _ranges(table)
+        return messages(doc % buckets, doc, row, start, end)
 
     near = rows.join(shared.hint("merge"), "id")
     return (near.mapInArrow(send, MESSAGE).groupBy("bucket").applyInArrow(settle, MESSAGE)
+            .groupBy("bucket").applyInArrow(relay, MESSAGE)
             .groupBy("bucket").applyInArrow(_gather, SPANS)
             .groupBy("id").agg(F.collect_list(F.struct("row_key", "spans")).alias("spans")))
 
