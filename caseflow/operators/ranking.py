@@ -55,18 +55,22 @@ def top_n(df: DataFrame, order_by: Sequence[Column], n: int = 1) -> DataFrame:
 
 
 def gated_rank(df: DataFrame, partition_by: Sequence[str], order_col: str,
-               gate: Column, out_col: str = "ranking") -> DataFrame:
+               gate: Column, out_col: str = "ranking",
+               counts: DataFrame | None = None) -> DataFrame:
     """``CASE WHEN NOT gate THEN NULL ELSE RANK() OVER (PARTITION BY p ORDER BY o) END``.
 
     ``RANK`` of a row equals 1 + the number of rows of its partition with a
     smaller ``order_col``.  That is computed on the histogram of distinct
     (partition, order value) pairs and joined back, so a partition holding a
     third of all rows is never sorted in one task: only its distinct order
-    values are.  ``gate`` must be a function of partition columns (the
-    partition key includes it).
+    values are.  If ``df`` comes from a join on the partition columns, its rows
+    already lie together by them and the histogram would be built in place;
+    pass ``counts`` then: (partition columns, ``order_col``, ``n``) of the gated
+    rows, counted before that join.
     """
     keys = list(partition_by) + [order_col]
-    hist = df.filter(gate).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    hist = df.filter(gate).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")) \
+        if counts is None else counts.select(*keys, F.col("n").alias("__n"))
     w = Window.partitionBy(*partition_by).orderBy(order_col).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     ranks = hist.withColumn("__rank", (F.sum("__n").over(w) - F.col("__n") + 1).cast("int")) \

@@ -325,13 +325,17 @@ def ingredient_counts(co: DataFrame, recipes: DataFrame, toppings: DataFrame,
     Plan: every line is joined to its recipe and its three lists (recipe,
     exclusions, extras) are exploded in one pass; a single aggregation per
     (order, pizza, topping id) counts standard and extra rows and flags
-    exclusions, which zero the standard count (the source's anti-join), so
-    hot keys are combined map-side.  Names are attached after aggregating.
+    exclusions, which zero the standard count (the source's anti-join).  The
+    lines are dealt by (order, pizza) between the two: the aggregation does not
+    rest on the recipe join's partitioning by pizza, so a popular pizza is
+    spread over the tasks and the join itself can be split.  Names are attached
+    after aggregating.
     """
     line = [line_key] if line_key else []
     keys = ["order_id", *line, "pizza_id"]
     lines = co.select(*keys, "exclusions_new", "extras_new") \
-              .join(recipes.select("pizza_id", "toppings"), "pizza_id", "left")
+              .join(recipes.select("pizza_id", "toppings"), "pizza_id", "left") \
+              .repartition(*keys)
     items = _tagged_items(lines, {"s": F.col("toppings"), "x": F.col("exclusions_new"),
                                   "e": F.col("extras_new")}, keys)
     k = F.col("kind")

@@ -145,10 +145,20 @@ def first_week_bonus_points(sales: DataFrame, menu: DataFrame, members: DataFram
 
 def member_flag_ranking(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
     """Every sale with member flag and, for member rows, the rank of
-    its date among the customer's member-period sales."""
+    its date among the customer's member-period sales.
+
+    The ranks come from sales counted by (customer, date) before they meet the
+    members, so a busy customer is at most one row a day in the sort."""
+    per_day = (_counts(sales, "customer_id", "order_date", "product_id")
+               .join(menu.select("product_id"), "product_id")
+               .groupBy("customer_id", "order_date").agg(F.sum("n").alias("n")))
+    counts = (per_day.join(members.select("customer_id", "join_date"), "customer_id")
+              .filter(F.col("order_date") >= F.col("join_date"))
+              .groupBy("customer_id", "order_date").agg(F.sum("n").alias("n")))
     j = (sales.join(menu.select("product_id", "product_name", "price"), "product_id")
               .join(members.select("customer_id", "join_date"), "customer_id", "left")
               .withColumn("member", mb.member_flag("order_date", "join_date")))
-    ranked = rk.gated_rank(j, ["customer_id"], "order_date", F.col("member") == "Y")
+    ranked = rk.gated_rank(j, ["customer_id"], "order_date", F.col("member") == "Y",
+                           counts=counts)
     return ranked.select("customer_id", "order_date", "product_name", "price", "member",
                          "ranking")

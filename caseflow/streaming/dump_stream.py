@@ -3,9 +3,10 @@
 Dump files that keep arriving in a folder (one file per export batch) are
 read as a text stream; every micro-batch goes through the same shape-routed
 parser as the batch loader and is appended to one parquet table per route
-plus a quarantine table.  Progress is kept in a checkpoint under the
-session's shared ``spark.checkpoint.dir``, so a restarted job (or one that
-lost executors) resumes without re-loading or skipping files.
+plus a quarantine table.  Progress is kept in a checkpoint beside the target
+tables unless the caller names another folder: the same for every application
+that loads into the target, so a restarted job (or one that lost executors)
+resumes without re-loading or skipping files.
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from caseflow.session import ensure_checkpoint_dir
 from caseflow.sources.dump import DEFAULT_ROUTES, load_dump
 
 
@@ -33,7 +33,7 @@ def start_dump_stream(spark: SparkSession, source_dir: str, target_dir: str,
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     lines = reader.load(source_dir)
-    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark)}/dump_stream"
+    ckpt = checkpoint or f"{target_dir}/_checkpoint"
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         out = load_dump(batch, routes)

@@ -1,27 +1,38 @@
 import datetime as dt
-import os
-import tempfile
+
+from pyspark.sql import functions as F
 
 from caseflow.streaming.dump_stream import start_dump_stream
 
 
-def test_dump_stream_available_now(spark):
-    src = tempfile.mkdtemp(prefix="cf-src-")
-    out = tempfile.mkdtemp(prefix="cf-out-")
-    ckpt = tempfile.mkdtemp(prefix="cf-ck-")
-    with open(os.path.join(src, "batch1.sql"), "w") as f:
-        f.write("INSERT INTO customer_nodes\n  (customer_id, region_id, node_id, start_date, end_date)\n"
-                "VALUES\n  ('1', '2020-01-02', 'deposit', '312'),\n"
-                "  ('1', '3', '4', '2020-01-02', '2020-01-03');\n")
-    q = start_dump_stream(spark, src, out, checkpoint=ckpt, available_now=True)
-    q.awaitTermination(120)
-    tx = spark.read.parquet(f"{out}/customer_transactions").drop("batch_id").collect()
-    assert [tuple(r) for r in tx] == [(1, dt.date(2020, 1, 2), "deposit", 312)]
-    nodes = spark.read.parquet(f"{out}/customer_nodes").count()
-    assert nodes == 1
-    # a second file is picked up by the next run; the first is not re-loaded
-    with open(os.path.join(src, "batch2.sql"), "w") as f:
-        f.write("  ('2', '2020-01-03', 'deposit', '549');\n")
-    q = start_dump_stream(spark, src, out, checkpoint=ckpt, available_now=True)
+def _load(spark, src, out):
+    q = start_dump_stream(spark, str(src), str(out), available_now=True)
     q.awaitTermination(120)
-    assert spark.read.parquet(f"{out}/customer_transactions").count() == 2
+
+
+def _transactions(spark, out):
+    t = spark.read.parquet(f"{out}/customer_transactions").drop("batch_id")
+    return sorted(tuple(r) for r in t.collect())
+
+
+def test_dump_stream_resumes_without_a_named_checkpoint(spark, tmp_path):
+    src, out = tmp_path / "in", tmp_path / "out"
+    src.mkdir()
+    (src / "one.sql").write_text(
+        "INSERT INTO customer_nodes\n  (customer_id, region_id, node_id, start_date, end_date)\n"
+        "VALUES\n  ('71', '2019-05-06', 'purchase', '88'),\n"
+        "  ('72', '2', '5', '2019-05-06', '2019-05-19');\n")
+    _load(spark, src, out)
+    first = (71, dt.date(2019, 5, 6), "purchase", 88)
+    assert _transactions(spark, out) == [first]
+    assert spark.read.parquet(f"{out}/customer_nodes").count() == 1
+    # a later application has another spark.checkpoint.dir folder, but the same target
+    before = spark.sparkContext.getCheckpointDir()
+    spark.sparkContext.setCheckpointDir(str(tmp_path / "other"))
+    (src / "two.sql").write_text("  ('73', '2019-05-07', 'withdrawal', '9');\n")
+    _load(spark, src, out)
+    if before:
+        spark.sparkContext.setCheckpointDir(before.rsplit("/", 1)[0])
+    assert _transactions(spark, out) == [first, (73, dt.date(2019, 5, 7), "withdrawal", 9)]
+    ids = spark.read.parquet(f"{out}/customer_transactions").select(F.countDistinct("batch_id"))
+    assert ids.first()[0] == 2
