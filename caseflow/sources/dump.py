@@ -27,48 +27,54 @@ DEFAULT_ROUTES: dict[int, tuple[str, T.StructType]] = {
     5: ("customer_nodes", schemas.CUSTOMER_NODES),
 }
 
-_TOKEN = r"'[^']*'|[^,'\s]+"
+# a quoted text; a doubled quote inside it stands for one
+_QUOTED = r"'[^']*+(?:''[^']*+)*+'"
+# a tuple: quoted texts, anything else without brackets, one level of brackets
+_TUPLE = rf"\((?:[^()']++|{_QUOTED}|\((?:[^()']++|{_QUOTED})*+\))*+\)"
+_CAST = rf"(?i)CAST\s*\(\s*({_QUOTED})\s+AS\s+\w+(?:\s*\([^)]*\))?\s*\)"
+_TOKEN = rf"{_CAST}|{_QUOTED}|[^,'\s]+"
 # a column-name list: bare identifiers only (no quotes, no numbers, no NULL)
-_COLNAMES = r'^\s*"?[A-Za-z_][A-Za-z0-9_]*"?(\s*,\s*"?[A-Za-z_][A-Za-z0-9_]*"?)*\s*$'
-
-
-def _has(c: Column, word: str) -> Column:
-    return c.contains(word.upper()) | c.contains(word.lower()) | c.contains(word.capitalize())
+_COLNAMES = r'^\(\s*"?[A-Za-z_][A-Za-z0-9_]*"?(\s*,\s*"?[A-Za-z_][A-Za-z0-9_]*"?)*\s*\)$'
+_NULL_FIELD = r"(?i)[(,]\s*NULL\s*[,)]"
+# what may stand around the tuples of a line
+_FRAME = r'(?i)^\s*(INSERT\s+INTO\s+[\w."\[\]]+)?[\s,;]*(VALUES)?[\s,;]*$'
+# lines without data: comments, other statements, column definitions, a closing bracket
+_OTHER = (r'(?i)^\s*(--.*|(CREATE|ALTER|DROP|USE|SET|GO)\b[^\']*|\)\s*;?'
+          r'|["\[]?\w+["\]]?\s+(INT|INTEGER|BIGINT|SMALLINT|TINYINT|VARCHAR|NVARCHAR|CHAR|TEXT|DATE|DATETIME'
+          r'|TIMESTAMP|TIME|FLOAT|REAL|DECIMAL|NUMERIC|BIT)\b[^\']*)\s*$')
 
 
 def parse_lines(lines: DataFrame, col: str = "value") -> DataFrame:
-    """One row per data tuple: ``line`` plus raw ``tok`` (array<string>).
-
-    Column-name lists and non-tuple lines are skipped.  The steps are
-    separate projections referring to the previous step by name, so each
-    regular expression runs once per line and the plan stays small (a
-    reused Python Column would be copied into every place it is used).
-    The ``VALUES`` prefix and ``CAST(...)`` rewrites only run on lines that
-    contain those words.
+    """One row per data tuple, several for a line that has several: ``line``
+    plus raw ``tok`` (array<string>).  A line that is neither tuples in an
+    ``INSERT`` frame nor one without data (column-name lists, comments, other
+    statements) gives one row with a null ``tok``; so does each part of a
+    tuple that is wrapped over lines.  Null lines hold no data.
+
+    The steps are separate projections referring to the previous step by name,
+    and the token arrays are finished below the explode, so that the routing
+    filters downstream test them instead of deriving them again.
     """
     s = F.col("s")
     t = lines.select(F.col(col).alias("line"),
-                     F.regexp_replace(F.col(col), "\r", "").alias("s"))
-    t = t.select("line", F.when(_has(s, "values"),
-                                F.regexp_replace(s, r"(?i)^.*\bVALUES\b\s*", ""))
-                          .otherwise(s).alias("s"))
-    t = t.select("line", F.when(_has(s, "cast"), F.regexp_replace(
-        s, r"(?i)CAST\s*\(\s*('[^']*')\s+AS\s+\w+\s*\)", "$1")).otherwise(s).alias("s"))
-    t = t.select("line", F.regexp_extract(s, r"^\s*\((.*)\)\s*[,;]?\s*$", 1).alias("body"))
-    t = t.select("line", F.when((F.col("body") != "") & ~F.col("body").rlike(_COLNAMES),
-                                F.regexp_extract_all("body", F.lit(_TOKEN), 0)).alias("tok"))
-    # Emit the tokens through a one-element explode: predicates on a
-    # generated column are not pushed below the generator, so the routing
-    # filters downstream test the finished array instead of re-deriving it.
-    t = t.select("line", F.explode(F.array("tok")).alias("tok"))
-    return t.filter(F.col("tok").isNotNull())
+                     F.regexp_replace(F.col(col), "\r", "").alias("s")).filter(s.isNotNull())
+    t = t.select("line", "s", F.regexp_extract_all(s, F.lit(_TUPLE), F.lit(0)).alias("tuples"),
+                 F.regexp_replace(s, _TUPLE, " ").alias("rest"))
+    data = F.filter("tuples", lambda x: ~x.rlike(_COLNAMES) | x.rlike(_NULL_FIELD))
+    t = t.select("line", F.when(F.col("rest").rlike(_FRAME), data)
+                          .when(s.rlike(_OTHER), F.array().cast("array<string>"))
+                          .otherwise(F.array(F.lit(None).cast("string"))).alias("tuples"))
+    return t.select("line", F.explode(F.transform("tuples", lambda x: F.regexp_extract_all(
+        F.substring(x, F.lit(2), F.length(x) - 2), F.lit(_TOKEN), F.lit(0)))).alias("tok"))
 
 
 def token_value(tok: Column) -> Column:
-    """Token to text value: quoted -> inner text; bare NULL -> NULL."""
-    return (F.when(tok.startswith("'"), F.substring(tok, F.lit(2), F.length(tok) - 2))
-             .when(F.upper(tok) == "NULL", F.lit(None).cast("string"))
-             .otherwise(tok))
+    """Token to text value: quoted (also in a CAST) -> inner text; bare NULL -> NULL."""
+    t = F.regexp_replace(tok, f"^{_CAST}$", "$1")
+    inner = F.regexp_replace(F.substring(t, F.lit(2), F.length(t) - 2), "''", "'")
+    return (F.when(t.startswith("'"), inner)
+             .when(F.upper(t) == "NULL", F.lit(None).cast("string"))
+             .otherwise(t))
 
 
 def load_dump(lines: DataFrame, routes: Mapping[int, tuple[str, T.StructType]] = DEFAULT_ROUTES,
@@ -76,16 +82,17 @@ def load_dump(lines: DataFrame, routes: Mapping[int, tuple[str, T.StructType]] =
     """Route parsed tuples to tables by field count.
 
     Returns ``{table: DataFrame, "_quarantine": DataFrame(line, reason)}``.
-    A row is quarantined when its width matches no route or a non-NULL
-    field fails its cast.
+    A row is quarantined when its line cannot be parsed, its width matches no
+    route or a non-NULL field fails its cast.
     """
     parsed = parse_lines(lines, col)
     width = max(routes)
-    vals = parsed.select("line", F.size("tok").alias("width"), *[
+    vals = parsed.select("line", F.when(F.col("tok").isNotNull(), F.size("tok")).alias("width"), *[
         token_value(F.get(F.col("tok"), i)).alias(f"v{i}") for i in range(width)])
     out: dict[str, DataFrame] = {}
-    bad_parts = [vals.filter(~F.col("width").isin(list(routes))).select(
-        "line", F.lit("unknown tuple width").alias("reason"))]
+    bad_parts = [vals.filter(F.col("width").isNull() | ~F.col("width").isin(list(routes))).select(
+        "line", F.when(F.col("width").isNull(), "unparsed line").otherwise("unknown tuple width")
+        .alias("reason"))]
     for n, (name, schema) in routes.items():
         rows = vals.filter(F.col("width") == n)
         typed = rows.select("line", *[F.col(f"v{i}") for i in range(n)], *[
