@@ -20,11 +20,19 @@ SHINGLE_WORDS = 5
 
 
 _SHIPPED: set[str] = set()
+_ARROW_BATCH = {"spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
+                "spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Give the executors' Python workers this package, once per application."""
+    """Give the executors' Python workers this package, once per application,
+    and whole texts in Arrow batches of a few MB, where the session has no size
+    of its own: a worker and its executor each hold a batch or two."""
     sc = spark.sparkContext
+    own = spark.conf.getAll
+    for key, size in _ARROW_BATCH.items():
+        if key not in own:
+            spark.conf.set(key, size)
     if sc.applicationId in _SHIPPED:
         return
     _SHIPPED.add(sc.applicationId)

@@ -36,7 +36,7 @@ def _tables(bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 def tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers, at least, of the base and of its inverse mod 2^64."""
-    return _tables(max(22, int(n).bit_length()))
+    return _tables(max(21, int(n).bit_length()))
 
 
 def prefix_hashes(data: np.ndarray) -> np.ndarray:
