@@ -1,4 +1,8 @@
-"""Inline copies of the case-study tables (small, for unit tests)."""
+"""Case-study rows for unit tests.
+
+The rows from SALES to CUSTOMER_TRANSACTIONS are fixed values: the known answers
+that the tests expect are answers about these rows.
+"""
 
 import datetime as dt
 
@@ -11,6 +15,7 @@ def TS(s):
     return dt.datetime.fromisoformat(s)
 
 
+# --- fixed values: the case-study rows that the expected answers are about ---
 SALES = [("A", "2021-01-01", 1), ("A", "2021-01-01", 2), ("A", "2021-01-07", 2),
          ("A", "2021-01-10", 3), ("A", "2021-01-11", 3), ("A", "2021-01-11", 3),
          ("B", "2021-01-01", 2), ("B", "2021-01-02", 2), ("B", "2021-01-04", 1),

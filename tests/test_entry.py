@@ -1,5 +1,5 @@
-"""Driver contract: entry() smoke run, queries()/oracle_sql() keys, and a few
-jobs against their DuckDB oracle on sf0.001."""
+"""Driver contract: entry() smoke run, queries()/oracle_sql() keys, and jobs
+against their DuckDB oracle on sf0.001."""
 
 import os
 
@@ -27,7 +27,12 @@ def test_every_reference_query_has_oracle():
 @pytest.mark.parametrize("name", ["spend_by_customer", "order_description",
                                   "ingredient_counts", "member_flag_ranking",
                                   "allocation_percentiles", "balance_growth_share",
-                                  "before_after_4w_by_year"])
+                                  "before_after_4w_by_year", "first_items", "favourite_item",
+                                  "first_after_join", "last_before_join", "pre_join_totals",
+                                  "first_week_bonus_points", "type_by_customer", "top_extra",
+                                  "revenue_with_extras", "profit", "active_mix_by_month",
+                                  "closing_balance", "clean_weekly", "missing_weeks",
+                                  "monthly_platform_share", "before_after_12w"])
 def test_against_oracle(spark, name):
     con = duckdb.connect()
     for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
