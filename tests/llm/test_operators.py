@@ -286,3 +286,29 @@ def test_classifiers(spark, none, op, column, folds, fold):
     assert sum(r["predicted"] == int(r["doc_id"] % 3 == 0) for r in held) >= 0.95 * len(held)
     assert {r["score"] for r in op.score(docs, marks.limit(0)).collect()} == {0.5}
     assert op.score(none, marks).count() == 0
+
+
+def test_line_templates_of_one_leaf(spark):
+    def docs_of(lines):
+        rows = [(i, line, "", "", 0, "", 0) for i, line in enumerate(lines)]
+        return spark.createDataFrame(rows, SCHEMA).repartition(3)
+
+    def dropped(lines):
+        got = line_templates.drop_lines(docs_of(lines)).collect()
+        return {r["doc_id"] for r in got if r["n_dropped"]}
+
+    head = "one two three four "
+    tails = [prose(8, 200 + k) for k in range(3)]
+    # two recurring lines, and a third that one document repeats
+    lines = [head + tails[0]] * 30 + [head + tails[1]] * 20 + ["\n".join([head + tails[2]] * 200)]
+    assert dropped(lines) == set(range(50))
+    # the same with a varied word
+    lines = [head + tails[i % 3] + f" x{i}" for i in range(42)]
+    assert dropped(lines) == set(range(42))
+    # one document with many lines has one vote
+    lines = [head + tails[0] + f" x{i}" for i in range(12)]
+    lines += ["\n".join(head + tails[1] + f" y{i}" for i in range(60))]
+    assert dropped(lines) == set(range(12))
+    # a leaf of varied tails is no template
+    lines = [head + " ".join(f"w{i}v{k}" for k in range(8)) for i in range(30)]
+    assert dropped(lines) == set()
