@@ -3,13 +3,14 @@
 Texts are sets of five-word shingles.  Texts with the same set are one class,
 and only one document of a class goes on.  A class has a MinHash signature of
 ``COORDS`` coordinates and is posted under each (coordinate, value).  Two sets
-with a likeness of 0.85 agree in 109 of 128 coordinates on average, and in fewer
-than ``MATCHES`` with a probability below 1e-5; pairs with at least ``MATCHES``
-equal coordinates are retained and confirmed on their full sets.
+link from a likeness of ``percent`` on.  At 85 they agree in 109 of 128
+coordinates on average, and in fewer than 90 with a probability below 1e-5; at
+80 in 102, and in fewer than 82.  ``matches`` gives that number; pairs with as
+many equal coordinates are retained and confirmed on their full sets.
 
 *Prefix.*  Coordinates are ordered by how many classes share them, rare ones
-first.  Two classes with MATCHES equal coordinates share one of their first
-``COORDS - MATCHES + 1``, so only these are posted, and none that only one
+first.  Two classes with that many equal coordinates share one of their first
+``COORDS - matches + 1``, so only these are posted, and none that only one
 class has.
 *Skip.*  Full sets give a bound: with u of n shingles found in no other
 document, a pair has at most min(n - u) in common.  Classes and pairs whose
@@ -32,6 +33,7 @@ columns through.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,13 +47,24 @@ from caseflow.llm.hashing import mix, shingle_sets
 from caseflow.llm.words import bounded
 
 COORDS = 128
-MATCHES = 90
+MISSED = 1e-5
 LIKE_PERCENT = 85
 PIVOT_ROUNDS = 2
 SKIP_ROUNDS = 2
 _A = np.random.default_rng(11).integers(1, 2**63, COORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+def matches(percent: int) -> int:
+    """The most equal coordinates that two sets at the threshold fall short of
+    with a probability below MISSED."""
+    like, below, m = percent / 100, 0.0, 0
+    while True:
+        below += math.comb(COORDS, m) * like**m * (1 - like)**(COORDS - m)
+        if below >= MISSED or m == COORDS:
+            return m
+        m += 1
+
+
 def signature(shingles: np.ndarray) -> np.ndarray:
     """Least value of each of COORDS hash functions over the set."""
     out = np.full(COORDS, 0xFFFFFFFF, np.uint64)
@@ -114,38 +127,38 @@ def _alone(items: DataFrame, key: str) -> DataFrame:
             .filter("c = 1").groupBy("id").agg(F.count(F.lit(1)).alias("alone")))
 
 
-def _possible(common: Column, n: Column) -> Column:
+def _possible(common: Column, n: Column, percent: int) -> Column:
     """Whether ``common`` shingles of ``n`` in the union reach the threshold."""
-    return common * 100 >= n * LIKE_PERCENT
+    return common * 100 >= n * percent
 
 
-def _pair_bound(a: str, b: str) -> Column:
+def _pair_bound(a: str, b: str, percent: int) -> Column:
     most = F.least(F.col(f"{a}.shared"), F.col(f"{b}.shared"))
-    return _possible(most, F.col(f"{a}.n") + F.col(f"{b}.n") - most)
+    return _possible(most, F.col(f"{a}.n") + F.col(f"{b}.n") - most, percent)
 
 
 def _equal_coords() -> Column:
     return F.size(F.filter(F.zip_with("a.sig", "b.sig", lambda x, y: x == y), lambda x: x))
 
 
-def confirmed(pairs: DataFrame, sigs: DataFrame, sets: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, sigs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v) that link: enough equal coordinates, then the exact
     likeness of the full sets."""
     kept = (pairs.join(sigs.alias("a"), F.col("u") == F.col("a.id"))
             .join(sigs.alias("b"), F.col("v") == F.col("b.id"))
-            .filter(_equal_coords() >= MATCHES).select("u", "v"))
+            .filter(_equal_coords() >= matches(percent)).select("u", "v"))
     kept = stored(kept, "retained")
     both = F.size(F.array_intersect("a.shingles", "b.shingles"))
     return (kept.join(sets.alias("a"), F.col("u") == F.col("a.id"))
             .join(sets.alias("b"), F.col("v") == F.col("b.id"))
-            .filter(_possible(both, F.size("a.shingles") + F.size("b.shingles") - both))
+            .filter(_possible(both, F.size("a.shingles") + F.size("b.shingles") - both, percent))
             .select("u", "v"))
 
 
-def links(docs: DataFrame, reps: DataFrame) -> DataFrame:
+def links(docs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """Links (u, v) between class representatives (id, n, sig) that give the
     components of all links."""
-    first = COORDS - MATCHES + 1
+    first = COORDS - matches(percent) + 1
     lone = _alone(_keys(reps), "key")
     near = reps.join(lone, "id", "left").filter(F.coalesce("alone", F.lit(0)) < first)
     near = stored(near.select("id", "n", "sig"), "near_sigs")
@@ -157,7 +170,7 @@ def links(docs: DataFrame, reps: DataFrame) -> DataFrame:
         lone = _alone(sets.select("id", F.explode("shingles").alias("h")), "h")
         near = (near.select("id", "n", "sig").join(lone, "id", "left")
                 .withColumn("shared", F.col("n") - F.coalesce("alone", F.lit(0)))
-                .filter(_possible(F.col("shared"), F.col("n"))).select("id", "n", "shared", "sig"))
+                .filter(_possible(F.col("shared"), F.col("n"), percent)).select("id", "n", "shared", "sig"))
         near = stored(near, "near_docs")
         sets = stored(sets.join(near.select("id"), "id", "left_semi"), "near_sets")
 
@@ -185,7 +198,7 @@ def links(docs: DataFrame, reps: DataFrame) -> DataFrame:
                             "shared", "comp")
             pivot = now.groupBy("key").agg(F.min(best).alias("b")).select("key", "b.*")
             some = now.alias("a").join(pivot.alias("b"), F.expr("a.key = b.key and a.comp <> b.comp")
-                                       & _pair_bound("a", "b"))
+                                       & _pair_bound("a", "b", percent))
         else:
             per = now.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
             main = per.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("m"),
@@ -198,18 +211,19 @@ def links(docs: DataFrame, reps: DataFrame) -> DataFrame:
             some = left.filter("comp <> main").alias("a").join(
                 left.alias("b"), F.expr("a.key = b.key and a.comp <> b.comp "
                                         "and (b.comp = a.main or a.id < b.id)")
-                & _pair_bound("a", "b")
+                & _pair_bound("a", "b", percent)
                 & F.expr("a.key = array_min(array_intersect(a.prefix, b.prefix))")
-                & (_equal_coords() >= MATCHES))
+                & (_equal_coords() >= matches(percent)))
         pairs = some.select(F.greatest("a.id", "b.id").alias("u"),
                             F.least("a.id", "b.id").alias("v")).distinct()
-        new = confirmed(pairs, near.select("id", "sig"), sets)
+        new = confirmed(pairs, near.select("id", "sig"), sets, percent)
         found = stored(new if found is None else found.union(new), "links")
     return found
 
 
-def link_components(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row."""
+def link_components(docs: DataFrame, percent: int = LIKE_PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row; sets link from a
+    likeness of ``percent`` on."""
     ship_package(docs.sparkSession)
     rows = stored(signatures(docs), "signatures")
     known = rows.filter("doc_id is not null and n_shingles > 0")
@@ -220,7 +234,7 @@ def link_components(docs: DataFrame) -> DataFrame:
                        ["doc_id", "set_key"], "left_semi")
             .dropDuplicates(["doc_id"])
             .select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sig"))
-    found = links(docs, stored(reps, "representatives"))
+    found = links(docs, stored(reps, "representatives"), percent)
     # an id with several texts ties their classes together
     several = (member.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
                .join(member, "doc_id").select(F.col("doc_id").alias("u"), F.col("rep").alias("v")))
@@ -233,11 +247,11 @@ def link_components(docs: DataFrame) -> DataFrame:
                       F.coalesce(own == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
-def keep_rows(docs: DataFrame) -> DataFrame:
+def keep_rows(docs: DataFrame, percent: int = LIKE_PERCENT) -> DataFrame:
     """The rows of ``docs`` that are kept, one document of each component."""
-    gone = link_components(docs).filter("not kept").select(F.col("doc_id").alias("__gone")).distinct()
+    gone = link_components(docs, percent).filter("not kept").select(F.col("doc_id").alias("__gone")).distinct()
     return docs.join(gone, docs["doc_id"].cast("bigint") == F.col("__gone"), "left_anti")
 
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return link_components(documents(spark, sf_dir))
+    return link_components(documents(spark, sf_dir), LIKE_PERCENT)

@@ -43,3 +43,25 @@ def test_stages(spark):
             assert words == {i: n for i, n in taken.items() if n}
         else:
             assert sorted(map(tuple, new)) == sorted(map(tuple, pieces.encode_digests(before).collect()))
+
+
+def test_near_copies_link_from_four_fifths_on(spark):
+    def shingles(text):
+        w = text.lower().split()
+        return set(zip(*[w[k:] for k in range(5)], strict=False))
+
+    rows = []
+    for g in range(6):  # a text, and copies with g words changed far from each other
+        words = [f"g{g}w{k}" for k in range(150)]
+        rows.append((2 * g, " ".join(words)))
+        for k in range(g):
+            words[10 + 20 * k] = f"g{g}x{k}"
+        rows.append((2 * g + 1, " ".join(words + [f"g{g}end"])))
+    sets = {i: shingles(t) for i, t in rows}
+    like = [len(sets[2 * g] & sets[2 * g + 1]) / len(sets[2 * g] | sets[2 * g + 1]) for g in range(6)]
+    assert any(0.8 <= x < 0.85 for x in like) and min(like) < 0.8
+    want = set(range(0, 12, 2)) | {2 * g + 1 for g in range(6) if like[g] < 0.8}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = corpus_pipeline.drop_near_copies(spark, docs, SF).collect()
+    assert {r["doc_id"] for r in got} == want
+    assert near_dedup.matches(85) == 90 and near_dedup.matches(80) == 82
