@@ -4,8 +4,9 @@ A line's place in the tree has a fixed depth: its number of tokens, then its
 ``DEPTH`` leading tokens, where a token with a digit stands for any such token.
 A leaf holds any number of templates.
 
-*Identical lines* found in ``MIN_DOCS`` documents are templates without
-wildcards, and settled by counts alone.
+*Identical lines* found in ``SAME_DOCS`` documents, the fewest that recur, are
+templates without wildcards, and settled by counts alone.  So of documents that
+are copies of each other no line stays: they are dropped before, if at all.
 *Wildcards.*  The other lines of a leaf are its seeds.  A seed's neighbours are
 the leaf's lines that share at least ``FIXED`` of their tokens with it, place
 by place.  Each neighbours' document has one vote for each place and token: a
@@ -15,8 +16,8 @@ their tokens, and by those that no template holds yet, so a common line does
 not outvote a rarer one.  A template needs ``FIXED`` of its places fixed; lines
 of at most ``DEPTH`` tokens, which the tree describes in full, need one.  A line
 belongs to a template if it has at least ``LIKE`` of the fixed tokens.
-Templates whose lines come from ``MIN_DOCS`` documents are dropped from all
-texts.  Lines that a template holds are no seeds; the vote is repeated, with
+Templates whose lines come from ``MIN_DOCS`` documents (one more, as two lines
+may be alike by chance) are dropped from all texts.  Lines that a template holds are no seeds; the vote is repeated, with
 ``MORE`` times as many seeds of a leaf at once, until no seed is left.
 
 Everything is DataFrame code; counts combine before each shuffle.  A leaf's
@@ -37,7 +38,8 @@ from pyspark.sql import functions as F
 from caseflow.llm.common import WORD, documents, stored, whole_text
 
 DEPTH = 4
-MIN_DOCS = 10
+SAME_DOCS = 2
+MIN_DOCS = 3
 LIKE = 0.7
 FIXED = 0.5
 MORE = 8
@@ -79,15 +81,15 @@ def _templates(found: DataFrame, seeds: DataFrame, depth: int, like: float, fixe
         (F.col("known") > 0) & ((F.col("known") >= size * fixed) | (size <= depth)))
 
 
-def dropped_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS,
-                  like: float = LIKE, fixed: float = FIXED) -> DataFrame:
+def dropped_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, like: float = LIKE,
+                  fixed: float = FIXED, same_docs: int = SAME_DOCS) -> DataFrame:
     """(doc_id, line_no) of the lines of recurring templates."""
     lines = docs.select("doc_id", F.posexplode(F.split(whole_text(), "\n", -1)).alias("line_no", "line"))
     tokens = F.regexp_extract_all(F.col("line"), F.lit(WORD), F.lit(0))
     lines = lines.withColumn("tokens", tokens).filter(F.size("tokens") > 0)
     lead = F.transform(F.slice("tokens", 1, depth),
                        lambda t: F.when(t.rlike("[0-9]"), F.lit(ANY)).otherwise(t))
-    lines = lines.select("doc_id", "line_no", "tokens", F.xxhash64(F.size("tokens"), lead).alias("leaf"),
+    lines = lines.select("doc_id", "line_no", "line", F.xxhash64(F.size("tokens"), lead).alias("leaf"),
                          F.xxhash64("tokens").alias("key"))
 
     def in_documents(rows: DataFrame, *keys: str) -> DataFrame:
@@ -96,16 +98,18 @@ def dropped_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS,
 
     placed = stored(lines.select("doc_id", "line_no", "leaf", "key"), "line_places")
     counts = stored(in_documents(placed, "leaf", "key"), "line_counts")
-    gone = counts.filter(F.col("docs") >= min_docs).select("leaf", "key")
+    gone = counts.filter(F.col("docs") >= same_docs).select("leaf", "key")
 
     # leaves where other lines may form a template: no document counts twice for one line
     often = counts.groupBy("leaf").agg(F.sum("docs").alias("most"), F.min("docs").alias("least"),
                                        F.count(F.lit(1)).alias("n"))
-    often = often.filter((F.col("most") >= min_docs) & (F.col("least") < min_docs) & (F.col("n") > 1))
-    found = lines.join(often.select("leaf"), "leaf", "left_semi").groupBy("leaf", "key", "doc_id").agg(
-        F.first("tokens").alias("tokens"))
+    often = often.filter((F.col("most") >= min_docs) & (F.col("least") < same_docs) & (F.col("n") > 1))
+    # lines travel as text, which is smaller than their tokens
+    found = (lines.drop("line_no").join(often.select("leaf"), "leaf", "left_semi")
+             .groupBy("leaf", "key", "doc_id").agg(F.first("line").alias("line")))
     found = found.join(counts, ["leaf", "key"]).select(
-        "leaf", "key", "doc_id", "tokens", (F.col("docs") < min_docs).alias("open"))
+        "leaf", "key", "doc_id", F.regexp_extract_all("line", F.lit(WORD), F.lit(0)).alias("tokens"),
+        (F.col("docs") < same_docs).alias("open"))
     found = stored(found, "line_candidates")
     pool = found.filter("open").select("leaf", "key", "tokens").dropDuplicates(["leaf", "key"])
     pool = stored(pool, "line_seeds")

@@ -312,3 +312,14 @@ def test_line_templates_of_one_leaf(spark):
     # a leaf of varied tails is no template
     lines = [head + " ".join(f"w{i}v{k}" for k in range(8)) for i in range(30)]
     assert dropped(lines) == set()
+
+
+def test_lines_of_two_documents_recur(spark):
+    said = prose(12, 300)
+    rows = [(0, said + "\n" + prose(9, 301)), (1, prose(9, 302) + "\n" + said), (2, "seen once " + prose(9, 303)),
+            (3, "\n".join(["seen twice in one document"] * 2))]
+    rows += [(10 + i, f"At {i} the server {i + 5} was restarted by its owner") for i in range(3)]
+    rows += [(20 + i, f"On day {i} nobody {i + 5} came to the old house") for i in range(2)]
+    docs = spark.createDataFrame([(*r, "", "", 0, "", 0) for r in rows], SCHEMA)
+    got = {r["doc_id"]: r["n_dropped"] for r in line_templates.drop_lines(docs).collect()}
+    assert got == {0: 1, 1: 1, 2: 0, 3: 0, 10: 1, 11: 1, 12: 1, 20: 0, 21: 0}
