@@ -32,7 +32,7 @@ def test_stages(spark):
                 best[r["text"]] = max(r["doc_id"], best.get(r["text"], -1))
             assert {r["doc_id"] for r in new} == set(best.values())
         elif k == 2:
-            kept = near_dedup.link_components(before).filter("kept").collect()
+            kept = near_dedup.link_components(before, corpus_pipeline.NEAR_PERCENT).filter("kept").collect()
             assert {r["doc_id"] for r in new} == {r["doc_id"] for r in kept}
         elif k == 3:
             taken = {r["doc_id"]: r["taken"] for r in mixing.mix(before).collect()}
