@@ -11,6 +11,7 @@ from caseflow.llm.line_templates import ORACLE as LINE_TEMPLATES_SQL
 from caseflow.llm.line_templates import op8_line_templates
 from caseflow.llm.mixing import op5_mix_sources
 from caseflow.llm.near_dedup import op4_near_dedup
+from caseflow.llm.packing import op11_packing
 from caseflow.llm.pieces import op1_sentencepiece
 from caseflow.llm.quality import op6_quality
 from caseflow.llm.suffix_dedup import op9_suffix_dedup
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_line_templates": op8_line_templates,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_toxicity": op10_toxicity,
+    "op11_packing": op11_packing,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE_SQL = {

@@ -108,3 +108,44 @@ def ragged_take(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.n
     ends = np.cumsum(sizes)
     at = np.arange(ends[-1] if len(ends) else 0)
     return flat[at + np.repeat(starts - (ends - sizes), sizes)]
+
+
+class IdTable:
+    """Ids of words, in arrays: ``flat[starts[k]:starts[k] + sizes[k]]`` of the
+    word at place k.  Words are looked up and added a batch at a time; beyond
+    ``most`` words, those of the last batch stay alone."""
+
+    def __init__(self, encode: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], most: int):
+        """``encode`` gives all ids of an array of words, and their numbers."""
+        self.encode, self.most = encode, most
+        self.clear()
+
+    def clear(self) -> None:
+        self.words = pa.array([], pa.string())
+        self.flat, self.starts, self.sizes = (np.empty(0, t) for t in ("<u4", np.int64, np.int64))
+
+    def _add(self, words: pa.Array, flat: np.ndarray, sizes: np.ndarray) -> None:
+        self.words = pa.concat_arrays([self.words, words])
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.flat = np.concatenate([self.flat, flat])
+
+    def places(self, words: pa.Array) -> np.ndarray:
+        """The places of distinct ``words``, made where missing; they hold
+        until the next call."""
+        at = pc.index_in(words, value_set=self.words)
+        if len(self.words) + at.null_count > self.most:
+            held = at.drop_null()
+            old, starts, sizes = self.words.take(held), self.starts, self.sizes
+            flat, held = self.flat, np.asarray(held)
+            self.clear()
+            self._add(old, ragged_take(flat, starts[held], sizes[held]), sizes[held])
+            at = pc.index_in(words, value_set=self.words)
+        if at.null_count:
+            new = words.filter(pc.is_null(at))
+            count = len(self.words)
+            self._add(new, *self.encode(new))
+            out = at.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+            out[out < 0] = count + np.arange(len(new))
+            return out
+        return np.asarray(at, np.int64)
