@@ -71,6 +71,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def renamed(df: DataFrame) -> DataFrame:
+    """The same columns under new ids, to meet a frame of the same origin."""
+    return df.toDF(*df.columns)
+
+
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:
     """True where crc32 of the id in decimal text, mod ``folds``, is ``fold``
     (null id: false)."""

@@ -4,9 +4,13 @@ express them."""
 from __future__ import annotations
 
 import corpus_pipeline
+from caseflow.llm.divergence import ORACLE as DIVERGENCE_SQL
+from caseflow.llm.divergence import op13_source_divergence
 from caseflow.llm.exact_dedup import ORACLE as EXACT_DEDUP_SQL
 from caseflow.llm.exact_dedup import op7_exact_dedup
 from caseflow.llm.fingerprint import op3_fingerprints
+from caseflow.llm.hard_negatives import ORACLE as HARD_NEGATIVES_SQL
+from caseflow.llm.hard_negatives import op12_hard_negatives
 from caseflow.llm.line_templates import ORACLE as LINE_TEMPLATES_SQL
 from caseflow.llm.line_templates import op8_line_templates
 from caseflow.llm.mixing import op5_mix_sources
@@ -30,9 +34,13 @@ QUERIES = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_toxicity": op10_toxicity,
     "op11_packing": op11_packing,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_source_divergence": op13_source_divergence,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE_SQL = {
     "op7_exact_dedup": EXACT_DEDUP_SQL,
     "op8_line_templates": LINE_TEMPLATES_SQL,
+    "op12_hard_negatives": HARD_NEGATIVES_SQL,
+    "op13_source_divergence": DIVERGENCE_SQL,
 }
