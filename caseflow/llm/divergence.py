@@ -4,7 +4,7 @@
 and term the number of documents, and the occurrences by source.  A task that
 holds ``HELD`` entries spills its stripes and goes on.
 *Merge.*  Stripes are dealt and sorted by (lang, term); a task adds up those of
-one key as they pass, one stripe at a time.  Terms in fewer than ``MIN_DOCS``
+one key as they pass, and holds one stripe of a key that goes on.  Terms in fewer than ``MIN_DOCS``
 documents of their language end here.
 *Emit.*  A language's kept stripes are cut into chunks of at most ``DENSE``
 (term, source) places, each with the language's totals.  A chunk gives each
@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -40,8 +41,11 @@ SCALE_STEPS, SCALE_STEP = 3, 1000  # 10^9 in steps, so that no product leaves 64
 TOP = 50
 HELD = 600_000
 PIECE = 1 << 20
-DENSE = 1 << 20
+DENSE = 1 << 16
+AT_ONCE = 20_000  # rows of stripes that are added up together
 STRIPE = "lang string, term string, docs bigint, sources array<string>, counts array<bigint>"
+STRIPES = pa.schema([("lang", pa.string()), ("term", pa.string()), ("docs", pa.int64()),
+                     ("sources", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
 # letters to lower case, bytes from 128 on as they are, all others to spaces
 TO_TERMS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32
                  for b in range(256))
@@ -64,10 +68,12 @@ def _lists(values: pa.Array, sizes: np.ndarray) -> pa.ListArray:
 
 
 def _batch(lang, term, docs, sources: pa.Array, counts: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
+    def strings(x) -> pa.Array:
+        return x if isinstance(x, pa.Array) else pa.array(x, pa.string())
+
     return pa.RecordBatch.from_arrays(
-        [pa.array(lang, pa.string()), pa.array(term, pa.string()), pa.array(docs, pa.int64()),
-         _lists(sources, sizes), _lists(pa.array(counts, pa.int64()), sizes)],
-        names=["lang", "term", "docs", "sources", "counts"])
+        [strings(lang), strings(term), pa.array(docs, pa.int64()), _lists(sources, sizes),
+         _lists(pa.array(counts, pa.int64()), sizes)], schema=STRIPES)
 
 
 class Fold:
@@ -134,35 +140,63 @@ def fold(docs: DataFrame, held: int = HELD) -> DataFrame:
     return rows.mapInArrow(run, STRIPE)
 
 
-def merge(stripes: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """One stripe for each kept term, and one without term for each language."""
+def _starts(t: pa.Table) -> np.ndarray:
+    """Where each (lang, term) of a sorted table starts."""
+    n, new = t.num_rows, np.zeros(max(0, t.num_rows - 1), bool)
+    for name in ("lang", "term"):
+        column = pc.fill_null(t.column(name), "").combine_chunks()  # no term is empty
+        new |= pc.not_equal(column.slice(1), column.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+    return np.concatenate([[0], np.flatnonzero(new) + 1])
+
+
+def _added(t: pa.Table) -> pa.RecordBatch:
+    """One stripe for each (lang, term) of a sorted table."""
+    starts = _starts(t)
+    group = np.repeat(np.arange(len(starts)), np.diff(starts, append=t.num_rows))
+    lists = t.column("sources").combine_chunks()
+    sizes = np.diff(np.asarray(lists.offsets))
+    coded = lists.flatten().dictionary_encode()
+    names, code = coded.dictionary, np.asarray(coded.indices, np.int64)
+    cell = np.repeat(group, sizes) * len(names) + code
+    counts = np.asarray(t.column("counts").combine_chunks().flatten())
+    order = np.argsort(cell, kind="stable")
+    cells = cell[order]
+    first = np.flatnonzero(np.diff(cells, prepend=-1))
+    sums = np.add.reduceat(counts[order], first) if len(first) else counts[:0]
+    of, source = np.divmod(cells[first], max(1, len(names)))
+    at = pa.array(starts)
+    return _batch(t.column("lang").combine_chunks().take(at), t.column("term").combine_chunks().take(at),
+                  np.add.reduceat(np.asarray(t.column("docs").combine_chunks()), starts),
+                  names.take(pa.array(source)), sums, np.bincount(of, minlength=len(starts)))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, docs, counts, done = None, 0, Counter(), []
 
-        def closed():
-            if key is not None and (key[1] is None or docs >= min_docs):
-                done.append((*key, docs, counts))
+def merge(stripes: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """One stripe for each kept term, and one without term for each language."""
 
-        def flush():
-            sizes = np.array([len(x[3]) for x in done], np.int64)
-            lang, term, n = zip(*[x[:3] for x in done], strict=True) if done else ((), (), ())
-            return _batch(lang, term, n, pa.array([s for x in done for s in x[3]], pa.string()),
-                          np.array([c for x in done for c in x[3].values()], np.int64), sizes)
+    def kept(t: pa.Table, starts: np.ndarray) -> pa.RecordBatch:
+        """The stripes of whole keys; rare terms go before anything is added up."""
+        docs = np.add.reduceat(np.asarray(t.column("docs").combine_chunks()), starts)
+        rows = np.repeat(docs >= min_docs, np.diff(starts, append=t.num_rows))
+        t = t.filter(pc.or_(pa.array(rows), pc.is_null(t.column("term").combine_chunks())))
+        return _added(t) if t.num_rows else _batch([], [], [], pa.array([], pa.string()), [], np.empty(0, np.int64))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
         for b in batches:
-            columns = [b.column(k).to_pylist() for k in range(5)]
-            for lang, term, n, sources, some in zip(*columns, strict=True):
-                if (lang, term) != key:
-                    closed()
-                    key, docs, counts = (lang, term), 0, Counter()
-                docs += n
-                for s, c in zip(sources, some, strict=True):
-                    counts[s] += c
-            yield flush()
-            done = []
-        closed()
-        yield flush()
+            held.append(pa.Table.from_batches([b]).cast(STRIPES))
+            n += b.num_rows
+            if n < AT_ONCE:
+                continue
+            t = pa.concat_tables(held)
+            starts = _starts(t)
+            if len(starts) > 1:
+                yield kept(t.slice(0, starts[-1]), starts[:-1])
+            # the last key may go on: one stripe so far
+            held = [pa.Table.from_batches([_added(t.slice(starts[-1]))])]
+            n = 1
+        if n:
+            t = pa.concat_tables(held)
+            yield kept(t, _starts(t))
 
     return (stripes.repartition("lang", "term").sortWithinPartitions("lang", "term")
             .mapInArrow(run, STRIPE))

@@ -57,6 +57,7 @@ def rows():
 @pytest.mark.parametrize("held,dense", [(divergence.HELD, divergence.DENSE), (50, 40)])
 def test_against_plain_counts(spark, rows, held, dense, monkeypatch):
     monkeypatch.setattr(divergence.fold, "__defaults__", (held,))
+    monkeypatch.setattr(divergence, "AT_ONCE", held // 10)
     docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
     got = divergence.divergences(docs, min_docs=4, top=7, dense=dense)
     assert got.columns == ["lang", "source", "part", "item", "value", "rank"]
