@@ -17,7 +17,7 @@ cut there; each distinct cut is encoded once per worker and remembered (a
 bounded number of them).
 
 Defined results: a null text counts as empty and has the end id alone; the text
-of a special token is ordinary text; rows that repeat an id follow each other
+of a special token gives its id, as in the library; rows that repeat an id follow each other
 in the order of their texts, null ids come first.  An empty table gives files
 without rows.  Only ``doc_id`` and ``text`` are read.
 """
@@ -35,12 +35,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from caseflow.llm.common import documents, scratch, whole_text
-from caseflow.llm.words import Memo, Split, bounded, remembering, ragged_take
+from caseflow.llm.common import documents, scratch, ship_package, whole_text
+from caseflow.llm.words import IdTable, Split, bounded, ragged_take
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
-REMEMBERED = 300_000
+REMEMBERED = 400_000
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 2_000
@@ -53,7 +53,7 @@ CUT = re.compile(" (?=[^" + re.sub(r"\\x\{(\w+)\}", lambda m: f"\\u{int(m[1], 16
 
 
 class TextEncoder:
-    """Ids of whole texts, as little-endian bytes of 32-bit ids."""
+    """Ids of whole texts, each with an end id."""
 
     JOINED = 256
 
@@ -61,61 +61,67 @@ class TextEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
-        self.tokenizer.encode_special_tokens = True
         space = self.tokenizer.encode(" ", add_special_tokens=False).tokens[0]
         size = self.tokenizer.get_vocab_size()
         self.starts = np.array([(self.tokenizer.id_to_token(i) or "").startswith(space)
                                 for i in range(size)])
-        self.memo, self.first = Memo(self._encode_cuts, REMEMBERED), Memo(self._encode_firsts)
+        # a special token ends the text before it: no cut between spaces and it
+        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.unsafe = "|".join([UNSAFE, *[f" {t}" for t in special]])
+        self.cut = re.compile(CUT.pattern + "".join(f"(?!{t})" for t in special)).split
+        self.rest = IdTable(self._encode_cuts, REMEMBERED)
+        self.first = IdTable(self._encode_firsts, REMEMBERED)
 
     def _ids(self, text: str) -> np.ndarray:
         got = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return np.array(got[0].ids, dtype="<u4")
 
-    def _encode_cuts(self, cuts: list[str]) -> list[bytes]:
+    def _encode_cuts(self, cuts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of each cut after its space.  Cuts follow each other in one
         text; where they start is seen by the ids that start with a space."""
-        out: list[bytes | None] = [None] * len(cuts)
-        plain = []
-        for i, c in enumerate(cuts):
-            if " " in c:
-                out[i] = self._ids(" " + c).tobytes()
-            else:
-                plain.append(i)
-        for lo in range(0, len(plain), self.JOINED):
-            some = plain[lo:lo + self.JOINED]
-            ids = self._ids(" " + " ".join([cuts[i] for i in some]))
-            at = np.flatnonzero(self.starts[ids]).tolist()
+        inner = pc.match_substring(cuts, " ").to_numpy(zero_copy_only=False)
+        plain, odd = np.flatnonzero(~inner), np.flatnonzero(inner)
+        words = cuts.take(pa.array(plain)).to_pylist()
+        flat, sizes = [], []
+        for lo in range(0, len(words), self.JOINED):
+            some = words[lo:lo + self.JOINED]
+            ids = self._ids(" " + " ".join(some))
+            at = np.flatnonzero(self.starts[ids])
             if len(at) != len(some):
                 raise ValueError("the tokenizer doesn't start a token at each space")
-            raw, at = ids.tobytes(), [*at, len(ids)]
-            for k, i in enumerate(some):
-                out[i] = raw[4 * at[k]:4 * at[k + 1]]
-        return out
-
-    def _encode_firsts(self, cuts: list[str]) -> list[bytes]:
+            flat.append(ids)
+            sizes.append(np.diff(at, append=len(ids)))
+        each = [self._ids(" " + c) for c in cuts.take(pa.array(odd)).to_pylist()]
+        flat = np.concatenate([*flat, *each, np.empty(0, "<u4")])
+        sizes = np.concatenate([*sizes, np.array([len(x) for x in each], np.int64)])
+        order = np.argsort(np.concatenate([plain, odd]), kind="stable")
+        return ragged_take(flat, (np.cumsum(sizes) - sizes)[order], sizes[order]), sizes[order]
+
+    def _encode_firsts(self, cuts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of cuts that start a text."""
-        return [self._ids(c).tobytes() if c else b"" for c in cuts]
+        each = [self._ids(c) if c else np.empty(0, "<u4") for c in cuts.to_pylist()]
+        return np.concatenate([*each, np.empty(0, "<u4")]), np.array([len(x) for x in each], np.int64)
 
     def encode(self, texts: pa.Array, end_id: int) -> pa.ListArray:
         """Ids of each text and the end id."""
-        split = Split(texts, UNSAFE, CUT.split)
-        n, at = len(split.words), split.offsets[:-1]
+        split = Split(texts, self.unsafe, self.cut)
+        at = split.offsets[:-1]
         # a text's first word has no space before it: entries of their own
         firsts, code = np.unique(split.codes[at], return_inverse=True)
-        ids = (self.memo.all(split.words)
-               + self.first.all([split.words[i] for i in firsts.tolist()]))
-        codes = split.codes.astype(np.int64)
-        codes[at] = n + code
+        place = self.rest.places(split.array)
+        first = self.first.places(split.array.take(pa.array(firsts)))
+        flat = np.concatenate([self.rest.flat, self.first.flat, np.array([end_id], "<u4")])
+        starts = np.concatenate([self.rest.starts[place], len(self.rest.flat) + self.first.starts[first],
+                                 [len(flat) - 1]])
         # the end id is one more word of each text
-        ids.append(np.array([end_id], dtype="<u4").tobytes())
-        codes = np.insert(codes, split.offsets[1:], len(ids) - 1)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        flat = np.frombuffer(b"".join(ids), dtype="<i4")
+        sizes = np.concatenate([self.rest.sizes[place], self.first.sizes[first], [1]])
+        codes = split.codes.astype(np.int64)
+        codes[at] = len(place) + code
+        codes = np.insert(codes, split.offsets[1:], len(sizes) - 1)
         taken = sizes[codes]
         ends = np.concatenate([[0], np.cumsum(taken)])
         offsets = ends[split.offsets + np.arange(len(split.offsets))]
-        values = ragged_take(flat, (np.cumsum(sizes) - sizes)[codes], taken)
+        values = ragged_take(flat, starts[codes], taken).astype("<i4")
         return split.back(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values)))
 
 
@@ -133,22 +139,22 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end_id:
                  encoding: str = "delta", parts: int | None = None) -> None:
     """Encode every text and write the files and their manifest to ``path``."""
     spark = docs.sparkSession
+    ship_package(spark)
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     file = public_tokenizers.path(tokenizer)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, at = encoder(file), 0
-        with remembering(enc.memo, enc.first):
-            for whole in batches:
-                for b in bounded(whole, "text"):
-                    lists = enc.encode(b.column("text"), end_id)
-                    n = pc.list_value_length(lists).to_numpy()
-                    ends = np.cumsum(n, dtype=np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [b.column("part"), b.column("doc_id"), pa.array(at + ends - n, pa.int64()),
-                         pa.array(n, pa.int32()), lists],
-                        names=["part", "doc_id", "at", "n_tokens", "ids"])
-                    at += int(n.sum())
+        for whole in batches:
+            for b in bounded(whole, "text"):
+                lists = enc.encode(b.column("text"), end_id)
+                n = pc.list_value_length(lists).to_numpy()
+                ends = np.cumsum(n, dtype=np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("part"), b.column("doc_id"), pa.array(at + ends - n, pa.int64()),
+                     pa.array(n, pa.int32()), lists],
+                    names=["part", "doc_id", "at", "n_tokens", "ids"])
+                at += int(n.sum())
 
     rows = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
             .repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
@@ -195,6 +201,7 @@ def with_checksums(tokens: DataFrame) -> DataFrame:
                 [b.column("doc_id"), b.column("start"), b.column("n_tokens"),
                  pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
+    ship_package(tokens.sparkSession)
     return tokens.mapInArrow(sums, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 

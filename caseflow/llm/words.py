@@ -66,8 +66,8 @@ def remembering(*memos: Memo):
 
 
 class Split:
-    """Texts cut at spaces: ``words`` (distinct), ``codes`` (of all words, text
-    after text) and ``offsets``, for the texts in the order ``order``."""
+    """Texts cut at spaces: ``array`` and ``words`` (distinct), ``codes`` (of all
+    words, text after text) and ``offsets``, for the texts in the order ``order``."""
 
     def __init__(self, texts: pa.Array, special: str, cut: Callable[[str], list[str]]):
         """Texts in which the RE2 pattern ``special`` is found, and empty
@@ -82,11 +82,15 @@ class Split:
             parts.append(pa.array([c for x in cuts for c in x], pa.string()))
             sizes.append(np.array([len(x) for x in cuts]))
         coded = pa.concat_arrays(parts).dictionary_encode()
-        self.words: list[str] = coded.dictionary.to_pylist()
+        self.array = coded.dictionary
         self.codes = coded.indices.to_numpy()
         self.offsets = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
         self.order = np.concatenate([plain, slow])
 
+    @property
+    def words(self) -> list[str]:
+        return self.array.to_pylist()
+
     def back(self, values):
         """Values in ``order`` as they were in the batch."""
         place = np.empty(len(self.order), np.int64)

@@ -79,7 +79,6 @@ def test_backtracking_is_merging():
 def test_token_files(spark, docs, none, rows, tmp_path):
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(public_tokenizers.path(token_files.TOKENIZER))
-    tok.encode_special_tokens = True
     path = str(tmp_path / "t")
     token_files.write_tokens(docs, path)
     got = {r[0]: tuple(r)[1:] for r in
@@ -94,6 +93,21 @@ def test_token_files(spark, docs, none, rows, tmp_path):
     assert token_files.read_tokens(spark, str(tmp_path / "e")).count() == 0
 
 
+def test_special_tokens_in_all_places():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+    file = public_tokenizers.path(token_files.TOKENIZER)
+    tok, enc = Tokenizer.from_file(file), token_files.TextEncoder(file)
+    s, r = "<|endoftext|>", random.Random(7)
+    texts = [s, s + s, f" {s} ", f"a {s} b", f"a  {s}  b", f"a\n {s}\n\n b", f"x{s}y {s}", f"{s} x", f"x {s}", f" {s}x",
+             f"a   {s}", f"{s}   a", f"a \t {s}", "<|endof text|> <|endoftext", f"word {s}'s don't"]
+    texts += ["".join(r.choice(["ab", " ", "  ", s, "\n", "c.", "\u3000", "é"]) for _ in range(r.randint(1, 14)))
+              for _ in range(400)]
+    for batch in (texts, texts[::-1], [""]):
+        got = enc.encode(pa.array(batch), 2).to_pylist()
+        assert got == [tok.encode(t, add_special_tokens=False).ids + [2] for t in batch]
+
+
 def shingles(t, low=True):
     if low:
         t = t.translate({c: c + 32 for c in range(65, 91)})
