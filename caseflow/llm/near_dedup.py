@@ -85,7 +85,7 @@ def signatures(docs: DataFrame) -> DataFrame:
         for whole in batches:
             for b in bounded(whole, "text", 1 << 20):
                 sets = shingle_sets([t.encode() for t in b.column("text").to_pylist()], SHINGLE_WORDS)
-                keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+                keys = [_set_key(s) for s in sets]
                 sig = np.concatenate([signature(s) for s in sets])
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.arange(len(sets) + 1) * COORDS, pa.int32()), pa.array(sig))
@@ -98,8 +98,12 @@ def signatures(docs: DataFrame) -> DataFrame:
         run, "doc_id bigint, n_shingles bigint, set_key binary, sig array<int>")
 
 
+def _set_key(shingles: np.ndarray) -> bytes:
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+
+
 def full_sets(docs: DataFrame) -> DataFrame:
-    """(id, shingles) with the sorted distinct shingle hashes."""
+    """(doc_id, set_key, shingles) with the sorted distinct shingle hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -108,10 +112,11 @@ def full_sets(docs: DataFrame) -> DataFrame:
                 offs = np.cumsum([0] + [len(s) for s in sets])
                 lists = pa.ListArray.from_arrays(pa.array(offs, pa.int32()),
                                                  pa.array(np.concatenate(sets).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), lists],
-                                                 names=["id", "shingles"])
+                keys = pa.array([_set_key(s) for s in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), keys, lists],
+                                                 names=["doc_id", "set_key", "shingles"])
 
-    return _texts(docs).mapInArrow(run, "id bigint, shingles array<bigint>")
+    return _texts(docs).mapInArrow(run, "doc_id bigint, set_key binary, shingles array<bigint>")
 
 
 def _keys(sigs: DataFrame) -> DataFrame:
@@ -156,16 +161,17 @@ def confirmed(pairs: DataFrame, sigs: DataFrame, sets: DataFrame, percent: int)
 
 
 def links(docs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Links (u, v) between class representatives (id, n, sig) that give the
+    """Links (u, v) between classes (id, rep, set_key, n, sig) that give the
     components of all links."""
     first = COORDS - matches(percent) + 1
     lone = _alone(_keys(reps), "key")
     near = reps.join(lone, "id", "left").filter(F.coalesce("alone", F.lit(0)) < first)
-    near = stored(near.select("id", "n", "sig"), "near_sigs")
-    sets = docs.join(near.select(F.col("id").alias("__id")),
-                     docs["doc_id"].cast("bigint") == F.col("__id"), "left_semi")
-    # rows that repeat an id are one document: one of its sets stands for it
-    sets = stored(full_sets(sets), "full_sets")
+    near = stored(near.select("id", "rep", "set_key", "n", "sig"), "near_sigs")
+    texts = _texts(docs).join(near.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    # an id may have other texts, and rows may repeat
+    sets = (full_sets(texts).join(near.select("id", F.col("rep").alias("doc_id"), "set_key"), ["doc_id", "set_key"])
+            .select("id", "shingles").dropDuplicates(["id"]))
+    sets = stored(sets, "full_sets")
     for turn in range(SKIP_ROUNDS):  # what only skipped documents share is no longer shared
         lone = _alone(sets.select("id", F.explode("shingles").alias("h")), "h")
         near = (near.select("id", "n", "sig").join(lone, "id", "left")
@@ -227,20 +233,24 @@ def link_components(docs: DataFrame, percent: int = LIKE_PERCENT) -> DataFrame:
     ship_package(docs.sparkSession)
     rows = stored(signatures(docs), "signatures")
     known = rows.filter("doc_id is not null and n_shingles > 0")
+    # texts with the same set are one class, under a number of its own
     classes = known.groupBy("set_key").agg(F.min("doc_id").alias("rep"))
+    classes = stored(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
     member = stored(known.select("doc_id", "set_key").distinct().join(classes, "set_key")
-                    .select("doc_id", "set_key", "rep"), "members")
-    reps = (known.join(member.filter("doc_id = rep").select("doc_id", "set_key"),
-                       ["doc_id", "set_key"], "left_semi")
-            .dropDuplicates(["doc_id"])
-            .select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sig"))
+                    .select("doc_id", "set_key", "rep", "id"), "members")
+    reps = (known.join(classes.withColumnRenamed("rep", "doc_id"), ["doc_id", "set_key"])
+            .select("id", F.col("doc_id").alias("rep"), "set_key", F.col("n_shingles").alias("n"), "sig")
+            .dropDuplicates(["id"]))
     found = links(docs, stored(reps, "representatives"), percent)
     # an id with several texts ties their classes together
-    several = (member.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-               .join(member, "doc_id").select(F.col("doc_id").alias("u"), F.col("rep").alias("v")))
+    several = (member.groupBy("doc_id").agg(F.min("id").alias("v"), F.count(F.lit(1)).alias("c")).filter("c > 1")
+               .join(member, "doc_id").filter("id <> v").select(F.col("id").alias("u"), "v"))
     comp = components(found.union(several))
-    of = (member.join(comp, member["rep"] == comp["id"], "left")
-          .groupBy("doc_id").agg(F.min(F.coalesce("component", "rep")).alias("component_id")))
+    comp = stored(comp.union(comp.select("component", "component")).distinct(), "class_components")
+    least = (comp.join(classes.select("id", "rep"), "id").groupBy("component")
+             .agg(F.min("rep").alias("least")).join(comp, "component").select("id", "least"))
+    of = (member.join(least, "id", "left").groupBy("doc_id")
+          .agg(F.min(F.coalesce("least", "rep")).alias("component_id")))
     out = rows.select("doc_id", "n_shingles").join(of, "doc_id", "left")
     own = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", "n_shingles", own.alias("component_id"),

@@ -18,13 +18,16 @@ Only ``doc_id`` and ``text`` are read.
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from caseflow.llm.common import documents, held_out, labels, ship_package, stored, whole_text
 from caseflow.llm.words import bounded
@@ -32,6 +35,7 @@ from caseflow.llm.words import bounded
 FOLDS, FOLD = 3, 1
 TO_POOLED = 0.1
 TO_UNIT = 0.02
+STATISTICS = "__quality_statistics"
 FEATURES = ("words", "word_length", "upper", "digits", "full_stops", "commas", "marks", "symbols",
             "other_bytes", "vocabulary", "top_word", "repeats", "lines", "same_lines", "entropy",
             "pairs", "marked_words")
@@ -170,19 +174,41 @@ def score(docs: DataFrame, marks: DataFrame) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def _rejects(x: Column, model: Discriminant) -> Column:
+    """Whether a row with statistics ``x`` scores below 0.5."""
+    if model.parts is None:
+        return F.lit(bool(model.share < 0.5))
+
+    def dot(row: np.ndarray) -> Column:
+        return functools.reduce(operator.add, [F.get(x, k) * float(c) for k, c in enumerate(row) if c])
+
+    logs = []
+    for mean, inverse, const in (model.parts[k] for k in (0, 1)):
+        # the factor's inverse times the scaled difference, squared and summed up
+        terms = [dot(row / model.scale) - float(row @ mean) for row in inverse]
+        logs.append(F.lit(float(const)) - functools.reduce(operator.add, [F.pow(t, 2) for t in terms]) * 0.5)
+    return logs[1] < logs[0]
+
+
 def keep_rows(docs: DataFrame, marks: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the classifier doesn't reject.  The text is
-    scored again beside its row, which is cheaper than shuffling all texts."""
-    model = fit(features(docs), training_marks(marks, "quality", FOLDS, FOLD))
-    schema = docs.schema
+    """The rows of ``docs`` that the classifier doesn't reject.  Each text's
+    statistics are taken once and written beside its row; the training rows'
+    are read from there, and then all rows are scored by columns alone."""
+    schema = T.StructType([*docs.schema.fields, T.StructField(STATISTICS, T.ArrayType(T.DoubleType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in bounded(whole, "text", 1 << 20):
                 x = np.array([statistics(t or "") for t in b.column("text").to_pylist()])
-                yield b.filter(pa.array(model.scores(x) >= 0.5))
+                lists = pa.ListArray.from_arrays(
+                    pa.array(np.arange(len(x) + 1) * len(FEATURES), pa.int32()), pa.array(x.ravel()))
+                yield pa.RecordBatch.from_arrays([*b.columns, lists], names=[*b.schema.names, STATISTICS])
 
-    return docs.mapInArrow(run, schema)
+    ship_package(docs.sparkSession)
+    rows = stored(docs.mapInArrow(run, schema), "quality_rows")
+    feats = rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(STATISTICS).alias("x"))
+    model = fit(feats, training_marks(marks, "quality", FOLDS, FOLD))
+    return rows.filter(~_rejects(F.col(STATISTICS), model)).select(*docs.columns)
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

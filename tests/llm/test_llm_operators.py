@@ -173,6 +173,33 @@ def test_near_dedup(spark, docs, rows, none):
     assert near_dedup.link_components(none).count() == 0
 
 
+def test_near_dedup_of_an_id_with_several_texts(spark):
+    one, other = prose(300, 8), prose(300, 9)
+    rows = [(1, one), (1, other), (1, other), (2, one + " end"), (3, other + " end"), (4, prose(300, 10)),
+            (None, one), (5, ""), (0, other + " end too")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = {(r["doc_id"], r["component_id"], r["kept"]) for r in near_dedup.link_components(docs).collect()}
+    assert got == {(0, 0, True), (1, 0, False), (2, 0, False), (3, 0, False), (4, 4, True), (5, 5, True),
+                   (None, None, True)}
+
+
+def test_quality_rejects_by_columns_as_by_scores(spark):
+    r = random.Random(2)
+    rows, marks = [], []
+    for i in range(200):
+        good = i % 3 > 0
+        text = prose(r.randint(5, 80), i) + "." if good else " ".join(r.choice(["$$$", "AA1", "!!"]) for _ in range(30))
+        rows.append((i, None if i == 7 else text, 1.5))
+        marks.append((i, int(good)))
+    docs = spark.createDataFrame(rows + rows[:3], "doc_id long, text string, x double").repartition(3)
+    labels = spark.createDataFrame(marks, "doc_id long, quality int")
+    for some in (labels, labels.filter("quality = 1"), labels.filter("quality = 0"), labels.limit(0)):
+        want = [row["doc_id"] for row in quality.score(docs, some).collect() if row["predicted"] == 1]
+        kept = quality.keep_rows(docs, some)
+        assert kept.columns == docs.columns
+        assert sorted(row["doc_id"] for row in kept.collect()) == sorted(want)
+
+
 def test_mixing(spark, docs, rows, none):
     big = [(i, prose(1 + i % 40, i), "", "s" + str(i % 7) if i % 3 else "s0", 0, "", 0)
            for i in range(600)]
