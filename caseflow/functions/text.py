@@ -30,12 +30,29 @@ def null_sentinels(c: ColumnOrName, sentinels: Sequence[str] = NULL_SENTINELS) -
     return F.when(F.trim(c).isin(list(sentinels)), F.lit(None).cast("string")).otherwise(c)
 
 
-def unit_number(c: ColumnOrName) -> Column:
+_NUMBER = r"[+-]?(?:\d+(?:\.\d*)?|\.\d+)"
+
+
+def _with_unit(units: Sequence[str]) -> str:
+    """Pattern of a text that is one number with one of the units, or none."""
+    names = "|".join(re.escape(u) for u in sorted(units, key=len, reverse=True))
+    return rf"(?i)^\s*({_NUMBER})\s*(?:{names})?\s*$"
+
+
+def unit_number(c: ColumnOrName, units: Sequence[str]) -> Column:
     """Number of text such as ``'23.4 km'``, ``'.5km'`` or ``'25mins'`` as
-    double.  The whole text must be one number and at most one word (its
-    unit); anything else gives NULL."""
-    num = F.regexp_extract(_c(c), r"^\s*([+-]?(?:\d+(?:\.\d*)?|\.\d+))\s*[A-Za-z]*\s*$", 1)
-    return num.try_cast("double")
+    double.  The whole text must be one number and at most one of ``units``;
+    anything else gives NULL (and a :func:`unit_reason`)."""
+    return F.regexp_extract(_c(c), _with_unit(units), 1).try_cast("double")
+
+
+def unit_reason(c: ColumnOrName, units: Sequence[str]) -> Column:
+    """Why a text is no number with one of ``units``; NULL if it is, or is NULL."""
+    c = _c(c)
+    word = F.regexp_extract(c, rf"^\s*{_NUMBER}\s*([A-Za-z]+)\s*$", 1)
+    return (F.when(c.rlike(_with_unit(units)), F.lit(None).cast("string"))
+             .when(word != "", F.concat(F.lit("unknown unit "), word))
+             .when(c.isNotNull(), F.lit("not a number")))
 
 
 def strip_units(c: ColumnOrName, units: Sequence[str]) -> Column:
@@ -56,6 +73,11 @@ def list_item_id(c: ColumnOrName) -> Column:
     return F.trim(_c(c)).try_cast("int")
 
 
+def bad_items(c: ColumnOrName, sep: str = ",") -> Column:
+    """The elements of a list text that are no ids (NULL for NULL)."""
+    return F.filter(F.transform(split_list(c, sep), lambda x: F.trim(x)), lambda x: x.try_cast("int").isNull())
+
+
 def optional_phrase(prefix: str, c: ColumnOrName) -> Column:
     """``prefix + c``: NULL when ``c`` is NULL (the ``+`` concatenation)."""
     return F.concat(F.lit(prefix), _c(c))

@@ -50,9 +50,8 @@ def growth_rate_int(start: str, end: str) -> Column:
     return int_div((F.col(end) - F.col(start)) * 100, F.col(start))
 
 
-def share_of_keys(selected: DataFrame, key: str, population: DataFrame, pop_key: str,
-                  out: str) -> DataFrame:
-    """``COUNT(selected keys) * 100.0 / COUNT(DISTINCT population keys)``."""
-    den = population.agg(F.countDistinct(pop_key)).scalar()
-    return selected.agg(
-        F.try_divide(F.count(key).cast("double") * 100, den).alias(out))
+def share_of_keys(df: DataFrame, key: str, selected: Column, out: str) -> DataFrame:
+    """``COUNT(selected keys) * 100.0 / COUNT(keys)`` of a frame with one row
+    per key, in one pass."""
+    picked = F.count(F.when(selected, F.col(key)))
+    return df.agg(F.try_divide(picked.cast("double") * 100, F.count(key)).alias(out))

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caseflow.functions.numeric import pct_change, percent_of
+from caseflow.operators.ranges import (BEFORE, PART, TOTAL, UP_TO, before_ranges, in_ranges,
+                                       running)
 
 
 def count_when(cond: Column) -> Column:
@@ -42,21 +44,53 @@ def share_of_total(df: DataFrame, fine: Sequence[str], value: str, total_col: st
                    pct_col: str) -> DataFrame:
     """Sum at ``fine`` grain as a percentage of the grand total; the total
     is a scalar subquery (one value, evaluated once), not a join."""
+    # parts and total read the same shuffle, so the input is scanned once
     agg = df.groupBy(*fine).agg(F.sum(value).alias(total_col))
-    grand = df.agg(F.sum(value)).scalar()
-    return agg.withColumn(pct_col, percent_of(total_col, grand))
+    return agg.withColumn(pct_col, percent_of(total_col, agg.agg(F.sum(total_col)).scalar()))
 
 
 def percentiles_disc(df: DataFrame, keys: Sequence[str], value: str,
                      named: Mapping[str, float]) -> DataFrame:
-    """Exact ``PERCENTILE_DISC(p) WITHIN GROUP (ORDER BY value)`` per group,
-    returned in the value's type.  The aggregate keeps a value->count map
-    per group and combines it map-side, so memory follows the number of
-    distinct values, not rows."""
-    vtype = dict(df.dtypes)[value]
-    aggs = [F.expr(f"percentile_disc({float(p)!r}) WITHIN GROUP (ORDER BY `{value}`)")
-             .cast(vtype).alias(name) for name, p in named.items()]
-    return df.groupBy(*keys).agg(*aggs)
+    """Exact ``PERCENTILE_DISC(p) WITHIN GROUP (ORDER BY value)`` per group, in
+    the value's type: the first value up to which at least the share p of the
+    group's non-null values lie.
+
+    (group, value) counts are dealt into ranges; a range's total and the totals
+    before it say which one holds a percentile, and only that range of the
+    group is summed up value by value.  So a group may have any number of
+    distinct values: no task holds them all, and none are sorted in one."""
+    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    counts = counts.withColumn("__w", F.when(F.col(value).isNotNull(), F.col("__n")).otherwise(0))
+    ranged = in_ranges(counts, keys, value)
+    parts = before_ranges(ranged, keys, "__w")
+    asked = F.explode(F.array(*[
+        F.struct(F.lit(name).alias("name"), F.lit(repr(float(p))).cast("decimal(18,12)").alias("p"))
+        for name, p in named.items()])).alias("__a")
+    want = F.greatest(F.ceil(F.col("__a.p") * F.col(TOTAL)), F.lit(1))
+    slots = parts.select(*keys, PART, BEFORE, TOTAL, F.col("__n").alias("__in"), asked).withColumn(
+        "__want", F.when(F.col(TOTAL) > 0, want))
+    inside = (F.col("__want") > F.col(BEFORE)) & (F.col("__want") <= F.col(BEFORE) + F.col("__in"))
+    slots = slots.filter(inside).select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
+                                        F.col(PART).alias("__p"), F.col("__a.name").alias("__name"),
+                                        (F.col("__want") - F.col(BEFORE)).alias("__at"))
+    same = F.col(PART) == F.col("__p")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    up = running(ranged.filter(F.col(value).isNotNull()), keys, value, "__w")
+    hit = up.join(slots, same).filter(
+        (F.col(UP_TO) >= F.col("__at")) & (F.col(UP_TO) - F.col("__w") < F.col("__at")))
+    found = hit.groupBy(*keys).agg(*[
+        F.max(F.when(F.col("__name") == name, F.struct(F.col(value).alias("v")))).alias(name) for name in named])
+    # a group without values has NULL
+    groups = parts.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).distinct() if keys else None
+    if groups is None:
+        return found.select(*[F.col(f"{name}.v").alias(name) for name in named])
+    match = F.lit(True)
+    for i, k in enumerate(keys):
+        match = match & F.col(f"__k{i}").eqNullSafe(F.col(k))
+    return groups.join(found, match, "left").select(
+        *[F.col(f"__k{i}").alias(k) for i, k in enumerate(keys)],
+        *[F.col(f"{name}.v").alias(name) for name in named])
 
 
 def before_after(df: DataFrame, week_col: str, value_col: str, baseline_week: Column | int,

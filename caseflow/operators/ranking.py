@@ -13,30 +13,27 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from caseflow.operators.ranges import dense_ranks
 
 
 def rows_at_global_min(df: DataFrame, col: str) -> DataFrame:
     """Rows whose ``col`` equals the global minimum
-    (``DENSE_RANK() OVER (ORDER BY col) = 1`` without a single-partition window)."""
+    (``DENSE_RANK() OVER (ORDER BY col) = 1`` without a single-partition window).
+    Give it an aggregated frame: rows and minimum then read the same shuffle,
+    and the input is scanned once."""
     return df.filter(F.col(col) == df.agg(F.min(col)).scalar())
 
 
 def rows_at_max(df: DataFrame, col: str) -> DataFrame:
-    """Rows whose ``col`` equals its global maximum (top dense rank)."""
+    """Rows whose ``col`` equals its global maximum (top dense rank); of an
+    aggregated frame, as for :func:`rows_at_global_min`."""
     return df.filter(F.col(col) == df.agg(F.max(col)).scalar())
 
 
 def rows_at_dense_rank(df: DataFrame, col: str, rank: int, descending: bool = False) -> DataFrame:
-    """Rows whose ``col`` has dense rank ``rank`` over the whole frame.
-
-    The window runs over the distinct values of ``col`` only (e.g. distinct
-    counts after an aggregation); the picked value is a scalar subquery.
-    """
-    order = F.col(col).desc() if descending else F.col(col).asc()
-    values = df.select(col).distinct()
-    picked = (values.withColumn("__r", F.dense_rank().over(Window.orderBy(order)))
-                    .filter(F.col("__r") == rank).select(col))
-    return df.filter(F.col(col) == picked.scalar())
+    """Rows whose ``col`` has dense rank ``rank`` over the whole frame."""
+    ranks = dense_ranks(df, col, descending, "__rank").filter(F.col("__rank") == rank)
+    return df.join(ranks.select(col), col).select(*df.columns)
 
 
 def top_per_group(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Column],
@@ -55,22 +52,18 @@ def top_n(df: DataFrame, order_by: Sequence[Column], n: int = 1) -> DataFrame:
 
 
 def gated_rank(df: DataFrame, partition_by: Sequence[str], order_col: str,
-               gate: Column, out_col: str = "ranking",
-               counts: DataFrame | None = None) -> DataFrame:
+               gate: Column, out_col: str = "ranking", weight: str | None = None) -> DataFrame:
     """``CASE WHEN NOT gate THEN NULL ELSE RANK() OVER (PARTITION BY p ORDER BY o) END``.
 
     ``RANK`` of a row equals 1 + the number of rows of its partition with a
     smaller ``order_col``.  That is computed on the histogram of distinct
     (partition, order value) pairs and joined back, so a partition holding a
     third of all rows is never sorted in one task: only its distinct order
-    values are.  If ``df`` comes from a join on the partition columns, its rows
-    already lie together by them and the histogram would be built in place;
-    pass ``counts`` then: (partition columns, ``order_col``, ``n``) of the gated
-    rows, counted before that join.
+    values are.  With ``weight`` a row of ``df`` stands for that many rows.
     """
     keys = list(partition_by) + [order_col]
-    hist = df.filter(gate).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")) \
-        if counts is None else counts.select(*keys, F.col("n").alias("__n"))
+    n = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    hist = df.filter(gate).groupBy(*keys).agg(n.alias("__n"))
     w = Window.partitionBy(*partition_by).orderBy(order_col).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     ranks = hist.withColumn("__rank", (F.sum("__n").over(w) - F.col("__n") + 1).cast("int")) \

@@ -109,5 +109,6 @@ def balance_growth_share(txns: DataFrame, min_growth_pct: int = 5) -> DataFrame:
     zero first balance have no rate and are not counted)."""
     fl = bl.first_last(closing_balance(txns), "customer_id", "month", "balance")
     rate = bl.growth_rate_int("start_balance", "end_balance")
-    grown = fl.filter((rate >= min_growth_pct) & (F.col("end_balance") > F.col("start_balance")))
-    return bl.share_of_keys(grown, "customer_id", txns, "customer_id", "percent_customer")
+    grown = (rate >= min_growth_pct) & (F.col("end_balance") > F.col("start_balance"))
+    # every customer with a transaction has a balance, so these rows are the population
+    return bl.share_of_keys(fl, "customer_id", grown, "percent_customer")

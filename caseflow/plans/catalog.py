@@ -9,8 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from caseflow.plans import bank, delivery, mart, restaurant
+from caseflow.sources import dump_files
 from caseflow.sources import standins as si
-from caseflow.sources.dump import dump_roundtrip
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,13 +19,22 @@ def _dom(spark: SparkSession, root: str) -> si.Domain:
     return si.Domain(spark, root)
 
 
+def _tagged_orders(d: si.Domain) -> DataFrame:
+    """Cleaned order lines and what cleaning rejects, from one pass (kept, like
+    the source's in-place cleaning)."""
+    return d.derived("clean_orders", lambda: delivery.tagged_orders(d.lazy("customer_orders")))
+
+
+def _tagged_deliveries(d: si.Domain) -> DataFrame:
+    return d.derived("clean_deliveries", lambda: delivery.tagged_deliveries(d.lazy("runner_orders")))
+
+
 def _co(d: si.Domain) -> DataFrame:
-    """Cleaned order lines (kept, like the source's in-place cleaning)."""
-    return d.derived("clean_orders", lambda: delivery.clean_orders(d.lazy("customer_orders")))
+    return _tagged_orders(d).drop("rejects")
 
 
 def _ro(d: si.Domain) -> DataFrame:
-    return d.derived("clean_deliveries", lambda: delivery.clean_deliveries(d.lazy("runner_orders")))
+    return _tagged_deliveries(d).drop("rejects")
 
 
 def _cws(d: si.Domain) -> DataFrame:
@@ -41,12 +50,17 @@ def _q(fn: Callable[[si.Domain], DataFrame]) -> Query:
     return run
 
 
+def _load(case: str, table: str) -> Query:
+    return lambda spark, root: dump_files.load_table(spark, root, case, table)
+
+
 QUERIES: dict[str, Query] = {
     # restaurant
     "spend_by_customer": _q(lambda d: restaurant.spend_by_customer(d.sales, d.menu)),
     "visit_days": _q(lambda d: restaurant.visit_days(d.sales)),
     "first_items": _q(lambda d: restaurant.first_items(d.sales, d.menu)),
     "most_bought_by_rank": _q(lambda d: restaurant.most_bought_by_rank(d.sales, d.menu)),
+    "most_bought_at_rank": _q(lambda d: restaurant.most_bought_by_rank(d.sales, d.menu, rank=3)),
     "most_bought_top1": _q(lambda d: restaurant.most_bought_top1(d.sales, d.menu)),
     "favourite_item": _q(lambda d: restaurant.favourite_item(d.sales, d.menu)),
     "first_after_join": _q(lambda d: restaurant.first_after_join(d.sales, d.menu, d.members)),
@@ -62,6 +76,8 @@ QUERIES: dict[str, Query] = {
     # pizza delivery: cleaning
     "clean_orders": _q(_co),
     "clean_deliveries": _q(_ro),
+    "order_rejects": _q(lambda d: delivery.rejected(_tagged_orders(d), "order_id", "pizza_id")),
+    "delivery_rejects": _q(lambda d: delivery.rejected(_tagged_deliveries(d), "order_id", "runner_id")),
     # order metrics
     "count_items": _q(lambda d: delivery.count_items(_co(d))),
     "count_orders": _q(lambda d: delivery.count_orders(_co(d))),
@@ -130,7 +146,14 @@ QUERIES: dict[str, Query] = {
         _cws(d), si.BASELINE_DATE, 4)),
     "before_after_12w_by_year": _q(lambda d: mart.before_after_by_year(
         _cws(d), si.BASELINE_DATE, 12)),
-    # loading: multi-batch dump with mis-headed batches, routed by tuple shape
-    "dump_load_transactions": lambda spark, root: dump_roundtrip(spark, root)["customer_transactions"],
-    "dump_load_nodes": lambda spark, root: dump_roundtrip(spark, root)["customer_nodes"],
+    # loading: dump files of each case study, parsed once for all its tables
+    **{f"dump_load_{job}": _load(case, table) for job, case, table in [
+        ("sales", "restaurant", "sales"), ("menu", "restaurant", "menu"), ("members", "restaurant", "members"),
+        ("runners", "pizza", "runners"), ("orders", "pizza", "customer_orders"),
+        ("deliveries", "pizza", "runner_orders"), ("pizza_names", "pizza", "pizza_names"),
+        ("pizza_recipes", "pizza", "pizza_recipes"), ("pizza_toppings", "pizza", "pizza_toppings"),
+        ("plans", "subscriptions", "plans"), ("subscriptions", "subscriptions", "subscriptions"),
+        ("regions", "bank", "regions"), ("nodes", "bank", "customer_nodes"),
+        ("transactions", "bank", "customer_transactions")]},
+    "dump_quarantine": lambda spark, root: dump_files.load_quarantine(spark, root, "bank"),
 }

@@ -30,26 +30,67 @@ COST_PER_KM = "0.3"
 
 # --- cleaning ----------------------------------------------------------------
 
+REJECT = "array<struct<column: string, value: string, reason: string>>"
+
+
+def _reject(column: str, value: Column, reason: Column | str) -> Column:
+    why = F.lit(reason) if isinstance(reason, str) else reason
+    return F.struct(F.lit(column).alias("column"), value.alias("value"), why.alias("reason"))
+
+
+def tagged_orders(customer_orders: DataFrame) -> DataFrame:
+    """K1 with ``rejects``: list elements that are no topping ids (jobs leave
+    them out)."""
+    co = customer_orders.withColumns({"exclusions_new": tx.null_sentinels("exclusions"),
+                                      "extras_new": tx.null_sentinels("extras")})
+    def bad(name: str) -> Column:
+        return F.transform(tx.bad_items(f"{name}_new"), lambda x: _reject(name, x, "not a topping id"))
+
+    none = F.array().cast(REJECT)
+    return (co.withColumn("rejects", F.concat(*[F.coalesce(bad(c), none)
+                                                  for c in ("exclusions", "extras")]))
+            .drop("exclusions", "extras"))
+
+
 def clean_orders(customer_orders: DataFrame) -> DataFrame:
     """K1: exclusions/extras with 'null', '' and ' ' turned into NULL."""
-    return (customer_orders
-            .withColumns({"exclusions_new": tx.null_sentinels("exclusions"),
-                          "extras_new": tx.null_sentinels("extras")})
-            .drop("exclusions", "extras"))
+    return tagged_orders(customer_orders).drop("rejects")
+
+
+def tagged_deliveries(runner_orders: DataFrame, distance_units: Sequence[str] = tx.DISTANCE_UNITS,
+                      duration_units: Sequence[str] = tx.DURATION_UNITS) -> DataFrame:
+    """K2 in one pass, with ``rejects``: texts that are no number in one of the
+    declared units, and pickup times that are none."""
+    null_word = ("null",)
+    ro = runner_orders.withColumns({
+        "pickup_time_new": tx.null_sentinels("pickup_time", null_word),
+        "cancellation_new": tx.null_sentinels("cancellation"),
+        "__km": tx.null_sentinels("distance", null_word),
+        "__min": tx.null_sentinels("duration", null_word)})
+    ro = ro.withColumns({"distance_km": tx.unit_number("__km", distance_units),
+                         "duration_minutes": tx.unit_number("__min", duration_units),
+                         "__km_reason": tx.unit_reason("__km", distance_units),
+                         "__min_reason": tx.unit_reason("__min", duration_units)})
+    time = F.col("pickup_time_new")
+    rejects = F.array_compact(F.array(
+        F.when(F.col("__km_reason").isNotNull(), _reject("distance", F.col("__km"), F.col("__km_reason"))),
+        F.when(F.col("__min_reason").isNotNull(), _reject("duration", F.col("__min"), F.col("__min_reason"))),
+        F.when(time.isNotNull() & time.try_cast("timestamp_ntz").isNull(),
+               _reject("pickup_time", time, "not a time"))))
+    return ro.withColumn("rejects", rejects).drop(
+        "pickup_time", "distance", "duration", "cancellation", "__km", "__min", "__km_reason", "__min_reason")
 
 
 def clean_deliveries(runner_orders: DataFrame) -> DataFrame:
     """K2: NULL sentinels; distance in km and duration in minutes as double.
     ``pickup_time_new`` stays text, as in the cleaned source."""
-    null_word = ("null",)
-    return (runner_orders
-            .withColumns({
-                "pickup_time_new": tx.null_sentinels("pickup_time", null_word),
-                "cancellation_new": tx.null_sentinels("cancellation"),
-                "distance_km": tx.unit_number(tx.null_sentinels("distance", null_word)),
-                "duration_minutes": tx.unit_number(tx.null_sentinels("duration", null_word)),
-            })
-            .drop("pickup_time", "distance", "duration", "cancellation"))
+    return tagged_deliveries(runner_orders).drop("rejects")
+
+
+def rejected(tagged: DataFrame, *keys: str) -> DataFrame:
+    """(keys, column, value, reason) of the values that cleaning rejects."""
+    return (tagged.filter(F.size("rejects") > 0).select(*keys, F.explode("rejects").alias("r"))
+            .select(*keys, "r.column", "r.value", "r.reason"))
 
 
 def _pickup_ts() -> Column:
@@ -415,9 +456,11 @@ def delivery_report(co: DataFrame, ro: DataFrame, ratings: DataFrame) -> DataFra
         "speed": F.try_divide("distance_km", "duration_minutes") * 60,
         "time_order_pickup": dt.minutes_field("order_time", _pickup_ts())})
     known = F.sum(F.when(F.col("speed").isNotNull(), F.col("n")))
+    # rounded as a decimal, so that a tie doesn't hang on a double's last bit
+    mean = (F.sum(F.col("n") * F.col("speed")) / known).cast("decimal(38,9)")
     return (j.groupBy("customer_id", "order_id", "runner_id", "rating", "order_time",
                       "pickup_time_new", "time_order_pickup", "duration_minutes")
-            .agg(F.round(F.sum(F.col("n") * F.col("speed")) / known, 2).alias("avg_speed"),
+            .agg(F.round(mean, 2).cast("double").alias("avg_speed"),
                  F.sum("pizzas").alias("pizza_count")))
 
 

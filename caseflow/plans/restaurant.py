@@ -35,9 +35,9 @@ def visit_days(sales: DataFrame) -> DataFrame:
 def first_items(sales: DataFrame, menu: DataFrame) -> DataFrame:
     """Items bought on the earliest order date of all sales (the rank is
     global, not per customer), one row per (customer, item)."""
-    j = sales.select("customer_id", "order_date", "product_id") \
-             .join(menu.select("product_id", "product_name"), "product_id")
-    first = rk.rows_at_global_min(j, "order_date")
+    per = sales.groupBy("customer_id", "product_id").agg(F.min("order_date").alias("first_date"))
+    per = per.join(menu.select("product_id", "product_name"), "product_id")
+    first = rk.rows_at_global_min(per, "first_date")
     return first.select("customer_id", "product_name").distinct()
 
 
@@ -77,25 +77,32 @@ def _member_sales(sales: DataFrame, members: DataFrame, side: str) -> DataFrame:
     return mb.relative_to_join(j, "order_date", "join_date", side)
 
 
-def _named_member_sales(sales: DataFrame, menu: DataFrame, members: DataFrame,
-                        side: str) -> DataFrame:
-    s = _member_sales(sales, members, side)
-    return s.join(menu.select("product_id", "product_name"), "product_id")
+def _nearest_items(sales: DataFrame, menu: DataFrame, members: DataFrame, side: str) -> DataFrame:
+    """Lines of each member's sales day nearest to joining, on one side of it.
+
+    Counts by (customer, date, product) meet the members; the nearest day comes
+    from one aggregation of them, and the menu is joined to that day alone.
+    Only products of the menu make a day count, as in the source's joins."""
+    c = _counts(sales, "customer_id", "order_date", "product_id")
+    c = c.join(menu.select("product_id"), "product_id", "left_semi")
+    s = _member_sales(c, members, side)
+    order = F.col("order_date").asc() if side == "after" else F.col("order_date").desc()
+    day = rk.top_per_group(s, ["customer_id"], [order], 1, "dense_rank")
+    j = day.join(menu.select("product_id", "product_name"), "product_id")
+    # one row per sale of that day again
+    return j.select("customer_id", "product_name", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("i")) \
+            .drop("i")
 
 
 def first_after_join(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
     """item(s) of each member's first order on or after joining (one row
     per sale of that day)."""
-    s = _named_member_sales(sales, menu, members, "after")
-    first = rk.top_per_group(s, ["customer_id"], [F.col("order_date").asc()], 1, "dense_rank")
-    return first.select("customer_id", "product_name")
+    return _nearest_items(sales, menu, members, "after")
 
 
 def last_before_join(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
     """item(s) of each member's last order before joining."""
-    s = _named_member_sales(sales, menu, members, "before")
-    last = rk.top_per_group(s, ["customer_id"], [F.col("order_date").desc()], 1, "dense_rank")
-    return last.select("customer_id", "product_name")
+    return _nearest_items(sales, menu, members, "before")
 
 
 def pre_join_totals(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
@@ -147,18 +154,14 @@ def member_flag_ranking(sales: DataFrame, menu: DataFrame, members: DataFrame) -
     """Every sale with member flag and, for member rows, the rank of
     its date among the customer's member-period sales.
 
-    The ranks come from sales counted by (customer, date) before they meet the
-    members, so a busy customer is at most one row a day in the sort."""
-    per_day = (_counts(sales, "customer_id", "order_date", "product_id")
-               .join(menu.select("product_id"), "product_id")
-               .groupBy("customer_id", "order_date").agg(F.sum("n").alias("n")))
-    counts = (per_day.join(members.select("customer_id", "join_date"), "customer_id")
-              .filter(F.col("order_date") >= F.col("join_date"))
-              .groupBy("customer_id", "order_date").agg(F.sum("n").alias("n")))
-    j = (sales.join(menu.select("product_id", "product_name", "price"), "product_id")
-              .join(members.select("customer_id", "join_date"), "customer_id", "left")
-              .withColumn("member", mb.member_flag("order_date", "join_date")))
-    ranked = rk.gated_rank(j, ["customer_id"], "order_date", F.col("member") == "Y",
-                           counts=counts)
-    return ranked.select("customer_id", "order_date", "product_name", "price", "member",
-                         "ranking")
+    Sales are counted once by (customer, date, product).  The counts meet the
+    menu and the members; ranks come from them by customer and date, and each
+    count gives its rows again at the end, so a busy customer is at most one
+    row a day in the sort and no line travels twice."""
+    c = (_counts(sales, "customer_id", "order_date", "product_id")
+         .join(menu.select("product_id", "product_name", "price"), "product_id"))
+    j = (c.join(members.select("customer_id", "join_date"), "customer_id", "left")
+         .withColumn("member", mb.member_flag("order_date", "join_date")))
+    ranked = rk.gated_rank(j, ["customer_id"], "order_date", F.col("member") == "Y", weight="n")
+    return ranked.select("customer_id", "order_date", "product_name", "price", "member", "ranking",
+                         F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("i")).drop("i")

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -64,3 +66,20 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     os.makedirs(path, exist_ok=True)
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(sc.applicationId)
+    top = Path(__file__).resolve().parent
+    file = Path(tempfile.mkdtemp(prefix="caseflow-")) / "caseflow_package.zip"
+    with zipfile.ZipFile(file, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(top.rglob("*.py")):
+            z.write(p, p.relative_to(top.parent))
+    sc.addPyFile(str(file))

@@ -1,155 +1,281 @@
 """Distributed loader for ``INSERT ... VALUES`` dumps.
 
-Dumps hold several batches per table, and some batches carry the wrong
-table header over tuples of another table.  Each line is parsed on its own
-and routed by the *shape* of its tuple (field count), never by the header
-that precedes it, so the load needs no line order and runs as a plain
-per-row projection over ``spark.read.text`` (any number of files, split
-across tasks).  Values that do not cast to the declared type go to a
-quarantine output with the reason instead of failing the job or being
-silently dropped.
+A dump holds several batches per table; some batches carry the header of
+another table, and a tuple may be wrapped over lines.  The files are read as
+text, any number of them, cut into splits anywhere:
+
+1. *Parse.*  Each task reads the lines of its splits once (``dump_lexer``) and
+   gives tuples with the header they stand under.  What a split can't know goes
+   into one small row: its lines before the first sure border, the lines of a
+   run that is open at its end, and its last header.
+2. *Borders.*  These rows meet by file.  Lines of either side of a split border
+   are parsed together; a prefix "last header" over the splits of a file gives
+   the header to tuples whose split had none yet.
+3. *Routes.*  A tuple goes to the table of its header if its values fit the
+   declared types (by the header's column list, if it has one).  A tuple that
+   doesn't fit there goes to the one declared table that it fits by width and
+   types.  All others, and lines that can't be parsed, are quarantined with the
+   reason.
+
+The parsed rows are written once to the shared folder, so that tables and
+quarantine come from one parse.  A line of text is never cut by the reader, so
+tuples on one line are one task's.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import uuid
+from collections.abc import Iterator, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caseflow import schemas
-from caseflow.sources import standins as si
-
-# The default routing of tuple widths to bank tables.
-DEFAULT_ROUTES: dict[int, tuple[str, T.StructType]] = {
-    4: ("customer_transactions", schemas.CUSTOMER_TRANSACTIONS),
-    5: ("customer_nodes", schemas.CUSTOMER_NODES),
-}
-
-# a quoted text; a doubled quote inside it stands for one
-_QUOTED = r"'[^']*+(?:''[^']*+)*+'"
-# a tuple: quoted texts, anything else without brackets, one level of brackets
-_TUPLE = rf"\((?:[^()']++|{_QUOTED}|\((?:[^()']++|{_QUOTED})*+\))*+\)"
-_CAST = rf"(?i)CAST\s*\(\s*({_QUOTED})\s+AS\s+\w+(?:\s*\([^)]*\))?\s*\)"
-_TOKEN = rf"{_CAST}|{_QUOTED}|[^,'\s]+"
-# a column-name list: bare identifiers only (no quotes, no numbers, no NULL)
-_COLNAMES = r'^\(\s*"?[A-Za-z_][A-Za-z0-9_]*"?(\s*,\s*"?[A-Za-z_][A-Za-z0-9_]*"?)*\s*\)$'
-_NULL_FIELD = r"(?i)[(,]\s*NULL\s*[,)]"
-# what may stand around the tuples of a line
-_FRAME = r'(?i)^\s*(INSERT\s+INTO\s+[\w."\[\]]+)?[\s,;]*(VALUES)?[\s,;]*$'
-# lines without data: comments, other statements, column definitions, a closing bracket
-_OTHER = (r'(?i)^\s*(--.*|(CREATE|ALTER|DROP|USE|SET|GO)\b[^\']*|\)\s*;?'
-          r'|["\[]?\w+["\]]?\s+(INT|INTEGER|BIGINT|SMALLINT|TINYINT|VARCHAR|NVARCHAR|CHAR|TEXT|DATE|DATETIME'
-          r'|TIMESTAMP|TIME|FLOAT|REAL|DECIMAL|NUMERIC|BIT)\b[^\']*)\s*$')
-
-
-def parse_lines(lines: DataFrame, col: str = "value") -> DataFrame:
-    """One row per data tuple, several for a line that has several: ``line``
-    plus raw ``tok`` (array<string>).  A line that is neither tuples in an
-    ``INSERT`` frame nor one without data (column-name lists, comments, other
-    statements) gives one row with a null ``tok``; so does each part of a
-    tuple that is wrapped over lines.  Null lines hold no data.
-
-    The steps are separate projections referring to the previous step by name,
-    and the token arrays are finished below the explode, so that the routing
-    filters downstream test them instead of deriving them again.
-    """
-    s = F.col("s")
-    t = lines.select(F.col(col).alias("line"),
-                     F.regexp_replace(F.col(col), "\r", "").alias("s")).filter(s.isNotNull())
-    t = t.select("line", "s", F.regexp_extract_all(s, F.lit(_TUPLE), F.lit(0)).alias("tuples"),
-                 F.regexp_replace(s, _TUPLE, " ").alias("rest"))
-    data = F.filter("tuples", lambda x: ~x.rlike(_COLNAMES) | x.rlike(_NULL_FIELD))
-    t = t.select("line", F.when(F.col("rest").rlike(_FRAME), data)
-                          .when(s.rlike(_OTHER), F.array().cast("array<string>"))
-                          .otherwise(F.array(F.lit(None).cast("string"))).alias("tuples"))
-    return t.select("line", F.explode(F.transform("tuples", lambda x: F.regexp_extract_all(
-        F.substring(x, F.lit(2), F.length(x) - 2), F.lit(_TOKEN), F.lit(0)))).alias("tok"))
-
-
-def token_value(tok: Column) -> Column:
-    """Token to text value: quoted (also in a CAST) -> inner text; bare NULL -> NULL."""
-    t = F.regexp_replace(tok, f"^{_CAST}$", "$1")
-    inner = F.regexp_replace(F.substring(t, F.lit(2), F.length(t) - 2), "''", "'")
-    return (F.when(t.startswith("'"), inner)
-             .when(F.upper(t) == "NULL", F.lit(None).cast("string"))
-             .otherwise(t))
-
-
-def load_dump(lines: DataFrame, routes: Mapping[int, tuple[str, T.StructType]] = DEFAULT_ROUTES,
-              col: str = "value") -> dict[str, DataFrame]:
-    """Route parsed tuples to tables by field count.
-
-    Returns ``{table: DataFrame, "_quarantine": DataFrame(line, reason)}``.
-    A row is quarantined when its line cannot be parsed, its width matches no
-    route or a non-NULL field fails its cast.
-    """
-    parsed = parse_lines(lines, col)
-    width = max(routes)
-    vals = parsed.select("line", F.when(F.col("tok").isNotNull(), F.size("tok")).alias("width"), *[
-        token_value(F.get(F.col("tok"), i)).alias(f"v{i}") for i in range(width)])
-    out: dict[str, DataFrame] = {}
-    bad_parts = [vals.filter(F.col("width").isNull() | ~F.col("width").isin(list(routes))).select(
-        "line", F.when(F.col("width").isNull(), "unparsed line").otherwise("unknown tuple width")
-        .alias("reason"))]
-    for n, (name, schema) in routes.items():
-        rows = vals.filter(F.col("width") == n)
-        typed = rows.select("line", *[F.col(f"v{i}") for i in range(n)], *[
-            F.trim(F.col(f"v{i}")).try_cast(f.dataType).alias(f.name)
-            for i, f in enumerate(schema.fields)])
-        failed = None
-        for i, f in enumerate(schema.fields):
-            cond = F.col(f"v{i}").isNotNull() & F.col(f.name).isNull()
-            failed = cond if failed is None else (failed | cond)
-        out[name] = typed.filter(~failed).select(*[f.name for f in schema.fields])
-        bad_parts.append(typed.filter(failed).select(
-            "line", F.lit(f"cast failed for {name}").alias("reason")))
-    q = bad_parts[0]
-    for b in bad_parts[1:]:
-        q = q.unionByName(b)
-    out["_quarantine"] = q
+from caseflow.session import ensure_checkpoint_dir, ship_package
+from caseflow.sources.dump_lexer import Lexer, sure_border
+
+QUARANTINE = "_quarantine"
+BATCH = 5_000
+_STRINGS = pa.list_(pa.string())
+_PARSED = pa.schema([
+    ("kind", pa.string()), ("file", pa.string()), ("block", pa.int64()), ("table", pa.string()),
+    ("columns", _STRINGS), ("vals", _STRINGS), ("line", pa.string()), ("head", _STRINGS),
+    ("tail", _STRINGS), ("whole", pa.bool_()), ("listing", pa.bool_()), ("other", pa.bool_())])
+PARSED = ("kind string, file string, block bigint, table string, columns array<string>, vals array<string>, "
+          "line string, head array<string>, tail array<string>, whole boolean, listing boolean, other boolean")
+
+Tables = Mapping[str, T.StructType]
+
+
+def dump_text(lines: DataFrame) -> DataFrame:
+    """(value, file, block) of a text reader's lines, batch or stream."""
+    return lines.select("value", F.col("_metadata.file_path").alias("file"),
+                        F.col("_metadata.file_block_start").alias("block"))
+
+
+def placed(lines: DataFrame, col: str = "value") -> DataFrame:
+    """Lines with the file and split they come from; lines that come from no
+    file are one text in the order of their partitions."""
+    if {"file", "block"} <= set(lines.columns):
+        return lines.select("file", "block", F.col(col).alias("value"))
+    return lines.select(F.lit("").alias("file"), F.spark_partition_id().cast("bigint").alias("block"),
+                        F.col(col).alias("value"))
+
+
+class _Rows:
+    """Rows of the parse, a batch at a time."""
+
+    def __init__(self):
+        self.rows: list[dict] = []
+
+    def tuples(self, file: str, block: int, got: Iterator[tuple]) -> None:
+        for vals, line, table, columns in got:
+            self.rows.append({"kind": "bad" if vals is None else "tuple", "file": file, "block": block,
+                              "table": table, "columns": columns, "vals": vals, "line": line})
+
+    def take(self) -> pa.RecordBatch:
+        rows, self.rows = self.rows, []
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r.get(f.name) for r in rows], f.type) for f in _PARSED], schema=_PARSED)
+
+
+def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tuples of whole splits, and one row for each split."""
+    out, key, lexer, head, before, inside = _Rows(), None, None, [], None, False
+
+    def split_row():
+        file, block = key
+        out.rows.append({"kind": "split", "file": file, "block": block, "table": lexer.table,
+                         "columns": lexer.columns, "head": head, "tail": lexer.run, "whole": not inside,
+                         "listing": lexer._listing, "other": lexer._other})
+
+    for b in batches:
+        for file, block, line in zip(*(b.column(c).to_pylist() for c in ("file", "block", "value")), strict=True):
+            if (file, block) != key:
+                if key is not None:
+                    split_row()
+                # the start of a file is a sure border
+                key, lexer, head, before, inside = (file, block), Lexer(), [], "", not block
+            if line is None:
+                continue
+            line = line.replace("\r", "")
+            inside = inside or sure_border(before, line)
+            if inside:
+                out.tuples(file, block, lexer.line(line))
+            else:
+                head.append(line)
+            before = line
+            if len(out.rows) >= BATCH:
+                yield out.take()
+    if key is not None:
+        split_row()
+    yield out.take()
+
+
+def _parse_border(key: tuple[pa.Scalar, ...], lines: pa.Table) -> pa.Table:
+    """Tuples of the lines around one split border, and the header after it."""
+    rows = sorted(lines.to_pylist(), key=lambda r: r["block"])
+    file, block = rows[-1]["file"], rows[-1]["block"]
+    out, lexer = _Rows(), Lexer(_listing=bool(rows[0]["listing"]), _other=bool(rows[0]["other"]))
+    for r in rows:
+        for line in r["lines"]:
+            out.tuples(file, block, lexer.line(line))
+    out.tuples(file, block, lexer.end())
+    if lexer.table or lexer.columns:
+        out.rows.append({"kind": "split", "file": file, "block": block, "table": lexer.table,
+                         "columns": lexer.columns})
+    return pa.Table.from_batches([out.take()])
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/caseflow_dumps/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def parse_dump(lines: DataFrame, col: str = "value") -> DataFrame:
+    """(table, columns, vals, line) of every tuple, with the header it stands
+    under (null: none), and rows with null ``vals`` for lines that can't be
+    parsed."""
+    ship_package(lines.sparkSession)
+    parsed = _stored(placed(lines, col).mapInArrow(_parse, PARSED), "parsed")
+    splits = parsed.filter("kind = 'split'")
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    # the last split before that has a sure border: where this split's first run may have begun
+    known = F.when(~F.col("whole"), F.struct("block", "listing", "other"))
+    splits = splits.withColumn("__of", F.last(known, ignorenulls=True).over(before))
+    heads = splits.filter(F.size("head") > 0).select(
+        "file", F.coalesce("__of.block", F.lit(-1)).alias("chain"), "block", F.col("head").alias("lines"),
+        F.col("__of.listing").alias("listing"), F.col("__of.other").alias("other"))
+    tails = splits.filter(F.size("tail") > 0).select(
+        "file", F.col("block").alias("chain"), "block", F.col("tail").alias("lines"), "listing", "other")
+    borders = _stored(heads.unionByName(tails).groupBy("file", "chain").applyInArrow(_parse_border, PARSED), "borders")
+
+    def header(table: str, columns: str) -> Column:
+        return F.when(F.col(table).isNotNull() | F.col(columns).isNotNull(),
+                      F.struct(F.col(table).alias("table"), F.col(columns).alias("columns")))
+
+    found = borders.filter("kind = 'split'").select("file", "block", header("table", "columns").alias("__border"))
+    events = (splits.select("file", "block", header("table", "columns").alias("__own"))
+              .join(found, ["file", "block"], "left"))
+    event = F.coalesce("__own", "__border")
+    # a column list that a border parts from its INSERT has no table by itself
+    events = events.withColumn("__before", F.struct(
+        F.last(event["table"], ignorenulls=True).over(before).alias("table"),
+        F.last(event, ignorenulls=True).over(before)["columns"].alias("columns")))
+    border, of = F.col("__border"), F.col("__before")
+    after = F.when(border.isNotNull(), F.struct(F.coalesce(border["table"], of["table"]).alias("table"),
+                                                border["columns"].alias("columns"))).otherwise(of)
+    events = events.select("file", "block", "__before", after.alias("__after"))
+    # one row for each split, of which the driver's list of files has more
+    headers = F.broadcast(events)
+
+    def resolved(rows: DataFrame, which: str) -> DataFrame:
+        of = F.col(which)
+        j = rows.filter("kind <> 'split'").join(headers, ["file", "block"], "left")
+        own = F.col("table").isNotNull()
+        return j.select(F.coalesce("table", of["table"]).alias("table"),
+                        F.when(own | F.col("columns").isNotNull(), F.col("columns"))
+                         .otherwise(of["columns"]).alias("columns"), "vals", "line")
+
+    return resolved(parsed, "__after").unionByName(resolved(borders, "__before"))
+
+
+def _fits(values: list[Column], schema: T.StructType) -> Column:
+    """Whether all values are NULL or cast to the declared types."""
+    out = F.lit(True)
+    for v, f in zip(values, schema.fields, strict=True):
+        if not isinstance(f.dataType, T.StringType):
+            out = out & (v.isNull() | F.trim(v).try_cast(f.dataType).isNotNull())
+    return out
+
+
+def _by_place(schema: T.StructType) -> list[Column]:
+    return [F.get(F.col("vals"), i) for i in range(len(schema.fields))]
+
+
+def _by_header(schema: T.StructType) -> list[Column]:
+    """Values by the header's column list; columns that it lacks are NULL."""
+    named = F.map_from_arrays("columns", "vals")
+    return [F.when(F.col("in_order"), p).otherwise(F.try_element_at(named, F.lit(f.name.lower())))
+            for p, f in zip(_by_place(schema), schema.fields, strict=True)]
+
+
+def _worked_out(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with more columns, worked out once: the optimizer neither copies
+    their expressions into later ones nor moves filters on them below (a
+    one-element explode stands between)."""
+    one = F.explode(F.array(F.struct(*[c.alias(n) for n, c in columns.items()])))
+    return df.select("*", one.alias("__x")).select("*", "__x.*").drop("__x")
+
+
+def route(tuples: DataFrame, tables: Tables) -> DataFrame:
+    """``tuples`` with ``route`` (the table a tuple goes to) or ``reason``, and
+    ``in_order``: its values are in the order of the declared columns."""
+    names = {name: F.array(*[F.lit(f.name.lower()) for f in s.fields]) for name, s in tables.items()}
+    width, table, columns = F.col("width"), F.col("table"), F.col("columns")
+    # a header's column list counts for its own table, if it has all names right
+    listed, order = F.lit(False), F.lit(False)
+    for name in tables:
+        own = table == F.lit(name)
+        order = F.when(own, columns == names[name]).otherwise(order)
+        listed = F.when(own, (F.size(columns) == F.size("vals")) & (F.size(F.array_distinct(columns)) == F.size("vals"))
+                        & (F.size(F.array_except(columns, names[name])) == 0)).otherwise(listed)
+    t = _worked_out(tuples, width=F.when(F.col("vals").isNotNull(), F.size("vals")),
+                    in_order=F.coalesce(columns.isNull() | order, F.lit(False)),
+                    listed=F.coalesce(listed, F.lit(False)))
+    own, able, wide = F.lit(None).cast("string"), [], []
+    for name, s in tables.items():
+        n = len(s.fields)
+        place = (width == n) & _fits(_by_place(s), s)
+        named = F.when(F.col("in_order"), place).otherwise(F.col("listed") & _fits(_by_header(s), s))
+        own = F.when(table == F.lit(name), F.when(named, F.lit(name))).otherwise(own)
+        able.append(F.when(place, F.lit(name)))
+        wide.append(F.when(width == n, F.lit(name)))
+    t = _worked_out(t, own=own)
+    known = table.isNull() | table.isin(list(tables))
+    asked = F.col("own").isNull() & known & width.isNotNull()
+    t = _worked_out(t, able=F.when(asked, F.array_compact(F.array(*able))),
+                    wide=F.when(F.col("own").isNull(), F.array_compact(F.array(*wide))))
+    reason = (F.when(width.isNull(), F.lit("unparsed line"))
+              .when(~known, F.concat(F.lit("unknown table "), table))
+              .when(F.size("able") > 1, F.concat(F.lit("fits several tables: "), F.array_join("able", ", ")))
+              .when(F.array_contains("wide", table), F.concat(F.lit("cast failed for "), table))
+              .when(F.size("wide") == 0, F.lit("unknown tuple width"))
+              .when(F.size("wide") == 1, F.concat(F.lit("cast failed for "), F.get(F.col("wide"), 0)))
+              .otherwise(F.lit("cast failed for all tables of its width")))
+    t = _worked_out(t, route=F.coalesce("own", F.when(F.size("able") == 1, F.get(F.col("able"), 0))))
+    # a tuple that goes by its types has its values in that table's order
+    return t.select("vals", "columns", F.when(F.col("own").isNull(), F.lit(True)).otherwise(F.col("in_order"))
+                    .alias("in_order"), "line", "route", F.when(F.col("route").isNull(), reason).alias("reason"))
+
+
+def table_rows(routed: DataFrame, name: str, schema: T.StructType) -> DataFrame:
+    """The typed rows of one table."""
+    own = routed.filter(F.col("route") == name)
+    return own.select(*[
+        (v if isinstance(f.dataType, T.StringType) else F.trim(v).try_cast(f.dataType)).alias(f.name)
+        for v, f in zip(_by_header(schema), schema.fields, strict=True)])
+
+
+def _tables(tables) -> Tables:
+    """Tables by name; also from tuple width -> (name, schema)."""
+    return {v[0]: v[1] for v in tables.values()} if tables and all(isinstance(k, int) for k in tables) else tables
+
+
+def load_dump(lines: DataFrame, tables: Tables = schemas.BY_NAME, col: str = "value") -> dict[str, DataFrame]:
+    """``{table: rows, "_quarantine": DataFrame(line, reason)}`` from lines of a
+    dump; one parse for all of them."""
+    tables = _tables(tables)
+    # tables and quarantine read what is routed once
+    routed = _stored(route(parse_dump(lines, col), tables), "routed")
+    out = {name: table_rows(routed, name, s) for name, s in tables.items()}
+    out[QUARANTINE] = routed.filter("route IS NULL").select("line", "reason")
     return out
 
 
-def read_dump(spark: SparkSession, paths: str | list[str],
-              routes: Mapping[int, tuple[str, T.StructType]] = DEFAULT_ROUTES) -> dict[str, DataFrame]:
-    """``spark.read.text`` over dump files, then :func:`load_dump`."""
-    return load_dump(spark.read.text(paths), routes)
-
-
-# --- round trip over the driver tables ---------------------------------------
-
-_L, _I, _S, _D = T.LongType(), T.IntegerType(), T.StringType(), T.DateType()
-STANDIN_ROUTES: dict[int, tuple[str, T.StructType]] = {
-    4: ("customer_transactions", T.StructType([
-        T.StructField("customer_id", _L), T.StructField("txn_date", _D),
-        T.StructField("txn_type", _S), T.StructField("txn_amount", _I)])),
-    5: ("customer_nodes", T.StructType([
-        T.StructField("customer_id", _L), T.StructField("region_id", _I),
-        T.StructField("node_id", _L), T.StructField("start_date", _D),
-        T.StructField("end_date", _D)])),
-}
-
-
-def dump_lines(spark: SparkSession, root: str) -> DataFrame:
-    """Dump text of the stand-in bank tables, every tuple quoted and every
-    batch headed ``customer_nodes`` (so transaction batches are mis-headed)."""
-    d = si.Domain(spark, root)
-    q = lambda c: F.concat(F.lit("'"), F.col(c).cast("string"), F.lit("'"))
-    tx = d.customer_transactions.select(F.concat(
-        F.lit("  ("), F.concat_ws(", ", q("customer_id"), q("txn_date"), q("txn_type"),
-                                  q("txn_amount")), F.lit("),")).alias("value"))
-    nodes = d.customer_nodes.select(F.concat(
-        F.lit("  ("), F.concat_ws(", ", q("customer_id"), q("region_id"), q("node_id"),
-                                  q("start_date"), q("end_date")), F.lit("),")).alias("value"))
-    header = spark.createDataFrame(
-        [("INSERT INTO customer_nodes",),
-         ("  (customer_id, region_id, node_id, start_date, end_date)",), ("VALUES",)],
-        "value string")
-    return header.unionByName(tx).unionByName(nodes)
-
-
-def dump_roundtrip(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """Load the dump of the stand-in bank tables back into typed tables."""
-    return load_dump(dump_lines(spark, root), STANDIN_ROUTES)
+def read_dump(spark: SparkSession, paths: str | list[str], tables: Tables = schemas.BY_NAME) -> dict[str, DataFrame]:
+    """:func:`load_dump` over dump files."""
+    return load_dump(dump_text(spark.read.text(paths)), tables)

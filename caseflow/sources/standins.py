@@ -100,9 +100,13 @@ def customer_orders(t: DriverTables) -> DataFrame:
                .when(ln % 4 == 1, F.lit("null"))
                .when(ln % 4 == 2, p25)
                .otherwise(F.concat(p25, F.lit(","), ((pk + 7) % 25).cast("string"))))
+    # some lists name no topping, some lines have no pizza, some orders no time
+    extras = F.when((ok + ln) % 43 == 0, F.concat(F.lit("abc, "), p25)).otherwise(extras)
     return j.select(
-        ok.alias("order_id"), F.col("o_custkey").alias("customer_id"), pk.alias("pizza_id"),
-        exclusions.alias("exclusions"), extras.alias("extras"), _order_time().alias("order_time"))
+        ok.alias("order_id"), F.col("o_custkey").alias("customer_id"),
+        F.when((ok + ln) % 31 != 0, pk).alias("pizza_id"),
+        exclusions.alias("exclusions"), extras.alias("extras"),
+        F.when(ok % 37 != 0, _order_time()).alias("order_time"))
 
 
 def runner_orders(t: DriverTables) -> DataFrame:
@@ -116,22 +120,32 @@ def runner_orders(t: DriverTables) -> DataFrame:
                          F.when(d10 % 10 == 0, F.lit(""))
                           .otherwise(F.concat(F.lit("."), (d10 % 10).cast("string"))))
     dist_unit = F.when(ok % 3 == 0, F.lit("km")).when(ok % 3 == 1, F.lit(" km")).otherwise(F.lit(""))
+    # more decimals, no digit before the point, other units, a decimal comma
+    whole = F.call_function("div", d10, F.lit(10)).cast("string")
+    distance = (F.when(ok % 11 == 0, F.concat(whole, F.lit("."), F.lpad((tp % 1000).cast("string"), 3, "0"), F.lit("km")))
+                 .when(ok % 13 == 0, F.lit(".5km"))
+                 .when(ok % 17 == 0, F.concat(whole, F.lit(" miles")))
+                 .when(ok % 19 == 0, F.concat(whole, F.lit(",5 km")))
+                 .otherwise(F.concat(dist_text, dist_unit)))
     dur = tp % 31 + 10
     dur_unit = (F.when(ok % 4 == 0, F.lit(" minutes")).when(ok % 4 == 1, F.lit("mins"))
                  .when(ok % 4 == 2, F.lit(" minute")).otherwise(F.lit("")))
+    dur_unit = F.when(ok % 23 == 0, F.lit(" hours")).otherwise(dur_unit)
     cancellation = F.when(cancelled, F.when(ok % 2 == 0, F.lit("Restaurant Cancellation"))
                                       .otherwise(F.lit("Customer Cancellation"))) \
                     .otherwise(F.when(ok % 3 == 0, F.lit("null"))
                                 .when(ok % 3 == 1, F.lit(""))
                                 .otherwise(F.lit(None).cast("string")))
     null_txt = F.lit("null")
+    # some orders are delivered by two runners
+    o = o.withColumn("__turn", F.explode(F.when(ok % 29 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
     return o.select(
         ok.alias("order_id"),
-        F.substring("o_orderpriority", 1, 1).cast("int").alias("runner_id"),
+        ((F.substring("o_orderpriority", 1, 1).cast("int") + F.col("__turn") - 1) % 5 + 1).alias("runner_id"),
         # a cast keeps wall-clock text (date_format would go through the
         # session time zone); values have whole seconds: yyyy-MM-dd HH:mm:ss
         F.when(cancelled, null_txt).otherwise(pickup.cast("string")).alias("pickup_time"),
-        F.when(cancelled, null_txt).otherwise(F.concat(dist_text, dist_unit)).alias("distance"),
+        F.when(cancelled, null_txt).otherwise(distance).alias("distance"),
         F.when(cancelled, null_txt).otherwise(
             F.concat(dur.cast("string"), dur_unit)).alias("duration"),
         cancellation.alias("cancellation"))
@@ -161,8 +175,25 @@ def pizza_toppings(t: DriverTables) -> DataFrame:
 
 
 def ratings(t: DriverTables) -> DataFrame:
-    return t.orders.select(F.col("o_orderkey").alias("order_id"),
-                           (_floor_long("o_totalprice") % 5 + 1).cast("int").alias("rating"))
+    # some orders are rated twice
+    stars = (_floor_long("o_totalprice") % 5 + 1).cast("int")
+    both = F.when(F.col("o_orderkey") % 41 == 0, F.array(stars, 6 - stars)).otherwise(F.array(stars))
+    return t.orders.select(F.col("o_orderkey").alias("order_id"), F.explode(both).alias("rating"))
+
+
+# --- subscriptions -----------------------------------------------------------
+
+def plans(t: DriverTables) -> DataFrame:
+    key = F.col("r_regionkey")
+    return t.region.select(key.cast("int").alias("plan_id"), F.lower("r_name").alias("plan_name"),
+                           F.when(key < 4, (key * F.lit("9.90").cast("decimal(5,2)")).cast("decimal(5,2)"))
+                            .alias("price"))
+
+
+def subscriptions(t: DriverTables) -> DataFrame:
+    return t.orders.select(F.col("o_custkey").alias("customer_id"),
+                           (F.col("o_orderkey") % 5).cast("int").alias("plan_id"),
+                           F.col("o_orderdate").cast("date").alias("start_date"))
 
 
 # --- bank --------------------------------------------------------------------
@@ -263,6 +294,7 @@ _BUILDERS = {
     "customer_orders": customer_orders, "runner_orders": runner_orders,
     "runners": runners, "pizza_names": pizza_names, "pizza_recipes": pizza_recipes,
     "pizza_toppings": pizza_toppings, "ratings": ratings,
+    "plans": plans, "subscriptions": subscriptions,
     "regions": regions, "customer_nodes": customer_nodes,
     "customer_transactions": customer_transactions, "weekly_sales": weekly_sales,
 }

@@ -1,9 +1,9 @@
 """Incremental dump loading with Structured Streaming.
 
 Dump files that keep arriving in a folder (one file per export batch) are
-read as a text stream; every micro-batch goes through the same shape-routed
-parser as the batch loader and is appended to one parquet table per route
-plus a quarantine table.  Progress is kept in a checkpoint beside the target
+read as a text stream; every micro-batch goes through the same
+parser and routing as the batch loader and is appended to one parquet table per
+declared table plus a quarantine table.  Progress is kept in a checkpoint beside the target
 tables unless the caller names another folder: the same for every application
 that loads into the target, so a restarted job (or one that lost executors)
 resumes without re-loading or skipping files.
@@ -11,17 +11,17 @@ resumes without re-loading or skipping files.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from caseflow.sources.dump import DEFAULT_ROUTES, load_dump
+from caseflow import schemas
+from caseflow.sources.dump import QUARANTINE, Tables, dump_text, load_dump
+
+BANK = {n: schemas.BY_NAME[n] for n in ("regions", "customer_nodes", "customer_transactions")}
 
 
 def start_dump_stream(spark: SparkSession, source_dir: str, target_dir: str,
-                      routes: Mapping[int, tuple[str, T.StructType]] = DEFAULT_ROUTES,
+                      tables: Tables = BANK,
                       checkpoint: str | None = None, available_now: bool = False,
                       max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the stream; tables land in ``target_dir/<table>``.
@@ -32,13 +32,13 @@ def start_dump_stream(spark: SparkSession, source_dir: str, target_dir: str,
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    lines = reader.load(source_dir)
+    lines = dump_text(reader.load(source_dir))
     ckpt = checkpoint or f"{target_dir}/_checkpoint"
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        out = load_dump(batch, routes)
+        out = load_dump(batch, tables)
         for name, df in out.items():
-            table = "quarantine" if name == "_quarantine" else name
+            table = "quarantine" if name == QUARANTINE else name
             # idempotent per batch id: a replayed batch overwrites its own slice
             (df.write.mode("overwrite")
                .option("partitionOverwriteMode", "dynamic")

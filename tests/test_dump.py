@@ -1,6 +1,7 @@
 import datetime as dt
 
 from caseflow.sources import dump
+from caseflow.streaming.dump_stream import BANK
 
 
 LINES = [
@@ -23,7 +24,7 @@ LINES = [
 
 def test_routes_by_shape(spark):
     df = spark.createDataFrame([(x,) for x in LINES], "value string")
-    out = dump.load_dump(df)
+    out = dump.load_dump(df, BANK)
     tx = sorted(tuple(r) for r in out["customer_transactions"].collect())
     assert tx == [(41, dt.date(2017, 8, 12), "refund", 77), (42, dt.date(2017, 8, 13), "refund", 640),
                   (44, dt.date(2017, 10, 5), "fee", None),

@@ -2,11 +2,12 @@
 
 import datetime as dt
 
-from caseflow.sources.dump import load_dump, parse_lines
+from caseflow.sources.dump import load_dump, parse_dump
+from caseflow.streaming.dump_stream import BANK
 
 
 def _load(spark, *lines):
-    out = load_dump(spark.createDataFrame([(x,) for x in lines], "value string"))
+    out = load_dump(spark.createDataFrame([(x,) for x in lines], "value string"), BANK)
     return ({tuple(r) for r in out["customer_transactions"].collect()},
             {(r.line, r.reason) for r in out["_quarantine"].collect()})
 
@@ -29,16 +30,18 @@ def test_tuples_of_all_shapes(spark):
 
 
 def test_what_does_not_parse_is_quarantined(spark):
-    wrapped = ["  ('61', '2018-02-03',", "   'in two', '3'),"]
-    rows, bad = _load(spark, *wrapped, "('62', 'no date', 'x', '1')", "(1, 2)", "('open, 1)")
-    assert rows == set()
-    assert bad == {(wrapped[0], "unparsed line"), (wrapped[1], "unparsed line"),
-                   ("('62', 'no date', 'x', '1')", "cast failed for customer_transactions"),
-                   ("(1, 2)", "unknown tuple width"), ("('open, 1)", "unparsed line")}
+    rows, bad = _load(spark, "  ('61', '2018-02-03',", "   'in two', '3'),", "('62', 'no date', 'x', '1')",
+                      "(1, 2, 3)", "('open, 1)", "(63, '2018-02-03', 'after it', 4);", "what is this",
+                      "('64', '2018-02-03', (1), 2)")
+    d = dt.date(2018, 2, 3)
+    assert rows == {(61, d, "in two", 3), (63, d, "after it", 4)}
+    assert bad == {("('62', 'no date', 'x', '1')", "cast failed for customer_transactions"),
+                   ("(1, 2, 3)", "unknown tuple width"), ("('open, 1)", "unparsed line"),
+                   ("what is this", "unparsed line"), ("('64', '2018-02-03', (1), 2)", "unparsed line")}
 
 
 def test_long_line(spark):
     n = 20_000
     line = ", ".join(f"({i}, '2018-02-03', 'a''b', {i})" for i in range(n))
     df = spark.createDataFrame([(line,)], "value string")
-    assert parse_lines(df).filter("size(tok) = 4").count() == n
+    assert parse_dump(df).filter("size(vals) = 4").count() == n

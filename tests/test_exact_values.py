@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 
 from caseflow.functions.numeric import exact_mean
-from caseflow.functions.text import unit_number
+from caseflow.functions.text import DISTANCE_UNITS, unit_number, unit_reason
 from caseflow.plans import delivery
 from caseflow.session import ensure_checkpoint_dir
 
@@ -25,10 +25,34 @@ def tables(spark):
     return co, ro
 
 
-@pytest.mark.parametrize("text,want", [("13.44km", 13.44), (".5km", 0.5), ("-3km", -3.0),
-                                       ("25 mins", 25.0), ("approx 20 or 30 km", None), ("", None)])
-def test_unit_number(spark, text, want):
-    assert spark.createDataFrame([(text,)], "t string").select(unit_number("t")).first()[0] == want
+@pytest.mark.parametrize("text,want,why", [
+    ("13.44km", 13.44, None), (".5km", 0.5, None), ("-3 KM", -3.0, None), ("20", 20.0, None), (None, None, None),
+    ("20 miles", None, "unknown unit miles"), ("25 mins", None, "unknown unit mins"), ("1,5 km", None, "not a number"),
+    ("approx 20 or 30 km", None, "not a number"), ("", None, "not a number"), ("km", None, "not a number")])
+def test_unit_number(spark, text, want, why):
+    df = spark.createDataFrame([(text,)], "t string")
+    got = df.select(unit_number("t", DISTANCE_UNITS), unit_reason("t", DISTANCE_UNITS)).first()
+    assert tuple(got) == (want, why)
+
+
+def test_rejects_leave_a_trace(spark):
+    from caseflow.plans import delivery
+    raw = spark.createDataFrame(
+        [(1, 7, "2031-05-01 10:10:00", "20 miles", "15 mins", ""), (2, 7, "soon", "1,5 km", "20 hours", "null"),
+         (3, 8, "null", "null", "null", "Customer Cancellation"), (4, 8, None, "3.25km", None, None)],
+        "order_id int, runner_id int, pickup_time string, distance string, duration string, cancellation string")
+    tagged = delivery.tagged_deliveries(raw)
+    assert sorted(map(tuple, delivery.rejected(tagged, "order_id").collect())) == [
+        (1, "distance", "20 miles", "unknown unit miles"), (2, "distance", "1,5 km", "not a number"),
+        (2, "duration", "20 hours", "unknown unit hours"), (2, "pickup_time", "soon", "not a time")]
+    clean = delivery.clean_deliveries(raw).orderBy("order_id").select("distance_km", "duration_minutes").collect()
+    assert [tuple(r) for r in clean] == [(None, 15.0), (None, None), (None, None), (3.25, None)]
+    co = spark.createDataFrame([(1, 5, "1, abc", " "), (2, 6, "null", "x y,3,"), (3, 6, None, "4")],
+                               "order_id int, pizza_id int, exclusions string, extras string")
+    assert sorted(map(tuple, delivery.rejected(delivery.tagged_orders(co), "order_id", "pizza_id").collect())) == [
+        (1, 5, "exclusions", "abc", "not a topping id"), (2, 6, "extras", "", "not a topping id"),
+        (2, 6, "extras", "x y", "not a topping id")]
+
 
 
 def test_mean_keeps_decimals(spark):

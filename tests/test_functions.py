@@ -45,7 +45,7 @@ def test_sentinels_and_units(spark):
         [None, None, None, None, "2, 6"]
     df = spark.createDataFrame([("20km",), ("23.4 km",), ("10",), ("25mins",),
                                 ("15 minute",), ("null",), (None,)], "s string")
-    assert [r.x for r in df.select(tx.unit_number("s").alias("x")).collect()] == \
+    assert [r.x for r in df.select(tx.unit_number("s", tx.DISTANCE_UNITS + tx.DURATION_UNITS).alias("x")).collect()] == \
         [20.0, 23.4, 10.0, 25.0, 15.0, None, None]
     assert [r.x for r in df.select(tx.strip_units("s", ["km", "minute", "mins"]).alias("x"))
             .collect()][:5] == [20.0, 23.4, 10.0, 25.0, 15.0]

@@ -124,3 +124,30 @@ def test_before_after_matches_python(spark, rows, base, span):
     after = [s for w, s in rows if base <= w <= base + span - 1]
     assert r.before_change == (sum(before) if before else None)
     assert r.after_change == (sum(after) if after else None)
+
+
+def test_percentiles_of_many_values(spark):
+    """A million distinct values in one group, ties, nulls and a null group."""
+    from caseflow.operators.measures import percentiles_disc
+    n = 1_000_000
+    big = spark.range(n).select(F.lit("big").alias("g"), (F.col("id") * 7919 % n).alias("v"))
+    small = spark.createDataFrame([("few", 3), ("few", 3), ("few", None), ("few", 9), (None, 4), ("none", None)],
+                                  "g string, v long")
+    got = {r.g: tuple(r)[1:] for r in percentiles_disc(
+        big.unionByName(small), ["g"], "v", {"p0": 0.0, "p50": 0.5, "p95": 0.95, "p100": 1.0}).collect()}
+    assert got == {"big": (0, n // 2 - 1, n * 95 // 100 - 1, n - 1), "few": (3, 3, 9, 9), None: (4, 4, 4, 4),
+                   "none": (None, None, None, None)}
+    whole = percentiles_disc(big, [], "v", {"p50": 0.5}).collect()
+    assert [tuple(r) for r in whole] == [(n // 2 - 1,)]
+
+
+def test_dense_ranks_of_the_whole_frame(spark):
+    from caseflow.operators.ranges import dense_ranks
+    values = [5, 3, 3, None, 9, 5, -2]
+    df = spark.createDataFrame([(v,) for v in values], "v int").repartition(3)
+    assert {tuple(r) for r in dense_ranks(df, "v").collect()} == {(None, 1), (-2, 2), (3, 3), (5, 4), (9, 5)}
+    assert {tuple(r) for r in dense_ranks(df, "v", True).collect()} == {(9, 1), (5, 2), (3, 3), (-2, 4), (None, 5)}
+    big = spark.range(100_000).select((F.col("id") * 31 % 50_000).alias("v"))
+    assert dense_ranks(big, "v").filter("dense_rank <> v + 1").count() == 0
+    assert [r.v for r in rk.rows_at_dense_rank(df, "v", 4).collect()] == [5, 5]
+    assert dense_ranks(df.limit(0), "v").count() == 0
