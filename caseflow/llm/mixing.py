@@ -100,12 +100,14 @@ def apportion(frame: DataFrame, group: list[str], votes: str, most: str, seats:
             .agg((F.first("__base") + F.sum("__won")).alias(out)))
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, repeats: int = MAX_REPEATS,
+def _mixed(docs: DataFrame, weights=WEIGHTS, repeats: int = MAX_REPEATS,
         block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS,
         seed: int = SEED) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken) of every row."""
-    sized = stored(docs.select("doc_id", "source", size_of(whole_text()).alias("size")),
-                   "mix_sizes")
+    """(doc_id, key, source, size, source_size, target, full, spans) of every
+    row: how many times the whole text is taken, and the spans of words [lo, hi)
+    taken besides, where the run of blocks starts or ends inside it."""
+    sized = stored(docs.select("doc_id", F.xxhash64(whole_text()).alias("key"), "source",
+                               size_of(whole_text()).alias("size")), "mix_sizes")
     src = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     src = targets(src, weights, repeats).withColumn(
         "__shards", F.ceil(F.col("source_size") / shard_words).cast("bigint"))
@@ -121,7 +123,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, repeats: int = MAX_REPEATS,
     at = F.xxhash64(F.lit(seed), F.col("doc_id"))
     placed = (sized.alias("d").join(small.alias("s"),
                                     F.col("d.source").eqNullSafe(F.col("s.source")))
-              .select("d.doc_id", "d.source", "d.size", "s.source_size", "s.target", "s.__shards",
+              .select("d.doc_id", "d.key", "d.source", "d.size", "s.source_size", "s.target", "s.__shards",
                       "s.__quota", at.alias("__at"))
               .withColumn("__shard", F.when(F.col("__shards") > 0, F.pmod(
                   F.xxhash64(F.lit(seed + 1), F.col("doc_id")), F.col("__shards")))
@@ -149,38 +151,62 @@ def mix(docs: DataFrame, weights=WEIGHTS, repeats: int = MAX_REPEATS,
          .withColumn("__to", F.when(F.col("__blocks") > 0, F.col("__from") + rest)
                      .otherwise(F.lit(0))))
 
-    def overlap(first: Column, last: Column) -> Column:
-        lo = F.greatest(F.col("__start"), first * block_words)
-        hi = F.least(F.col("__end"), last * block_words)
-        return F.greatest(hi - lo, F.lit(0))
+    def span(first: Column, last: Column) -> Column:
+        """Words of the document inside blocks [first, last)."""
+        lo = F.greatest(F.col("__start"), first * block_words) - F.col("__start")
+        hi = F.least(F.col("__end"), last * block_words) - F.col("__start")
+        return F.struct(lo.cast("bigint").alias("lo"), hi.cast("bigint").alias("hi"))
+
+    spans = F.filter(F.array(
+        span(F.col("__from"), F.least("__to", "__blocks")),
+        span(F.lit(0), F.greatest(F.col("__to") - F.col("__blocks"), F.lit(0)))), lambda x: x["hi"] > x["lo"])
+    j = j.withColumn("__spans", spans)
+    whole = F.size(F.filter("__spans", lambda x: x["hi"] - x["lo"] == F.col("size")))
+    return j.select("doc_id", "key", "source", "size", "source_size", "target",
+                    (F.col("__full") + whole).cast("bigint").alias("full"),
+                    F.filter("__spans", lambda x: x["hi"] - x["lo"] < F.col("size")).alias("spans"))
 
-    run = (overlap(F.col("__from"), F.least("__to", "__blocks"))
-           + overlap(F.lit(0), F.greatest(F.col("__to") - F.col("__blocks"), F.lit(0))))
-    return j.select("doc_id", "source", "size", "source_size", "target",
-                    (F.col("__full") * F.col("size") + run).cast("bigint").alias("taken"))
+
+def mix(docs: DataFrame, **options) -> DataFrame:
+    """(doc_id, source, size, source_size, target, taken) of every row."""
+    part = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, x: a + x["hi"] - x["lo"])
+    taken = F.when(F.col("size") > 0, F.col("full") * F.col("size") + part).otherwise(F.lit(0))
+    return _mixed(docs, **options).select("doc_id", "source", "size", "source_size", "target",
+                                          taken.cast("bigint").alias("taken"))
 
 
 def apply_mix(docs: DataFrame, **options) -> DataFrame:
-    """The mixed rows, with the input's columns: a document taken n times and
-    a part of a time gives n whole rows and, where the run of blocks ends
-    inside it, one row with its first words (with their spacing)."""
+    """The mixed rows, with the input's columns: a document taken n times gives
+    n whole rows, and one row for each span of its words taken besides (with
+    their spacing).  Rows equal in id and text are taken together; their rows
+    have the other columns of one of them."""
     cols = docs.columns
-    got = mix(docs, **options).filter("taken > 0")
-    per = got.groupBy("doc_id", "size").agg(F.max("taken").alias("__taken"))
-    rows = docs.withColumn("__size", size_of(whole_text()))
-    rows = rows.join(per.withColumnRenamed("doc_id", "__doc").withColumnRenamed("size", "__sz"),
-                     F.col("doc_id").eqNullSafe(F.col("__doc"))
-                     & (F.col("__size") == F.col("__sz")))
-    n = F.floor(F.col("__taken") / F.col("__size")).cast("int")
-    whole = rows.withColumn("__n", n).filter("__n > 0") \
-        .withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__n")))).select(*cols)
+    per = _mixed(docs, **options).filter("size > 0 AND (full > 0 OR size(spans) > 0)")
+    per = per.groupBy(F.col("doc_id").alias("__doc"), F.col("key").alias("__key")).agg(
+        F.sum("full").alias("__n"), F.flatten(F.collect_list(F.when(F.size("spans") > 0, F.col("spans")))).alias("__spans"),
+        F.count(F.lit(1)).alias("__rows"))
+    per = stored(per, "mix_taken")
+    keyed = docs.withColumn("__text_key", F.xxhash64(whole_text()))
+    same = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__text_key") == F.col("__key"))
+    rows = keyed.join(per.filter("__rows = 1"), same)
+    # of rows that repeat id and text, one stands for all
+    again = keyed.join(per.filter("__rows > 1"), same).dropDuplicates(["__doc", "__key"])
+    rows = rows.unionByName(again)
+    whole = F.transform(F.sequence(F.lit(1).cast("bigint"), F.col("__n")),
+                        lambda i: F.struct(F.lit(0).cast("bigint").alias("lo"), F.lit(-1).cast("bigint").alias("hi")))
+    piece = F.concat(F.when(F.col("__n") > 0, whole).otherwise(F.array().cast("array<struct<lo: bigint, hi: bigint>>")),
+                     F.col("__spans"))
+    rows = rows.withColumn("__piece", F.explode(piece))
     words = F.regexp_extract_all(whole_text(), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
-    part = (rows.withColumn("__m", (F.col("__taken") % F.col("__size")).cast("int"))
-            .filter("__m > 0")
-            .withColumn("text", F.array_join(F.slice(words, F.lit(1), F.col("__m")), "")))
+    cut = F.array_join(F.slice(words, (F.col("__piece.lo") + 1).cast("int"),
+                               (F.col("__piece.hi") - F.col("__piece.lo")).cast("int")), "")
+    part = F.col("__piece.hi") >= 0
+    out = rows.withColumn("__cut", F.when(part, cut))
+    changed = {"text": F.coalesce("__cut", "text")}
     if "n_chars" in cols:
-        part = part.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return whole.unionByName(part.select(*cols))
+        kind = docs.schema["n_chars"].dataType
+        changed["n_chars"] = F.when(part, F.char_length("__cut").cast(kind)).otherwise(F.col("n_chars"))
+    return out.withColumns(changed).select(*cols)
 
 
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
