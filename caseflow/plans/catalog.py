@@ -6,11 +6,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from caseflow.plans import bank, delivery, mart, restaurant
 from caseflow.sources import dump_files
 from caseflow.sources import standins as si
+from caseflow.sources.writers import write_ordered
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -157,3 +159,34 @@ QUERIES: dict[str, Query] = {
         ("transactions", "bank", "customer_transactions")]},
     "dump_quarantine": lambda spark, root: dump_files.load_quarantine(spark, root, "bank"),
 }
+
+# the order in which the source lists a job's rows; a minus sign: descending
+ORDERS: dict[str, list[str]] = {
+    "type_by_customer": ["customer_id"],
+    "speed_by_delivery": ["runner_id", "order_id"],
+    "ingredient_counts": ["order_id", "pizza_id", "topping_id"],
+    "delivery_report": ["customer_id"],
+    "nodes_by_region": ["region_id"],
+    "customers_by_region": ["region_id"],
+    "sales_by_region_month": ["region", "month_number"],
+    "monthly_platform_share": ["platform", "calendar_year", "month_number"],
+    "demographic_share_by_year": ["demographic", "calendar_year"],
+    "segment_contribution": ["-percent_sale"],
+    "avg_txn_size": ["platform", "calendar_year"],
+    "before_after_4w_by_year": ["calendar_year"],
+    "before_after_12w_by_year": ["calendar_year"],
+}
+
+
+def _order(name: str) -> list[Column]:
+    return [F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in ORDERS[name]]
+
+
+def in_order(name: str) -> Query:
+    """A job with its rows in the source's order (range-partitioned sort)."""
+    return lambda spark, root: QUERIES[name](spark, root).orderBy(*_order(name))
+
+
+def write_in_order(spark: SparkSession, root: str, name: str, path: str) -> None:
+    """A job's rows as files that follow each other in the source's order."""
+    write_ordered(QUERIES[name](spark, root), path, _order(name))

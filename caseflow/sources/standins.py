@@ -9,6 +9,7 @@ recomputes the same rows.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -268,6 +269,7 @@ class Domain:
     root: str
     persist: bool = True
     _t: DriverTables = field(init=False)
+    _stamp: str | None = field(init=False, default=None)
 
     def __post_init__(self):
         self._t = DriverTables(self.spark, self.root)
@@ -276,7 +278,9 @@ class Domain:
         """A table derived from this folder's data, persisted like the others."""
         if not self.persist:
             return build()
-        return built_once(self.spark, f"{self.root}/{name}", build, partition_by)
+        if self._stamp is None:
+            self._stamp = hashlib.md5(self._t.stamp().encode(), usedforsecurity=False).hexdigest()[:8]
+        return built_once(self.spark, f"{self.root}/{self._stamp}/{name}", build, partition_by)
 
     def lazy(self, name: str) -> DataFrame:
         """The table as a plan over the driver tables, not persisted (for

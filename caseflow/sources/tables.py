@@ -13,9 +13,9 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
                  "lineitem", "events")
 
 
-# (application id, path) -> DataFrame: the scan (and its file listing) is
+# (application id, path, stamp of its files) -> DataFrame: the scan (and its file listing) is
 # reused by every job of the application that reads the same table.
-_SCANS: dict[tuple[str, str], DataFrame] = {}
+_SCANS: dict[tuple[str, str, str], DataFrame] = {}
 
 
 class DriverTables:
@@ -29,12 +29,27 @@ class DriverTables:
         if name.startswith("_") or name not in DRIVER_TABLES:
             raise AttributeError(name)
         path = f"{self.root}/{name}.parquet"
-        key = (self.spark.sparkContext.applicationId, path)
+        key = (self.spark.sparkContext.applicationId, path, self.stamp(name))
         if key not in _SCANS:
             _SCANS[key] = self.spark.read.parquet(path)
         return _SCANS[key]
 
 
+    def stamp(self, *names: str) -> str:
+        """Number, sizes and times of the tables' files: what is kept for an
+        application holds for these files alone."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
+        found = []
+        for name in names or DRIVER_TABLES:
+            at = hadoop(f"{self.root}/{name}.parquet")
+            fs = at.getFileSystem(self.spark._jsc.hadoopConfiguration())
+            if fs.exists(at):
+                files = fs.listStatus(at)
+                found.append((name, len(files), sum(f.getLen() for f in files),
+                              max((f.getModificationTime() for f in files), default=0)))
+        return repr(found)
+
+
 def read_typed(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",
                **options) -> DataFrame:
     """Read a table with a declared schema (never inferred)."""

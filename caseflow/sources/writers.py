@@ -6,27 +6,82 @@ import re
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseflow.session import ensure_checkpoint_dir
 
 
+class Versions:
+    """A table under ``path`` that is replaced as a whole: each replace writes a
+    new version and then swaps a one-line manifest, in one rename.  A reader
+    gets the version that the manifest names, so it sees all old rows or all
+    new ones; a replace that fails leaves the old version.  The version before
+    the current one is kept for readers that have it open, older ones go."""
+
+    MANIFEST = "_current"
+
+    def __init__(self, spark: SparkSession, path: str, fmt: str = "parquet"):
+        self.spark, self.path, self.fmt = spark, path.rstrip("/"), fmt
+        self._hadoop = spark._jvm.org.apache.hadoop
+        self._conf = spark._jsc.hadoopConfiguration()
+        self._fs = self._at().getFileSystem(self._conf)
+
+    def _at(self, *parts: str):
+        return self._hadoop.fs.Path("/".join([self.path, *parts]))
+
+    def names(self) -> list[str]:
+        """Names of the current version and the one before it; none: []."""
+        at = self._at(self.MANIFEST)
+        if not self._fs.exists(at):
+            return []
+        stream = self._fs.open(at)
+        try:
+            return stream.readUTF().split()
+        finally:
+            stream.close()
+
+    def replace(self, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
+        """Write ``df`` as the new version; returns a DataFrame reading it.  A
+        rebalance inside the write gives files of the advisory size at any
+        scale; rows of a large partition value go to several files."""
+        new = f"v-{uuid.uuid4().hex[:12]}"
+        w = df.hint("rebalance", *[F.col(c) for c in partition_by]).write.format(self.fmt)
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.save(f"{self.path}/{new}")
+        keep = [new, *self.names()[:1]]
+        draft = self._at(f"_next-{new}")
+        stream = self._fs.create(draft, True)
+        try:
+            stream.writeUTF(" ".join(keep))
+        finally:
+            stream.close()
+        options = self.spark._sc._gateway.new_array(self._hadoop.fs.Options.Rename, 1)
+        options[0] = self._hadoop.fs.Options.Rename.OVERWRITE
+        self._hadoop.fs.FileContext.getFileContext(self._fs.getUri(), self._conf).rename(
+            self._fs.makeQualified(draft), self._fs.makeQualified(self._at(self.MANIFEST)), options)
+        for status in self._fs.listStatus(self._at()):
+            name = status.getPath().getName()
+            if name.startswith("v-") and name not in keep:
+                self._fs.delete(status.getPath(), True)
+        return self.read()
+
+    def read(self) -> DataFrame:
+        """The current version."""
+        names = self.names()
+        if not names:
+            raise ValueError(f"{self.path} has no version yet")
+        return self.spark.read.format(self.fmt).load(f"{self.path}/{names[0]}")
+
+
 def materialize(df: DataFrame, path: str, partition_by: Sequence[str] = (),
                 fmt: str = "parquet") -> DataFrame:
-    """``DROP TABLE IF EXISTS t; SELECT ... INTO t``: overwrite ``path`` and
-    return a DataFrame reading it back (the written table cuts lineage, so a
-    lost executor re-reads files instead of recomputing the query).
-
-    A rebalance inside the write gives files of the advisory size at any
-    scale; rows of a large partition value go to several files.
-    """
-    df = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    w = df.write.mode("overwrite").format(fmt)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.save(path)
-    return df.sparkSession.read.format(fmt).load(path)
+    """``DROP TABLE IF EXISTS t; SELECT ... INTO t``: replace the table at
+    ``path`` and return a DataFrame reading it back (the written table cuts
+    lineage, so a lost executor re-reads files instead of recomputing the
+    query)."""
+    return Versions(df.sparkSession, path, fmt).replace(df, partition_by)
 
 
 def save_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
@@ -37,6 +92,13 @@ def save_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> No
     w.saveAsTable(name)
 
 
+def write_ordered(df: DataFrame, path: str, order: Sequence[Column | str], fmt: str = "parquet") -> None:
+    """``ORDER BY`` of a result that may be large: rows are dealt into ranges
+    of the order, each range is sorted by its own task and becomes a file, and
+    files follow each other by part number."""
+    df.orderBy(*order).write.format(fmt).save(path)
+
+
 # (application id, key) -> (written path, column order): each derived table
 # is built once per application and read back by every job that needs it.
 _WRITTEN: dict[tuple[str, str], tuple[str, list[str]]] = {}
@@ -59,7 +121,7 @@ def built_once(spark: SparkSession, key: str, build: Callable[[], DataFrame],
         materialize(df, path, partition_by)
         _WRITTEN[k] = (path, df.columns)
     path, cols = _WRITTEN[k]
-    return spark.read.parquet(path).select(*cols)
+    return Versions(spark, path).read().select(*cols)
 
 
 def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
