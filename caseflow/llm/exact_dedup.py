@@ -1,14 +1,15 @@
 """Operator 7: exact dedup against a persistent digest index.
 
 The index is a table bucketed and sorted by the SHA-256 digest of the text.
-A batch is reduced to one entry per digest, the entries that the index does
+A batch is reduced to one entry per digest and written, the entries that the index does
 not hold are found by a sort-merge anti-join (the index side is read in its
 buckets, without a shuffle) and appended.  Everything is DataFrame code.
 
 Defined results: a null text counts as the empty text, and all empty texts
 are equal.  Within a batch the row with the largest ``doc_id`` stays (a null
 id is smaller than any); a text that an earlier batch put into the index is
-dropped from a later batch, whatever its id.  Rows repeated with the same id
+dropped from a later batch, whatever its id.  A batch may have a name; added
+again under it, it gets the verdict that it got first.  Rows repeated with the same id
 and text get the same verdict, and ``keep_rows`` returns one of them.  An
 empty table gives an empty result.  Only ``doc_id`` and ``text`` are read;
 other columns pass through ``keep_rows`` untouched.
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from caseflow.llm.common import documents, scratch, stored, whole_text
 
-ENTRY = "digest string, keep_id bigint, group_size bigint, same_id bigint"
+ENTRY = "digest string, keep_id bigint, group_size bigint, same_id bigint, batch string"
 # A digest with more than 1/HOT_PARTS of all rows is joined by broadcast;
 # there are fewer than HOT_PARTS such digests at any size.
 HOT_PARTS = 500
@@ -47,9 +48,9 @@ class DigestIndex:
         """Entries of ``batch`` whose digest the index does not hold."""
         return batch.join(self.entries().select("digest").hint("merge"), "digest", "left_anti")
 
-    def append(self, new: DataFrame) -> None:
-        """Add entries, one file for each bucket."""
-        (new.select("digest", "keep_id", "group_size", "same_id")
+    def append(self, new: DataFrame, batch: str) -> None:
+        """Add a batch's entries, one file for each bucket."""
+        (new.select("digest", "keep_id", "group_size", "same_id", F.lit(batch).alias("batch"))
          .repartition(self.buckets, "digest")
          .write.mode("append").format("parquet").option("path", self.path)
          .bucketBy(self.buckets, "digest").sortBy("digest").saveAsTable(self.table))
@@ -82,20 +83,24 @@ def resolve(ids: DataFrame, index: DataFrame) -> DataFrame:
     return ids.join(few, "digest").unionByName(cold.join(index.hint("merge"), "digest"))
 
 
-def add_batch(docs: DataFrame, index: DigestIndex) -> DataFrame:
-    """Put a batch into the index; returns (doc_id, digest, keep_id,
-    group_size, same_id, fresh), where ``fresh`` says that the digest came
-    with this batch."""
+def add_batch(docs: DataFrame, index: DigestIndex, batch: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Put a batch into the index; returns each row's verdict (doc_id, digest,
+    keep_id, group_size, same_id) and the entries that came with the batch.  A
+    batch that the index has under the same name already, as a job that was
+    lost after the append is run again, gets its own verdict once more."""
     ids = stored(digests(docs), "digests")
-    new = stored(index.new_entries(batch_entries(ids)), "new_entries")
-    index.append(new)
-    verdict = resolve(ids, index.entries())
-    return verdict, new
+    mine = index.entries().filter(F.col("batch") == batch) if batch else None
+    if mine is None or mine.isEmpty():
+        # written before the join, so that rows are combined before any shuffle
+        entries = stored(batch_entries(ids), "batch_entries")
+        mine = stored(index.new_entries(entries), "new_entries")
+        index.append(mine, batch or uuid.uuid4().hex)
+    return resolve(ids, index.entries()), mine
 
 
-def keep_rows(docs: DataFrame, index: DigestIndex) -> DataFrame:
+def keep_rows(docs: DataFrame, index: DigestIndex, batch: str | None = None) -> DataFrame:
     """The rows of a batch that stay, with all their columns."""
-    _, new = add_batch(docs, index)
+    _, new = add_batch(docs, index, batch)
     cols = docs.columns
     marked = docs.withColumns({
         "__id": F.col("doc_id").cast("bigint"),

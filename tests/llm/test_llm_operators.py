@@ -265,6 +265,13 @@ def test_exact_dedup(spark, docs, rows, none):
     fresh = spark.createDataFrame([(99, "new text", "", "", 0, "", 0)], SCHEMA)
     assert [r[0] for r in exact_dedup.keep_rows(docs.union(fresh), again).collect()] == [99]
     assert exact_dedup.keep_rows(none, exact_dedup.new_index(spark)).count() == 0
+    # a job that is lost after the append and run again
+    index = exact_dedup.new_index(spark)
+    for _ in range(2):
+        kept = exact_dedup.keep_rows(docs, index, "monday")
+        assert sorted(r[0] for r in kept.collect()) == sorted(max(v) for v in same.values())
+    assert exact_dedup.keep_rows(docs, index, "tuesday").count() == 0
+    assert index.entries().count() == len(same)
 
 
 def test_line_templates(spark, none):
