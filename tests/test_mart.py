@@ -5,6 +5,7 @@ import pytest
 
 from caseflow import schemas
 from caseflow.plans import mart as m
+from caseflow.sources.writers import Versions
 
 
 def _weekly_rows():
@@ -101,7 +102,8 @@ def test_write_clean_weekly_partitioned(spark, cws):
     path = tempfile.mkdtemp(prefix="cf-cws-") + "/clean_weekly_sales"
     back = m.write_clean_weekly(cws, path)
     assert back.count() == cws.count()
-    assert os.path.isdir(f"{path}/calendar_year=2020")
+    version, = Versions(spark, path).names()
+    assert os.path.isdir(f"{path}/{version}/calendar_year=2020")
     pruned = back.filter("calendar_year = 2020")
     plan = pruned._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and pruned.count() == 7
