@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator, Mapping
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -65,20 +66,48 @@ def placed(lines: DataFrame, col: str = "value") -> DataFrame:
 
 
 class _Rows:
-    """Rows of the parse, a batch at a time."""
+    """Rows of the parse, a batch at a time; tuples column by column."""
 
     def __init__(self):
         self.rows: list[dict] = []
+        self._clear()
+
+    def _clear(self) -> None:
+        self.file, self.block, self.header, self.flat, self.sizes, self.line = [], [], [], [], [], []
+        self.headers: dict[tuple, int] = {}
+
+    def __len__(self) -> int:
+        return len(self.rows) + len(self.line)
 
     def tuples(self, file: str, block: int, got: Iterator[tuple]) -> None:
         for vals, line, table, columns in got:
-            self.rows.append({"kind": "bad" if vals is None else "tuple", "file": file, "block": block,
-                              "table": table, "columns": columns, "vals": vals, "line": line})
-
-    def take(self) -> pa.RecordBatch:
-        rows, self.rows = self.rows, []
-        return pa.RecordBatch.from_arrays(
-            [pa.array([r.get(f.name) for r in rows], f.type) for f in _PARSED], schema=_PARSED)
+            key = (table, columns and tuple(columns))
+            self.header.append(self.headers.setdefault(key, len(self.headers)))
+            self.file.append(file)
+            self.block.append(block)
+            self.line.append(line)
+            self.sizes.append(None if vals is None else len(vals))
+            self.flat += vals or ()
+
+    def take(self) -> Iterator[pa.RecordBatch]:
+        if self.rows:
+            rows, self.rows = self.rows, []
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r.get(f.name) for r in rows], f.type) for f in _PARSED], schema=_PARSED)
+        n, bad = len(self.line), [x is None for x in self.sizes]
+        header = pa.array(self.header, pa.int32())
+        offsets = list(accumulate((x or 0 for x in self.sizes), initial=0))
+        vals = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(self.flat, pa.string()),
+                                        mask=pa.array(bad, pa.bool_()) if any(bad) else None)
+        known = {
+            "kind": pa.array(["bad" if x else "tuple" for x in bad], pa.string()),
+            "file": pa.array(self.file, pa.string()), "block": pa.array(self.block, pa.int64()),
+            "table": pa.array([h[0] for h in self.headers], pa.string()).take(header),
+            "columns": pa.array([h[1] for h in self.headers], _STRINGS).take(header),
+            "vals": vals, "line": pa.array(self.line, pa.string())}
+        self._clear()
+        yield pa.RecordBatch.from_arrays(
+            [known[f.name] if f.name in known else pa.nulls(n, f.type) for f in _PARSED], schema=_PARSED)
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,11 +136,11 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             else:
                 head.append(line)
             before = line
-            if len(out.rows) >= BATCH:
-                yield out.take()
+            if len(out) >= BATCH:
+                yield from out.take()
     if key is not None:
         split_row()
-    yield out.take()
+    yield from out.take()
 
 
 def _parse_border(key: tuple[pa.Scalar, ...], lines: pa.Table) -> pa.Table:
@@ -126,7 +155,7 @@ def _parse_border(key: tuple[pa.Scalar, ...], lines: pa.Table) -> pa.Table:
     if lexer.table or lexer.columns:
         out.rows.append({"kind": "split", "file": file, "block": block, "table": lexer.table,
                          "columns": lexer.columns})
-    return pa.Table.from_batches([out.take()])
+    return pa.Table.from_batches(list(out.take()))
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
