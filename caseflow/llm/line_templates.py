@@ -26,7 +26,8 @@ template costs their number squared.
 
 Defined results: a null text counts as empty; lines end at \\n; lines without
 tokens are never dropped; a line repeated in one document counts as one
-document.  Rows that repeat an id are one document for the counts.  An empty
+document.  Rows that repeat an id are one document for the counts, and each
+loses its own lines; a row with a null id loses none.  An empty
 table gives an empty result.  Only ``doc_id`` and ``text`` are read.
 """
 
@@ -81,22 +82,28 @@ def _templates(found: DataFrame, seeds: DataFrame, depth: int, like: float, fixe
         (F.col("known") > 0) & ((F.col("known") >= size * fixed) | (size <= depth)))
 
 
+def row_key() -> Column:
+    return F.xxhash64(whole_text())
+
+
 def dropped_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, like: float = LIKE,
                   fixed: float = FIXED, same_docs: int = SAME_DOCS) -> DataFrame:
-    """(doc_id, line_no) of the lines of recurring templates."""
-    lines = docs.select("doc_id", F.posexplode(F.split(whole_text(), "\n", -1)).alias("line_no", "line"))
+    """(doc_id, row, line_no) of the lines of recurring templates; ``row`` tells
+    texts of one id apart."""
+    lines = docs.select("doc_id", row_key().alias("row"), F.posexplode(F.split(whole_text(), "\n", -1)).alias("line_no", "line"))
     tokens = F.regexp_extract_all(F.col("line"), F.lit(WORD), F.lit(0))
     lines = lines.withColumn("tokens", tokens).filter(F.size("tokens") > 0)
     lead = F.transform(F.slice("tokens", 1, depth),
                        lambda t: F.when(t.rlike("[0-9]"), F.lit(ANY)).otherwise(t))
-    lines = lines.select("doc_id", "line_no", "line", F.xxhash64(F.size("tokens"), lead).alias("leaf"),
+    lines = lines.select("doc_id", "row", "line_no", "line", F.xxhash64(F.size("tokens"), lead).alias("leaf"),
                          F.xxhash64("tokens").alias("key"))
 
     def in_documents(rows: DataFrame, *keys: str) -> DataFrame:
         once = rows.groupBy(*keys, "doc_id").agg(F.lit(1).alias("c"))
         return once.groupBy(*keys).agg(F.count(F.lit(1)).alias("docs"))
 
-    placed = stored(lines.select("doc_id", "line_no", "leaf", "key"), "line_places")
+    # with the lines' text, so that no line is cut into tokens here again
+    placed = stored(lines, "line_places")
     counts = stored(in_documents(placed, "leaf", "key"), "line_counts")
     gone = counts.filter(F.col("docs") >= same_docs).select("leaf", "key")
 
@@ -105,7 +112,7 @@ def dropped_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS,
                                        F.count(F.lit(1)).alias("n"))
     often = often.filter((F.col("most") >= min_docs) & (F.col("least") < same_docs) & (F.col("n") > 1))
     # lines travel as text, which is smaller than their tokens
-    found = (lines.drop("line_no").join(often.select("leaf"), "leaf", "left_semi")
+    found = (placed.select("leaf", "key", "doc_id", "line").join(often.select("leaf"), "leaf", "left_semi")
              .groupBy("leaf", "key", "doc_id").agg(F.first("line").alias("line")))
     found = found.join(counts, ["leaf", "key"]).select(
         "leaf", "key", "doc_id", F.regexp_extract_all("line", F.lit(WORD), F.lit(0)).alias("tokens"),
@@ -138,16 +145,16 @@ def dropped_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS,
         found = stored(found, "line_candidates")
         at_once *= MORE
     gone = stored(gone.distinct(), "line_gone")
-    return placed.join(gone, ["leaf", "key"]).select("doc_id", "line_no")
+    return placed.join(gone, ["leaf", "key"]).select("doc_id", "row", "line_no")
 
 
 def drop_lines(docs: DataFrame, **options) -> DataFrame:
     """(doc_id, text, n_lines, n_dropped) of every row, without the lines of
     recurring templates."""
-    gone = (dropped_lines(docs, **options).groupBy("doc_id")
+    gone = (dropped_lines(docs, **options).groupBy("doc_id", "row")
             .agg(F.collect_set("line_no").alias("__gone")))
     lines = F.split(whole_text(), "\n", -1)
-    rows = docs.select("doc_id", "text").join(gone.hint("merge"), "doc_id", "left")
+    rows = docs.select("doc_id", "text", row_key().alias("row")).join(gone.hint("merge"), ["doc_id", "row"], "left")
     rows = rows.select("doc_id", lines.alias("lines"),
                        F.coalesce("__gone", F.array().cast("array<int>")).alias("gone"))
     kept = F.filter("lines", lambda x, i: ~F.array_contains(F.col("gone"), i))
@@ -160,46 +167,3 @@ def op8_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = drop_lines(documents(spark, sf_dir))
     return got.select("doc_id", "n_lines", "n_dropped",
                       F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
-
-
-ORACLE = r"""
-WITH lines AS (
-  SELECT doc_id, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS line_no,
-         unnest(string_split(coalesce(text, ''), chr(10))) AS line
-  FROM documents),
-parsed AS (
-  SELECT doc_id, line_no, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS tokens FROM lines),
-placed AS (
-  SELECT doc_id, line_no, tokens,
-         concat(len(tokens), ' ', array_to_string(list_transform(tokens[1:4],
-           lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END), ' ')) AS leaf
-  FROM parsed WHERE len(tokens) > 0),
-often AS (
-  SELECT leaf, count(*) AS n FROM placed GROUP BY leaf HAVING count(DISTINCT doc_id) >= 10),
-spread AS (
-  SELECT p.leaf, o.n, p.doc_id, p.line_no, unnest(range(len(p.tokens))) AS spot,
-         unnest(p.tokens) AS token
-  FROM placed p JOIN often o ON p.leaf = o.leaf),
-votes AS (
-  SELECT leaf, n, spot, token, count(*) AS c,
-         row_number() OVER (PARTITION BY leaf, spot ORDER BY count(*) DESC, token DESC) AS r
-  FROM spread GROUP BY leaf, n, spot, token),
-fixed AS (
-  SELECT leaf, spot, token FROM votes WHERE r = 1 AND 2 * c >= n),
-known AS (
-  SELECT leaf, count(*) AS k FROM fixed GROUP BY leaf),
-member AS (
-  SELECT s.leaf, s.doc_id, s.line_no
-  FROM spread s JOIN known w ON s.leaf = w.leaf
-  LEFT JOIN fixed f ON s.leaf = f.leaf AND s.spot = f.spot AND s.token = f.token
-  GROUP BY s.leaf, s.doc_id, s.line_no, w.k
-  HAVING count(f.token) >= w.k * 0.7),
-gone AS (
-  SELECT doc_id, line_no FROM member
-  WHERE leaf IN (SELECT leaf FROM member GROUP BY leaf HAVING count(DISTINCT doc_id) >= 10))
-SELECT l.doc_id, count(*) AS n_lines, count(g.line_no) AS n_dropped,
-       sha256(coalesce(string_agg(CASE WHEN g.line_no IS NULL THEN l.line END, chr(10)
-                                  ORDER BY l.line_no), '')) AS kept_sha256
-FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.line_no = g.line_no
-GROUP BY l.doc_id
-"""

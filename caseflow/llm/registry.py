@@ -11,7 +11,6 @@ from caseflow.llm.exact_dedup import op7_exact_dedup
 from caseflow.llm.fingerprint import op3_fingerprints
 from caseflow.llm.hard_negatives import ORACLE as HARD_NEGATIVES_SQL
 from caseflow.llm.hard_negatives import op12_hard_negatives
-from caseflow.llm.line_templates import ORACLE as LINE_TEMPLATES_SQL
 from caseflow.llm.line_templates import op8_line_templates
 from caseflow.llm.mixing import op5_mix_sources
 from caseflow.llm.near_dedup import op4_near_dedup
@@ -40,7 +39,6 @@ QUERIES = {
 }
 ORACLE_SQL = {
     "op7_exact_dedup": EXACT_DEDUP_SQL,
-    "op8_line_templates": LINE_TEMPLATES_SQL,
     "op12_hard_negatives": HARD_NEGATIVES_SQL,
     "op13_source_divergence": DIVERGENCE_SQL,
 }
