@@ -17,18 +17,21 @@ text, any number of them, cut into splits anywhere:
    types.  All others, and lines that can't be parsed, are quarantined with the
    reason.
 
-The parsed rows are written once to the shared folder, so that tables and
-quarantine come from one parse.  A line of text is never cut by the reader, so
+Tuples whose header stands in their own split are routed as they are parsed;
+the rows are written once to the shared folder, so that tables and quarantine
+come from one parse.  Only tuples before a split's first header and around
+borders are routed afterwards.  A line of text is never cut by the reader, so
 tuples on one line are one task's.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Mapping
-from itertools import accumulate
+from collections.abc import Iterable, Iterator, Mapping
+from itertools import accumulate, repeat
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -110,6 +113,14 @@ class _Rows:
             [known[f.name] if f.name in known else pa.nulls(n, f.type) for f in _PARSED], schema=_PARSED)
 
 
+def _cells(col: pa.Array) -> Iterable:
+    """The values of a column that mostly holds a single one."""
+    one = col[0].as_py() if len(col) else None
+    if one is not None and not col.null_count and pc.all(pc.equal(col, col[0])).as_py():
+        return repeat(one, len(col))
+    return col.to_pylist()
+
+
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Tuples of whole splits, and one row for each split."""
     out, key, lexer, head, before, inside = _Rows(), None, None, [], None, False
@@ -121,7 +132,7 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                          "listing": lexer._listing, "other": lexer._other})
 
     for b in batches:
-        for file, block, line in zip(*(b.column(c).to_pylist() for c in ("file", "block", "value")), strict=True):
+        for file, block, line in zip(*(_cells(b.column(c)) for c in ("file", "block", "value")), strict=True):
             if (file, block) != key:
                 if key is not None:
                     split_row()
@@ -129,7 +140,8 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 key, lexer, head, before, inside = (file, block), Lexer(), [], "", not block
             if line is None:
                 continue
-            line = line.replace("\r", "")
+            if "\r" in line:
+                line = line.replace("\r", "")
             inside = inside or sure_border(before, line)
             if inside:
                 out.tuples(file, block, lexer.line(line))
@@ -170,6 +182,13 @@ def parse_dump(lines: DataFrame, col: str = "value") -> DataFrame:
     parsed."""
     ship_package(lines.sparkSession)
     parsed = _stored(placed(lines, col).mapInArrow(_parse, PARSED), "parsed")
+    known = parsed.filter("kind <> 'split' AND table IS NOT NULL").select("table", "columns", "vals", "line")
+    return known.unionByName(_across_borders(parsed))
+
+
+def _across_borders(parsed: DataFrame) -> DataFrame:
+    """(table, columns, vals, line) of the tuples around split borders, and of
+    those before the first header of their split."""
     splits = parsed.filter("kind = 'split'")
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     # the last split before that has a sure border: where this split's first run may have begun
@@ -209,7 +228,7 @@ def parse_dump(lines: DataFrame, col: str = "value") -> DataFrame:
                         F.when(own | F.col("columns").isNotNull(), F.col("columns"))
                          .otherwise(of["columns"]).alias("columns"), "vals", "line")
 
-    return resolved(parsed, "__after").unionByName(resolved(borders, "__before"))
+    return resolved(parsed.filter("table IS NULL"), "__after").unionByName(resolved(borders, "__before"))
 
 
 def _fits(values: list[Column], schema: T.StructType) -> Column:
@@ -242,7 +261,8 @@ def _worked_out(df: DataFrame, **columns: Column) -> DataFrame:
 
 def route(tuples: DataFrame, tables: Tables) -> DataFrame:
     """``tuples`` with ``route`` (the table a tuple goes to) or ``reason``, and
-    ``in_order``: its values are in the order of the declared columns."""
+    ``in_order``: its values are in the order of the declared columns; other
+    columns pass through."""
     names = {name: F.array(*[F.lit(f.name.lower()) for f in s.fields]) for name, s in tables.items()}
     width, table, columns = F.col("width"), F.col("table"), F.col("columns")
     # a header's column list counts for its own table, if it has all names right
@@ -277,8 +297,24 @@ def route(tuples: DataFrame, tables: Tables) -> DataFrame:
               .otherwise(F.lit("cast failed for all tables of its width")))
     t = _worked_out(t, route=F.coalesce("own", F.when(F.size("able") == 1, F.get(F.col("able"), 0))))
     # a tuple that goes by its types has its values in that table's order
-    return t.select("vals", "columns", F.when(F.col("own").isNull(), F.lit(True)).otherwise(F.col("in_order"))
-                    .alias("in_order"), "line", "route", F.when(F.col("route").isNull(), reason).alias("reason"))
+    return t.select(*tuples.columns, F.when(F.col("own").isNull(), F.lit(True)).otherwise(F.col("in_order"))
+                    .alias("in_order"), "route", F.when(F.col("route").isNull(), reason).alias("reason"))
+
+
+def routed_dump(lines: DataFrame, tables: Tables, col: str = "value") -> DataFrame:
+    """(vals, columns, in_order, line, route, reason) of every tuple, read from
+    what one parse has written; a routed tuple needs its text no more."""
+    ship_package(lines.sparkSession)
+
+    def text_of(rejected: Column) -> dict[str, Column]:
+        return {"line": F.when(rejected, F.col("line"))}
+
+    out = ["vals", "columns", "in_order", "line", "route", "reason"]
+    rows = route(placed(lines, col).mapInArrow(_parse, PARSED), tables)
+    rows = _stored(rows.withColumns(text_of(F.col("table").isNull() | F.col("route").isNull())), "parsed")
+    late = route(_across_borders(rows.drop("in_order", "route", "reason")), tables)
+    late = _stored(late.withColumns(text_of(F.col("route").isNull())).select(*out), "late")
+    return rows.filter("kind <> 'split' AND table IS NOT NULL").select(*out).unionByName(late)
 
 
 def table_rows(routed: DataFrame, name: str, schema: T.StructType) -> DataFrame:
@@ -299,7 +335,7 @@ def load_dump(lines: DataFrame, tables: Tables = schemas.BY_NAME, col: str = "va
     dump; one parse for all of them."""
     tables = _tables(tables)
     # tables and quarantine read what is routed once
-    routed = _stored(route(parse_dump(lines, col), tables), "routed")
+    routed = routed_dump(lines, tables, col)
     out = {name: table_rows(routed, name, s) for name, s in tables.items()}
     out[QUARANTINE] = routed.filter("route IS NULL").select("line", "reason")
     return out

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from caseflow.session import ensure_checkpoint_dir
 from caseflow.sources import standins as si
-from caseflow.sources.dump import Tables, dump_text, parse_dump, route, table_rows
+from caseflow.sources.dump import Tables, dump_text, routed_dump, table_rows
 
 BATCH_ROWS = 5_000
 WRAP_EVERY = 7  # of the tuples that may be wrapped
@@ -86,7 +86,7 @@ def write_standin_dump(d: si.Domain, case: str) -> tuple[str, Tables]:
         wrapped = {"customer_transactions": F.col("txn_amount") % WRAP_EVERY == 0}
     tables = {}
     for name in names:
-        df = getattr(d, name)
+        df = d.lazy(name)  # read this once
         tables[name] = df.schema
         # as in the source, most batches of transactions have the nodes' header;
         # a column list in another order than the table's holds for its batch
@@ -97,7 +97,7 @@ def write_standin_dump(d: si.Domain, case: str) -> tuple[str, Tables]:
             # under the nodes' header the column list is the nodes' as well
             lines = lines.select(F.regexp_replace(
                 "value", r"(?s)^(INSERT INTO customer_nodes\n  )\([^)]*\)",
-                "$1(" + ", ".join(d.customer_nodes.columns) + ")").alias("value"))
+                "$1(" + ", ".join(d.lazy("customer_nodes").columns) + ")").alias("value"))
         put(lines)
     if case == "bank":
         put(_bad_lines(d._t))
@@ -105,25 +105,21 @@ def write_standin_dump(d: si.Domain, case: str) -> tuple[str, Tables]:
 
 
 def loaded(d: si.Domain, case: str) -> DataFrame:
-    """The routed tuples of one case's dump files, parsed once per application
-    and kept by table."""
+    """The routed tuples of one case's dump files, parsed once per application."""
 
     def build() -> DataFrame:
         path, tables = write_standin_dump(d, case)
-        rows = route(parse_dump(dump_text(d.spark.read.text(path))), tables)
-        # a routed tuple needs its text no more
-        return rows.withColumns({"line": F.when(F.col("route").isNull(), F.col("line")),
-                                 "route": F.coalesce("route", F.lit("quarantine"))})
+        return routed_dump(dump_text(d.spark.read.text(path)), tables)
 
-    return d.derived(f"dump_{case}", build, partition_by=["route"])
+    return d.once(f"dump_{case}", build)
 
 
 def load_table(spark: SparkSession, root: str, case: str, name: str) -> DataFrame:
     """One table of a case's dump, typed as declared."""
     d = si.Domain(spark, root)
-    return table_rows(loaded(d, case), name, getattr(d, name).schema)
+    return table_rows(loaded(d, case), name, d.lazy(name).schema)
 
 
 def load_quarantine(spark: SparkSession, root: str, case: str) -> DataFrame:
     """(line, reason) of what no table of a case's dump takes."""
-    return loaded(si.Domain(spark, root), case).filter("route = 'quarantine'").select("line", "reason")
+    return loaded(si.Domain(spark, root), case).filter("route IS NULL").select("line", "reason")

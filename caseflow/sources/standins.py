@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from caseflow.functions.dates import format_dmy
 from caseflow.operators.joins import bounded_broadcast
 from caseflow.sources.tables import DriverTables
-from caseflow.sources.writers import built_once
+from caseflow.sources.writers import built_once, kept_once
 
 # Stand-in parameters for constants the case studies hard-code.
 BONUS_PRODUCT_NAME = "small ring"      # plays the double-points menu item
@@ -278,9 +278,16 @@ class Domain:
         """A table derived from this folder's data, persisted like the others."""
         if not self.persist:
             return build()
+        return built_once(self.spark, self._key(name), build, partition_by)
+
+    def once(self, name: str, build) -> DataFrame:
+        """What ``build`` has written itself, built once per application."""
+        return kept_once(self.spark, self._key(name), build) if self.persist else build()
+
+    def _key(self, name: str) -> str:
         if self._stamp is None:
             self._stamp = hashlib.md5(self._t.stamp().encode(), usedforsecurity=False).hexdigest()[:8]
-        return built_once(self.spark, f"{self.root}/{self._stamp}/{name}", build, partition_by)
+        return f"{self.root}/{self._stamp}/{name}"
 
     def lazy(self, name: str) -> DataFrame:
         """The table as a plan over the driver tables, not persisted (for
