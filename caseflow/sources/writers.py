@@ -4,14 +4,27 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from caseflow.session import ensure_checkpoint_dir
 
 
+@contextmanager
+def _session_conf(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for one write, unless the session has its own."""
+    if key in spark.conf.getAll:
+        yield
+        return
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key)
+
+
 class Versions:
     """A table under ``path`` that is replaced as a whole: each replace writes a
     new version and then swaps a one-line manifest, in one rename.  A reader
@@ -20,6 +33,7 @@ class Versions:
     the current one is kept for readers that have it open, older ones go."""
 
     MANIFEST = "_current"
+    OPEN_FILES = 20
 
     def __init__(self, spark: SparkSession, path: str, fmt: str = "parquet"):
         self.spark, self.path, self.fmt = spark, path.rstrip("/"), fmt
@@ -42,14 +56,18 @@ class Versions:
             stream.close()
 
     def replace(self, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
-        """Write ``df`` as the new version; returns a DataFrame reading it.  A
-        rebalance inside the write gives files of the advisory size at any
-        scale; rows of a large partition value go to several files."""
+        """Write ``df`` as the new version; returns a DataFrame reading it.
+        Tasks write the rows where they are, without one more shuffle; files
+        are as large as the plan's last partitions (a scan's splits, or what
+        AQE coalesces), and rows of a large partition value go to several.  A
+        task keeps a file open for each of up to OPEN_FILES partition values,
+        so it need not sort; beyond that it sorts the rest."""
         new = f"v-{uuid.uuid4().hex[:12]}"
-        w = df.hint("rebalance", *[F.col(c) for c in partition_by]).write.format(self.fmt)
+        w = df.write.format(self.fmt)
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.save(f"{self.path}/{new}")
+        with _session_conf(self.spark, "spark.sql.maxConcurrentOutputFileWriters", str(self.OPEN_FILES)):
+            w.save(f"{self.path}/{new}")
         keep = [new, *self.names()[:1]]
         draft = self._at(f"_next-{new}")
         stream = self._fs.create(draft, True)
@@ -124,6 +142,19 @@ def built_once(spark: SparkSession, key: str, build: Callable[[], DataFrame],
     return Versions(spark, path).read().select(*cols)
 
 
+# (application id, key) -> a DataFrame over files that its builder wrote
+_KEPT: dict[tuple[str, str], DataFrame] = {}
+
+
+def kept_once(spark: SparkSession, key: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """:func:`built_once` for a ``build`` that writes its rows itself and
+    returns a scan of them, so that they are not written again."""
+    k = (spark.sparkContext.applicationId, key)
+    if k not in _KEPT:
+        _KEPT[k] = build()
+    return _KEPT[k]
+
+
 def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """``INSERT INTO t VALUES ...``: append rows to the table at ``path``."""
     df.write.mode("append").format(fmt).save(path)
