@@ -26,6 +26,8 @@ MEAT_LOVERS = "Meatlovers"
 RELABEL = {"Meatlovers": "Meat Lovers"}
 PREMIUM_PRICE, STANDARD_PRICE = 12, 10
 COST_PER_KM = "0.3"
+# ingredient_counts: lines of one task; each becomes some seven rows of its aggregation
+LINES_PER_TASK = 150_000
 
 
 # --- cleaning ----------------------------------------------------------------
@@ -363,20 +365,24 @@ def ingredient_counts(co: DataFrame, recipes: DataFrame, toppings: DataFrame,
     their changes, as in the source; with ``line_key`` each line keeps its
     own changes (output gains that column).
 
-    Plan: every line is joined to its recipe and its three lists (recipe,
-    exclusions, extras) are exploded in one pass; a single aggregation per
-    (order, pizza, topping id) counts standard and extra rows and flags
+    Plan: every line is joined to its recipe and name and its three lists
+    (recipe, exclusions, extras) are exploded in one pass; a single aggregation
+    per (order, pizza, topping id) counts standard and extra rows and flags
     exclusions, which zero the standard count (the source's anti-join).  The
     lines are dealt by (order, pizza) between the two: the aggregation does not
     rest on the recipe join's partitioning by pizza, so a popular pizza is
-    spread over the tasks and the join itself can be split.  Names are attached
-    after aggregating.
+    spread over the tasks and the join itself can be split.  Names come with the
+    lines, as there are several times as many counts, and lines are dealt to
+    tasks of LINES_PER_TASK, as each becomes many rows of the aggregation.
     """
     line = [line_key] if line_key else []
     keys = ["order_id", *line, "pizza_id"]
-    lines = co.select(*keys, "exclusions_new", "extras_new") \
-              .join(recipes.select("pizza_id", "toppings"), "pizza_id", "left") \
-              .repartition(*keys)
+    # names that repeat for a pizza give their rows as often
+    named = names.groupBy("pizza_id", "pizza_name").agg(F.count(F.lit(1)).alias("__copies"))
+    pizzas = named.join(recipes.select("pizza_id", "toppings"), "pizza_id", "left")
+    tasks = max(int(co.sparkSession.conf.get("spark.sql.shuffle.partitions")), co.count() // LINES_PER_TASK + 1)
+    lines = co.select(*keys, "exclusions_new", "extras_new").join(pizzas, "pizza_id").repartition(tasks, *keys)
+    keys += ["pizza_name", "__copies"]
     items = _tagged_items(lines, {"s": F.col("toppings"), "x": F.col("exclusions_new"),
                                   "e": F.col("extras_new")}, keys)
     k = F.col("kind")
@@ -388,10 +394,9 @@ def ingredient_counts(co: DataFrame, recipes: DataFrame, toppings: DataFrame,
     out = agg.withColumn("n", n.cast("long")).filter(F.col("n") > 0)
     # ids without a topping name drop out here, as with the source's inner joins
     out = ls.decode_ids(out, "topping_id", toppings, "topping_id", ["topping_name"])
-    return out.join(names.select("pizza_id", F.col("pizza_name").alias("name_of_pizza")),
-                    "pizza_id") \
-              .select("order_id", *line, "pizza_id", "topping_id", "name_of_pizza",
-                      F.col("topping_name").alias("toppings"), "n")
+    return (out.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "__copies")))
+            .select("order_id", *line, "pizza_id", "topping_id", F.col("pizza_name").alias("name_of_pizza"),
+                    F.col("topping_name").alias("toppings"), "n"))
 
 
 # --- money ---------------------------------------------------------------------

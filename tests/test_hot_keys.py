@@ -54,3 +54,17 @@ def test_ingredient_counts_of_a_popular_pizza(spark, no_broadcast):
     assert len(got) == len(want) and set(got) == want
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "RepartitionByExpression [order_id" in plan  # dealt anew between join and aggregation
+
+
+def test_ingredient_tasks_grow_with_the_lines(spark, no_broadcast, monkeypatch):
+    monkeypatch.setattr(delivery, "LINES_PER_TASK", 10)
+    co = spark.createDataFrame([(i, 1 if i else None, None, "3") for i in range(400)],
+                               "order_id int, pizza_id int, exclusions_new string, extras_new string")
+    recipes = spark.createDataFrame([(1, "3")], "pizza_id int, toppings string")
+    toppings = spark.createDataFrame([(3, "c")], "topping_id int, topping_name string")
+    names = spark.createDataFrame([(1, "x"), (1, "x"), (1, None), (9, "y")], "pizza_id int, pizza_name string")
+    out = delivery.ingredient_counts(co, recipes, toppings, names)
+    got = sorted((r.order_id, str(r.name_of_pizza), r.n) for r in out.collect())
+    assert got == sorted((i, name, 2) for i in range(1, 400) for name in ("x", "x", "None"))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert ", 41" in plan[plan.index("RepartitionByExpression"):].split("\n")[0]
