@@ -17,8 +17,10 @@ document, a pair has at most min(n - u) in common.  Classes and pairs whose
 bound is below the threshold are skipped, which leaves few in a group of
 copies with edits of their own.
 *Long posting lists.*  Components are asked for, not all links.  Each list
-chooses a pivot (fewest shingles of its own, then at random), its members are
-compared to the pivot alone, and links join components.  At last all remaining
+chooses a pivot (fewest shingles of its own, then at random).  First a class is
+compared to the best pivot of its lists alone, which joins most of a group, then
+the members of each list that are still in other components to its pivot, and
+links join components.  At last all remaining
 pairs of different components are compared: members outside a list's largest
 component against the list.  So no link between different components is lost,
 and a group of copies costs its length, not its square.
@@ -45,11 +47,13 @@ from caseflow.llm.common import SHINGLE_WORDS, documents, ship_package, stored,
 from caseflow.llm.components import components
 from caseflow.llm.hashing import mix, shingle_sets
 from caseflow.llm.words import bounded
+from caseflow.operators.joins import bounded_broadcast
 
 COORDS = 128
 MISSED = 1e-5
 LIKE_PERCENT = 85
 PIVOT_ROUNDS = 2
+BROADCAST_IDS = 4_000_000  # ids alone, 16 to 32 bytes each in a task's table
 SKIP_ROUNDS = 2
 _A = np.random.default_rng(11).integers(1, 2**63, COORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -167,7 +171,9 @@ def links(docs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     lone = _alone(_keys(reps), "key")
     near = reps.join(lone, "id", "left").filter(F.coalesce("alone", F.lit(0)) < first)
     near = stored(near.select("id", "rep", "set_key", "n", "sig"), "near_sigs")
-    texts = _texts(docs).join(near.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    # a list of ids, so that texts are not shuffled for the few that go on
+    wanted = bounded_broadcast(near.select(F.col("rep").alias("doc_id")), BROADCAST_IDS)
+    texts = _texts(docs).join(wanted, "doc_id", "left_semi")
     # an id may have other texts, and rows may repeat
     sets = (full_sets(texts).join(near.select("id", F.col("rep").alias("doc_id"), "set_key"), ["doc_id", "set_key"])
             .select("id", "shingles").dropDuplicates(["id"]))
@@ -205,6 +211,9 @@ def links(docs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
             pivot = now.groupBy("key").agg(F.min(best).alias("b")).select("key", "b.*")
             some = now.alias("a").join(pivot.alias("b"), F.expr("a.key = b.key and a.comp <> b.comp")
                                        & _pair_bound("a", "b", percent))
+            if turn == 0:  # later rounds compare what this one leaves apart
+                some = (some.groupBy("a.id").agg(F.min(F.struct("b.own", "b.r", "b.id")).alias("p"))
+                        .select("id", F.col("p.id").alias("other")))
         else:
             per = now.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
             main = per.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("m"),
@@ -220,8 +229,8 @@ def links(docs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
                 & _pair_bound("a", "b", percent)
                 & F.expr("a.key = array_min(array_intersect(a.prefix, b.prefix))")
                 & (_equal_coords() >= matches(percent)))
-        pairs = some.select(F.greatest("a.id", "b.id").alias("u"),
-                            F.least("a.id", "b.id").alias("v")).distinct()
+        a, b = ("id", "other") if turn == 0 else ("a.id", "b.id")
+        pairs = some.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
         new = confirmed(pairs, near.select("id", "sig"), sets, percent)
         found = stored(new if found is None else found.union(new), "links")
     return found
@@ -260,6 +269,7 @@ def link_components(docs: DataFrame, percent: int = LIKE_PERCENT) -> DataFrame:
 def keep_rows(docs: DataFrame, percent: int = LIKE_PERCENT) -> DataFrame:
     """The rows of ``docs`` that are kept, one document of each component."""
     gone = link_components(docs, percent).filter("not kept").select(F.col("doc_id").alias("__gone")).distinct()
+    gone = bounded_broadcast(stored(gone, "gone"), BROADCAST_IDS)
     return docs.join(gone, docs["doc_id"].cast("bigint") == F.col("__gone"), "left_anti")
 
 
