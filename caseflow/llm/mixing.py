@@ -188,9 +188,11 @@ def apply_mix(docs: DataFrame, **options) -> DataFrame:
     per = stored(per, "mix_taken")
     keyed = docs.withColumn("__text_key", F.xxhash64(whole_text()))
     same = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__text_key") == F.col("__key"))
-    rows = keyed.join(per.filter("__rows = 1"), same)
+    # by shuffle at any size: what a row gives grows with the rows and is no table to send whole
+    got = keyed.join(per.hint("merge"), same)
+    rows = got.filter("__rows = 1")
     # of rows that repeat id and text, one stands for all
-    again = keyed.join(per.filter("__rows > 1"), same).dropDuplicates(["__doc", "__key"])
+    again = got.filter("__rows > 1").dropDuplicates(["__doc", "__key"])
     rows = rows.unionByName(again)
     whole = F.transform(F.sequence(F.lit(1).cast("bigint"), F.col("__n")),
                         lambda i: F.struct(F.lit(0).cast("bigint").alias("lo"), F.lit(-1).cast("bigint").alias("hi")))

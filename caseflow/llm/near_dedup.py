@@ -21,9 +21,14 @@ chooses a pivot (fewest shingles of its own, then at random).  First a class is
 compared to the best pivot of its lists alone, which joins most of a group, then
 the members of each list that are still in other components to its pivot, and
 links join components.  At last all remaining
-pairs of different components are compared: members outside a list's largest
-component against the list.  So no link between different components is lost,
-and a group of copies costs its length, not its square.
+pairs of different components are compared.  A shingle is rare if at most
+``RARE`` of the classes still in question have it.  Two classes have at most
+min(common shingles of each) in common besides the rare ones that both have, so
+a pair either meets at a rare shingle, with enough left of both lists from there
+on, or both reach the threshold by common shingles alone; only the latter are
+compared within the posting lists, members outside a list's largest component
+against the list.  So no link between different components is lost, and copies
+with edits of their own are not compared to each other.
 
 Defined results: a null text counts as empty; a text without words links with
 nothing; rows that repeat an id are one document; a row with a null id links
@@ -55,6 +60,7 @@ LIKE_PERCENT = 85
 PIVOT_ROUNDS = 2
 BROADCAST_IDS = 4_000_000  # ids alone, 16 to 32 bytes each in a task's table
 SKIP_ROUNDS = 2
+RARE = 64  # classes that have a shingle, up to which its pairs are listed
 _A = np.random.default_rng(11).integers(1, 2**63, COORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -164,6 +170,34 @@ def confirmed(pairs: DataFrame, sigs: DataFrame, sets: DataFrame, percent: int)
             .select("u", "v"))
 
 
+def _left_sets(left: DataFrame, sets: DataFrame) -> DataFrame:
+    """(id, n, comp, often, rare) of the classes that are ``left``: how many of
+    its shingles more than RARE of them have, and the others, rarest first.
+    Shingles of one component alone are of no use to a link between two."""
+    at = (sets.join(left.select("id", "n", "comp").distinct(), "id")
+          .select("id", "n", "comp", F.explode("shingles").alias("h")))
+    of = (at.groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+          .filter("lo <> hi").select("h", "c"))
+    few = F.when(F.col("c") <= RARE, F.struct("c", F.xxhash64("h").alias("r"), "h"))
+    return (at.join(of, "h").groupBy("id", "n", "comp")
+            .agg(F.count_if(F.col("c") > RARE).alias("often"), F.array_sort(F.collect_list(few)).alias("few"))
+            .select("id", "n", "comp", "often", F.transform("few", lambda x: x["h"]).alias("rare")))
+
+
+def _rare_pairs(left_sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v) of different components that have a rare shingle in common
+    and may link.  At the first one of a pair, all others that it has in common
+    are further on in both lists, so what follows bounds them."""
+    at = (left_sets.select("id", "n", "comp", "often", F.size("rare").alias("m"), F.posexplode("rare").alias("i", "h"))
+          .withColumn("rest", F.col("m") - F.col("i"))
+          .filter(_possible(F.col("often") + F.col("rest"), F.col("n"), percent))
+          .select("h", "id", "n", "comp", "often", "rest"))
+    most = F.least("a.often", "b.often") + F.least("a.rest", "b.rest")
+    met = at.alias("a").join(at.alias("b"), F.expr("a.h = b.h and a.id > b.id and a.comp <> b.comp")
+                             & _possible(most, F.col("a.n") + F.col("b.n") - most, percent))
+    return met.select(F.col("a.id").alias("u"), F.col("b.id").alias("v")).distinct()
+
+
 def links(docs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """Links (u, v) between classes (id, rep, set_key, n, sig) that give the
     components of all links."""
@@ -222,6 +256,12 @@ def links(docs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
                     .select("key", "id", "n", "shared", "comp", F.col("m.comp").alias("main"),
                             "prefix", "sig"))
             left = stored(left, "postings_left")
+            left_sets = stored(_left_sets(left, sets), "left_sets")
+            rare = _rare_pairs(left_sets, percent)
+            # the others link by common shingles alone, if at all
+            often = (left_sets.filter(_possible(F.col("often"), F.col("n"), percent))
+                     .select("id", F.col("often").alias("shared")))
+            left = stored(left.drop("shared").join(often, "id"), "postings_often")
             # a pair comes out of one of its common lists only
             some = left.filter("comp <> main").alias("a").join(
                 left.alias("b"), F.expr("a.key = b.key and a.comp <> b.comp "
@@ -230,7 +270,8 @@ def links(docs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
                 & F.expr("a.key = array_min(array_intersect(a.prefix, b.prefix))")
                 & (_equal_coords() >= matches(percent)))
         a, b = ("id", "other") if turn == 0 else ("a.id", "b.id")
-        pairs = some.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
+        pairs = some.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
+        pairs = (pairs if turn < PIVOT_ROUNDS else pairs.union(rare)).distinct()
         new = confirmed(pairs, near.select("id", "sig"), sets, percent)
         found = stored(new if found is None else found.union(new), "links")
     return found
