@@ -27,8 +27,9 @@ min(common shingles of each) in common besides the rare ones that both have, so
 a pair either meets at a rare shingle, with enough left of both lists from there
 on, or both reach the threshold by common shingles alone; only the latter are
 compared within the posting lists, members outside a list's largest component
-against the list.  So no link between different components is lost, and copies
-with edits of their own are not compared to each other.
+against the list.  So no link between different components is lost.  Copies that
+differ from what most of their group has are told apart without being compared;
+unlinked ones that lie close to it still are, each with each.
 
 Defined results: a null text counts as empty; a text without words links with
 nothing; rows that repeat an id are one document; a row with a null id links
