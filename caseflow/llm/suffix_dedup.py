@@ -138,18 +138,18 @@ def reach(at: np.ndarray, h: np.ndarray, start: np.ndarray, end: np.ndarray) ->
     return low - at + BEFORE, high - at + BEFORE
 
 
-@functools.lru_cache(maxsize=1)
-def _codec() -> tuple:
-    return zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+@functools.lru_cache
+def _codec(level: int) -> tuple:
+    return zstandard.ZstdCompressor(level=level), zstandard.ZstdDecompressor()
 
 
-def _pack(*arrays: np.ndarray) -> bytes:
+def _pack(*arrays: np.ndarray, level: int = 1) -> bytes:
     head = np.array([a.nbytes for a in arrays], np.int64)
-    return _codec()[0].compress(b"".join([head.tobytes(), *(a.tobytes() for a in arrays)]))
+    return _codec(level)[0].compress(b"".join([head.tobytes(), *(a.tobytes() for a in arrays)]))
 
 
 def _unpack(body: bytes, *types: str) -> list[np.ndarray]:
-    data = _codec()[1].decompress(body)
+    data = _codec(1)[1].decompress(body)
     ends = np.cumsum([8 * len(types), *np.frombuffer(data, np.int64, len(types))]).tolist()
     return [np.frombuffer(data[a:b], t) for a, b, t in zip(ends[:-1], ends[1:], types, strict=True)]
 
@@ -534,7 +534,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     (row_key, spans) entries; ``row_key`` is the xxhash64 of the text."""
     spark = docs.sparkSession
     ship_package(spark)
-    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))  # few: short messages pack badly
     width = _width(buckets)
     rows = _rows(docs)
     shared = shared_anchors(rows, buckets)
@@ -575,7 +575,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         for k, (x, y) in enumerate(both):
             if len(x) or len(y):
                 yield _batch([k], [_pack(doc[x], row[x], off[x] + low[x], off[x] + high[x],
-                                         doc[y], row[y], off[y], low[y], high[y], ctx[y])])
+                                         doc[y], row[y], off[y], low[y], high[y], ctx[y], level=6)])
 
     def messages(keys: np.ndarray, doc: np.ndarray, row: np.ndarray, start: np.ndarray,
                  end: np.ndarray) -> pa.Table:
